@@ -68,20 +68,23 @@ def bin_level(bin_) -> Column:
             .when(b >= 9, 2).when(b >= 1, 1).otherwise(0))
 
 
+def _level_lookup(values, lvl) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in values]), lvl + 1)
+
+
+def bin_size(bin_) -> Column:
+    """Bases covered by one bin of the bin's level (2^29 at level 0 ... 2^14)."""
+    return _level_lookup([1 << (29 - 3 * k) for k in range(6)], bin_level(bin_))
+
+
 def bin_first_locus(bin_) -> Column:
     """1-based first locus covered by a bin."""
     b = _c(bin_)
-    lvl = bin_level(b)
-    first = F.element_at(F.array(*[F.lit(x) for x in LEVEL_FIRST_BIN]), lvl + 1)
-    size_shift = F.lit(29) - lvl * 3
-    return (b - first) * F.shiftleft(F.lit(1), size_shift) + 1
+    return (b - _level_lookup(LEVEL_FIRST_BIN, bin_level(b))) * bin_size(b) + 1
 
 
 def bin_last_locus(bin_) -> Column:
-    b = _c(bin_)
-    lvl = bin_level(b)
-    size_shift = F.lit(29) - lvl * 3
-    return bin_first_locus(b) + F.shiftleft(F.lit(1), size_shift) - 1
+    return bin_first_locus(bin_) + bin_size(bin_) - 1
 
 
 def max_bin_for_length(length) -> Column:
