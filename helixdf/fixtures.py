@@ -70,6 +70,21 @@ REF_TILES_SQL = """select distinct ref_index, tile, translate(md5(concat('g',cas
 from (select ref_index, cast(((pos - 1) >> 5) + k as int) as tile from reads cross join
  (select 0 as k union all select 1 union all select 2 union all select 3 union all select 4 union all select 5) x where ref_index >= 0) y"""
 
+# SAM header lines (ord = line order) with deliberate defects: missing SM,
+# non-numeric PI, a clashing duplicate LB, a field without ':', an unknown type.
+HEADER_LINES_SQL = """select cast(0 as bigint) as ord, concat_ws(chr(9), '@HD', 'VN:1.0', 'SO:coordinate') as value
+union all select cast(1 + ref_index as bigint) as ord, concat_ws(chr(9), '@SQ', concat('SN:', ref_name), concat('LN:', cast(length as varchar(20)))) as value from contigs
+union all select cast(100 + s_suppkey as bigint) as ord, concat_ws(chr(9), '@RG', concat('ID:rg', cast(s_suppkey as varchar(20))),
+ case when s_suppkey % 11 = 5 then 'DS:none' else concat('SM:', s_name) end,
+ concat('LB:lib', cast(s_nationkey as varchar(20))),
+ case when s_suppkey % 7 = 3 then 'PI:abc' else concat('PI:', cast(200 + s_suppkey as varchar(20))) end,
+ case when s_suppkey % 13 = 4 then 'LB:other' when s_suppkey % 13 = 8 then concat('LB:lib', cast(s_nationkey as varchar(20))) else 'PL:ILLUMINA' end,
+ case when s_suppkey % 9 = 2 then 'DS:a:b:c' else 'CN:center' end,
+ case when s_suppkey % 17 = 6 then 'badfield' else 'PU:unit' end) as value from supplier
+union all select cast(100000000 + s_suppkey as bigint) as ord, concat_ws(chr(9), '@CO', concat('supplier ', s_name)) as value from supplier where s_suppkey % 5 = 0
+union all select cast(200000000 as bigint) as ord, concat_ws(chr(9), '@PG', 'ID:bwa', 'PN:bwa', 'VN:0.7.10') as value
+union all select cast(200000001 as bigint) as ord, concat_ws(chr(9), '@XX', 'ID:1') as value"""
+
 # name -> (sql, dependencies on other fixtures)
 FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "contigs": (CONTIGS_SQL, ()),
@@ -80,6 +95,7 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "sam_lines": (SAM_LINES_SQL, ("reads", "contigs")),
     "vcf_lines": (VCF_LINES_SQL, ()),
     "ref_tiles": (REF_TILES_SQL, ("reads",)),
+    "header_lines": (HEADER_LINES_SQL, ("contigs",)),
 }
 
 

@@ -27,12 +27,12 @@ def coordinate_keys(ref_index="ref_index", pos="pos", flag="flag", qname="qname"
                     mate_ref_index="mate_ref_index", mate_pos="mate_pos", isize="isize") -> list[Column]:
     """Keys of coordinate order: contig (unmapped last), start (ignored when
     unmapped), forward strand first, name, flags, mapq, mate contig, mate start,
-    insert size. Missing optional columns may be given as literals."""
+    insert size. Optional keys passed as None are left out."""
     unplaced = _c(ref_index) == -1
-    return [F.when(unplaced, F.lit(_LAST)).otherwise(_c(ref_index)),
+    keys = [F.when(unplaced, F.lit(_LAST)).otherwise(_c(ref_index)),
             F.when(unplaced, F.lit(0)).otherwise(_c(pos)),
-            fl.has(flag, fl.REVERSE).cast("int"),
-            _c(qname), _c(flag), _c(mapq), _c(mate_ref_index), _c(mate_pos), _c(isize)]
+            fl.has(flag, fl.REVERSE).cast("int")]
+    return keys + [_c(k) for k in (qname, flag, mapq, mate_ref_index, mate_pos, isize) if k is not None]
 
 
 def queryname_keys(qname="qname", flag="flag", hit_index=None) -> list[Column]:

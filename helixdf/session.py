@@ -56,3 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="helixdf-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/helixdf-out/{uuid.uuid4().hex}/{name}"

@@ -105,7 +105,8 @@ def write_sam(reads: DataFrame, path: str, header_lines: DataFrame | None = None
     """Write SAM text: the header as its own leading file, then the body parts."""
     body = format_sam_lines(reads, contigs)
     if header_lines is not None:
-        header_lines.select("value").coalesce(1).write.mode(mode).text(f"{path}/part-00000-header")
-        body.write.mode(mode).text(f"{path}/body")
+        # Header lines are few (bounded by the dictionary), one small file.
+        header_lines.select("value").coalesce(1).write.mode(mode).text(f"{path}/0-header")
+        body.write.mode(mode).text(f"{path}/1-body")
     else:
         body.write.mode(mode).text(path)

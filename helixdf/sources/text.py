@@ -70,15 +70,17 @@ def read_contigs(spark: SparkSession, path: str) -> DataFrame:
 
 # --- FASTQ ------------------------------------------------------------------------
 
-def parse_fastq_lines(numbered: DataFrame, mate: int | None = None) -> DataFrame:
+def parse_fastq_lines(numbered: DataFrame, mate: int | None = None, per_file: bool = False) -> DataFrame:
     """Numbered FASTQ lines -> one row per record: ``chunk_id`` = line_no div 4.
 
     Lines are grouped by their index, never by content, because ``@`` is a
-    legal quality character.
+    legal quality character. With ``per_file`` line numbers restart in each
+    file (and records are keyed by file too); otherwise the folder is one
+    logical file whose parts follow in name order.
     """
     g = numbered.withColumn("chunk_id", F.floor(F.col("line_no") / 4).cast("long")) \
         .withColumn("_k", (F.col("line_no") % 4).cast("int"))
-    rec = g.groupBy("file", "chunk_id").agg(
+    rec = g.groupBy(*(["file"] if per_file else []), "chunk_id").agg(
         F.max(F.when(F.col("_k") == 0, F.col("value"))).alias("_h"),
         F.max(F.when(F.col("_k") == 1, F.col("value"))).alias("seq"),
         F.max(F.when(F.col("_k") == 3, F.col("value"))).alias("qual"))
@@ -89,7 +91,7 @@ def parse_fastq_lines(numbered: DataFrame, mate: int | None = None) -> DataFrame
 
 
 def read_fastq(spark: SparkSession, path: str, mate: int | None = None) -> DataFrame:
-    return parse_fastq_lines(number_lines(spark.read.text(path), per_file=False), mate)
+    return parse_fastq_lines(number_lines(spark.read.text(path), per_file=False), mate, per_file=False)
 
 
 def fastq_lines(records: DataFrame) -> DataFrame:
@@ -150,18 +152,17 @@ def sort_variants(variants: DataFrame) -> DataFrame:
     """Order by (chrom_num, pos, line); unknown chromosomes last. Adds ``rank``."""
     keyed = variants.withColumn("_c", F.coalesce(F.col("chrom_num"), F.lit(1 << 30)))
     from ..operators.order import global_rank
-    return global_rank(keyed, ["_c", "pos", "line"], bucket_cols=["_c", F.shiftright("pos", 20)]) \
-        .drop("_c")
+    return global_rank(keyed, ["_c", "pos", "line"]).drop("_c")
 
 
 def write_vcf(variants: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Globally sorted VCF text: header file first, then range-sorted body parts."""
     spark = variants.sparkSession
     spark.createDataFrame([(VCF_HEADER,)], "value string").coalesce(1) \
-        .write.mode(mode).text(f"{path}/part-00000-header")
+        .write.mode(mode).text(f"{path}/0-header")
     keyed = variants.withColumn("_c", F.coalesce(F.col("chrom_num"), F.lit(1 << 30)))
     keyed.orderBy("_c", "pos", "line").select(F.col("line").alias("value")) \
-        .write.mode(mode).text(f"{path}/body")
+        .write.mode(mode).text(f"{path}/1-body")
 
 
 # --- BED / interval lists ------------------------------------------------------------
