@@ -46,7 +46,7 @@ def q_write_sam(spark, sf_dir):
     return sam.format_sam_lines(sam.parse_sam_lines(f.sam_lines, f.contigs))
 
 
-_HDR_FIELDS = W("header_lines") + """
+HDR_BODY = """
 , h as (select ord, string_split(value, chr(9)) as f, value from header_lines where starts_with(value, '@')),
 t as (select ord, substr(f[1], 2) as rec_type, f, value from h),
 kv as (select ord, rec_type, i as idx, split_part(x, ':', 1) as key,
@@ -56,6 +56,7 @@ co as (select ord, rec_type, 1 as idx, 'CO' as key, substr(value, 5) as value, t
 fields as (select * from kv union all select * from co),
 firsts as (select ord, rec_type, key, arg_min(value, idx) as value, min(idx) as idx from fields where well_formed group by ord, rec_type, key)
 """
+_HDR_FIELDS = W("header_lines") + HDR_BODY
 
 
 @query("read_sam_header", _HDR_FIELDS + """
@@ -222,7 +223,7 @@ def q_write_picard_intervals(spark, sf_dir):
 
 
 @query("write_reads_columnar", W("reads") + f"""
-select qname, ref_index, pos from reads where ref_index = 3 and pos <= 5000000 and {sql_end()} >= 1000000""")
+select qname, ref_index, pos from reads where ref_index = 3 and pos <= 500000 and {sql_end()} >= 100000""")
 def q_write_reads_columnar(spark, sf_dir):
     """Write the coordinate-partitioned Parquet store, then run a region query on it
     (partition pruning on ref_index + row-group pruning on pos)."""
@@ -230,7 +231,7 @@ def q_write_reads_columnar(spark, sf_dir):
     path = scratch_path(spark, "reads.parquet")
     text.write_reads_columnar(r, path)
     back = spark.read.parquet(path)
-    return filters.query_overlapping(back, 3, 1_000_000, 5_000_000).select("qname", "ref_index", "pos")
+    return filters.query_overlapping(back, 3, 100_000, 500_000).select("qname", "ref_index", "pos")
 
 
 @query("limit_records", W("reads") + """
