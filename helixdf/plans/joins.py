@@ -25,13 +25,13 @@ _QEND = f"(case when {sql_end()} <= 0 then pos else {sql_end()} end)"
 
 
 @query("query_overlapping", W("reads") + f"""
-select qname, pos from reads where ref_index = 5 and pos <= 1000000 and {_QEND} >= 100000""")
+select qname, pos from reads where ref_index = 5 and pos <= 400000 and {_QEND} >= 100000""")
 def q_query_overlapping(spark, sf_dir):
     return filters.query_overlapping(_f(spark, sf_dir).reads, 5, 100_000, 400_000).select("qname", "pos")
 
 
 @query("query_contained", W("reads") + f"""
-select qname, pos from reads where ref_index = 5 and pos >= 100000 and pos <= 1000000 and {_QEND} <= 1000000""")
+select qname, pos from reads where ref_index = 5 and pos >= 100000 and pos <= 400000 and {_QEND} <= 400000""")
 def q_query_contained(spark, sf_dir):
     return filters.query_contained(_f(spark, sf_dir).reads, 5, 100_000, 400_000).select("qname", "pos")
 
