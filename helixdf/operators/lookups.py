@@ -87,3 +87,12 @@ def compare_dictionaries(a: DataFrame, b: DataFrame) -> DataFrame:
     status = (F.when(F.col("a_name").isNull(), "missing_in_a").when(F.col("b_name").isNull(), "missing_in_b")
               .when(~len_ok, "length").when(~id_ok, "name").otherwise("same"))
     return j.select("ref_index", "a_name", "b_name", status.alias("status"))
+
+
+def observed_dictionary(reads: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Contigs that carry reads, each length stretched to the furthest read end."""
+    from ..functions import coords as co
+    r = reads.select("ref_index", co.alignment_end("pos", "cigar", "flag").alias("e"))
+    return (r.groupBy("ref_index").agg(F.max("e").alias("e"))
+            .join(F.broadcast(contigs), "ref_index")
+            .select("ref_index", "ref_name", F.greatest("length", F.col("e").cast("long")).alias("length")))

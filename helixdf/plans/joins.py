@@ -204,11 +204,7 @@ def q_compare_dictionaries(spark, sf_dir):
     """The header dictionary vs the one observed in the reads (contig length
     stretched to the furthest read end)."""
     f = _f(spark, sf_dir)
-    r = f.reads.select("ref_index", co.alignment_end("pos", "cigar", "flag").alias("e"))
-    obs = (r.groupBy("ref_index").agg(F.max("e").alias("e"))
-           .join(F.broadcast(f.contigs), "ref_index")
-           .select("ref_index", "ref_name", F.greatest("length", F.col("e").cast("long")).alias("length")))
-    return lookups.compare_dictionaries(f.contigs, obs)
+    return lookups.compare_dictionaries(f.contigs, lookups.observed_dictionary(f.reads, f.contigs))
 
 
 # --- reference comparisons ----------------------------------------------------------
