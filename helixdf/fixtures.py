@@ -85,6 +85,38 @@ union all select cast(100000000 + s_suppkey as bigint) as ord, concat_ws(chr(9),
 union all select cast(200000000 as bigint) as ord, concat_ws(chr(9), '@PG', 'ID:bwa', 'PN:bwa', 'VN:0.7.10') as value
 union all select cast(200000001 as bigint) as ord, concat_ws(chr(9), '@XX', 'ID:1') as value"""
 
+# Reads with rule-breaking variants chosen by position (validation input).
+VREADS_SQL = """select r.qname,
+ cast(case r.pos % 11 when 1 then r.flag | 2 when 2 then r.flag | 8 when 3 then r.flag | 32 when 4 then r.flag | 64
+   when 5 then r.flag | 128 when 6 then r.flag | 256 when 7 then r.flag & 3903 when 8 then r.flag | 260 else r.flag end as int) as flag,
+ r.ref_index, r.pos,
+ cast(case when r.pos % 5 = 0 and r.pos > 0 then r.mapq * 7 when r.ref_index = -1 and length(r.qname) % 2 = 0 then 3 else r.mapq end as int) as mapq,
+ case r.pos % 9 when 0 then r.cigar when 1 then '0M' when 2 then '5S10M' when 3 then '5M5S5M' when 4 then '3H2S10M2S3H'
+   when 5 then '10M2D2D10M' when 6 then '2P10M' when 7 then '10M2P' else '10M1I1P1I10M' end as cigar,
+ case when r.pos % 17 = 0 and r.pos > 0 then '' else r.seq end as seq,
+ case when r.pos % 13 = 0 and r.pos > 0 then substr(r.qual, 1, 31) else r.qual end as qual,
+ cast(-1 as int) as mate_ref_index, cast(0 as int) as mate_pos,
+ cast(case when r.pos % 19 = 0 and r.pos > 0 then 536870913 else 0 end as int) as isize,
+ c.length as ref_length, cast(null as bigint) as mate_ref_length
+from reads r left join contigs c on c.ref_index = r.ref_index"""
+
+# SAM lines with text defects chosen by the line's md5 (validation input).
+VLINES_SQL = """select case when substr(md5(value), 1, 1) = '0' then regexp_extract(value, '^(?:[^\t]*\t){8}[^\t]*', 0)
+ when substr(md5(value), 1, 1) = '1' then replace(value, concat(chr(9), '*', chr(9), '0', chr(9), '0', chr(9)), concat(chr(9), '=', chr(9), '0', chr(9), '0', chr(9)))
+ when substr(md5(value), 1, 1) = '2' then replace(value, 'A', 'Z')
+ when substr(md5(value), 1, 1) = '3' then replace(value, concat(chr(9), 'RG:Z'), concat(chr(9), chr(9), 'RG:Z'))
+ else value end as value from sam_lines"""
+
+# Read pairs with mate defects: a missing mate, a strand clash, a moved mate, two first ends.
+VPAIRS_SQL = """select qname, flag, ref_index, pos, ref_index as mate_ref_index, mate_pos from (
+ select concat('p', cast(o_orderkey as varchar(20))) as qname,
+  cast(case when e = 1 then 99 when o_orderkey % 41 = 0 then 131 when o_orderkey % 47 = 0 then 83 else 147 end as int) as flag,
+  cast(1 + o_custkey % 24 as int) as ref_index,
+  cast(1 + o_custkey*61 + (case e when 1 then 0 else 150 + (case when o_orderkey % 43 = 0 then 1 else 0 end) end) as int) as pos,
+  cast(1 + o_custkey*61 + (case e when 1 then 150 else 0 end) as int) as mate_pos, e, o_orderkey
+ from orders cross join (select 1 as e union all select 2 as e) x) y
+where not (e = 2 and o_orderkey % 37 = 0)"""
+
 # name -> (sql, dependencies on other fixtures)
 FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "contigs": (CONTIGS_SQL, ()),
@@ -96,6 +128,9 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "vcf_lines": (VCF_LINES_SQL, ()),
     "ref_tiles": (REF_TILES_SQL, ("reads",)),
     "header_lines": (HEADER_LINES_SQL, ("contigs",)),
+    "vreads": (VREADS_SQL, ("reads", "contigs")),
+    "vlines": (VLINES_SQL, ("sam_lines",)),
+    "vpairs": (VPAIRS_SQL, ()),
 }
 
 
