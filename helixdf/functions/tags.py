@@ -54,13 +54,19 @@ def array_error(value) -> Column:
     checks = F.when(bad_shape, F.lit("B needs element type and comma"))
     checks = checks.when(kind == "f", F.when(floats_bad, F.lit("B:f needs floats")))
     for k, (lo, hi) in ARRAY_RANGES.items():
-        out = F.exists(elems, lambda x, lo=lo, hi=hi: x.try_cast("long").isNull()
-                       | (x.try_cast("long") < lo) | (x.try_cast("long") > hi))
+        out = F.exists(elems, _out_of_range(lo, hi))
         checks = checks.when(kind == F.lit(k),
                              F.when(out, F.lit("B element out of range")))
     return checks.otherwise(F.lit("unrecognized array element type"))
 
 
+def _out_of_range(lo: int, hi: int):
+    def pred(x):
+        v = x.try_cast("long")
+        return v.isNull() | (v < lo) | (v > hi)
+    return pred
+
+
 def tags_from_fields(fields) -> Column:
     """Array of ``TG:T:VALUE`` strings -> tag map; a repeated tag keeps the last value."""
     entries = F.transform(_c(fields), split_tag)
@@ -111,7 +117,8 @@ def tag_char(tags, name: str) -> Column:
 
 def tag_bytes(tags, name: str) -> Column:
     e = F.element_at(_c(tags), F.lit(name))
-    return F.when(e["type"] == "H", F.try_to_binary(e["value"], F.lit("hex")))
+    even_hex = e["value"].rlike("^([0-9A-Fa-f]{2})*$")
+    return F.when((e["type"] == "H") & even_hex, F.try_to_binary(e["value"], F.lit("hex")))
 
 
 def tag_int_array(tags, name: str) -> Column:

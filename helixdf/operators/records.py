@@ -130,3 +130,9 @@ def set_read_group(reads: DataFrame, group: dict | None = None):
     rg = spark.createDataFrame([(g["ID"], g.get("SM"), g.get("LB"), g.get("PL"), g.get("PU"))],
                                "id string, sm string, lb string, pl string, pu string")
     return reads.withColumn("tags", tg.set_tag("tags", "RG", "Z", F.lit(g["ID"]))), rg
+
+
+def truncate_ref_name(name) -> Column:
+    """Sequence name cut at the first whitespace; ``=`` is not a legal name (NULL)."""
+    n = _c(name)
+    return F.when(n == "=", F.lit(None).cast("string")).otherwise(F.regexp_extract(n, r"^\S*", 0))

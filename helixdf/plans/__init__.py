@@ -1,6 +1,6 @@
 """Named queries: one per operator, each paired with a DuckDB oracle."""
 
-from . import io, joins, ordering, records, regions, validation  # noqa: F401  (registers queries)
+from . import io, joins, ordering, records, regions, tagsets, validation  # noqa: F401  (registers queries)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
