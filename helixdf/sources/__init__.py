@@ -1,0 +1 @@
+"""Text sources and sinks."""
