@@ -27,8 +27,10 @@ def segments(reads: DataFrame, keep: list[str]) -> DataFrame:
     Columns: ``keep`` + ref_index, tile, seg_ref (1-based), seg_read (1-based
     read offset), seg_len.
     """
+    keep = [c for c in keep if c != "ref_index"]
     blocks = reads.select(*keep, "ref_index",
-                          F.explode(cg.alignment_blocks("cigar", "pos")).alias("b"))
+                          F.explode(cg.alignment_blocks("cigar", "pos")).alias("b")) \
+        .filter(F.col("b.length") > 0)
     b_ref, b_len, b_read = F.col("b.ref_start"), F.col("b.length"), F.col("b.read_start")
     tiles = F.sequence(F.shiftright(b_ref - 1, TILE_SHIFT), F.shiftright(b_ref + b_len - 2, TILE_SHIFT))
     seg = blocks.select(*keep, "ref_index", "b", F.explode(tiles).alias("tile"))
@@ -38,10 +40,11 @@ def segments(reads: DataFrame, keep: list[str]) -> DataFrame:
                       (b_read + lo - b_ref).alias("seg_read"), (hi - lo + 1).alias("seg_len"))
 
 
-def with_reference(seg: DataFrame, ref_tiles: DataFrame) -> DataFrame:
-    """Attach the reference substring of each segment (``ref_sub``)."""
+def with_reference(seg: DataFrame, ref_tiles: DataFrame, how: str = "inner") -> DataFrame:
+    """Attach the reference substring of each segment (``ref_sub``; NULL for a
+    missing tile with ``how="left"``)."""
     t = ref_tiles.select(F.col("ref_index").alias("_ri"), F.col("tile").alias("_t"), "bases")
-    j = seg.join(t, (seg["ref_index"] == t["_ri"]) & (seg["tile"] == t["_t"]))
+    j = seg.join(t, (seg["ref_index"] == t["_ri"]) & (seg["tile"] == t["_t"]), how)
     ref_sub = F.substring(F.col("bases"), F.col("seg_ref") - F.col("tile") * TILE, F.col("seg_len"))
     return j.drop("_ri", "_t").withColumn("ref_sub", ref_sub).drop("bases")
 
@@ -58,34 +61,46 @@ def _mismatch_flags(read_sub: Column, ref_sub: Column, negative: Column, bisulfi
     return F.zip_with(bs.chars(read_sub), bs.chars(ref_sub), differ)
 
 
-def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, key: list[str],
-                   bisulfite: bool = False) -> DataFrame:
-    """Per read (``key``): mismatches and the sum of their base qualities."""
-    keep = list(dict.fromkeys(key + ["seq", "qual", "flag"]))
-    seg = with_reference(segments(reads, keep), ref_tiles)
+def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str]) -> DataFrame:
+    """Per record: ``keep`` columns + mismatches, mismatch_qual_sum,
+    mismatches_bisulfite and nm (mismatches + inserted + deleted bases).
+
+    Each record gets a row id before it is cut into segments, so records
+    sharing a name (or identical records) are counted separately; the
+    aggregation is by that id, combined map-side. Records without an aligned
+    block count zero mismatches.
+    """
+    indel = cg.inserted_bases("cigar") + cg.deleted_bases("cigar")
+    r = reads.withColumn("_rid", F.monotonically_increasing_id()).withColumn("_indel", indel)
+    cols = list(dict.fromkeys(keep + ["_rid", "_indel", "seq", "qual", "flag"]))
+    seg = with_reference(segments(r, cols), ref_tiles, "left")
     read_sub = F.substring("seq", F.col("seg_read"), F.col("seg_len"))
     q_sub = F.substring("qual", F.col("seg_read"), F.col("seg_len"))
     neg = fl.has("flag", fl.REVERSE)
-    diff = _mismatch_flags(read_sub, F.col("ref_sub"), neg, bisulfite)
+    diff = _mismatch_flags(read_sub, F.col("ref_sub"), neg, False)
+    diff_bs = _mismatch_flags(read_sub, F.col("ref_sub"), neg, True)
     quals = bs.phred_decode(q_sub)
-    n_mm = F.aggregate(diff, F.lit(0), lambda a, d: a + F.when(d, 1).otherwise(0))
-    q_mm = F.aggregate(F.arrays_zip(diff.alias("d"), quals.alias("q")), F.lit(0),
-                       lambda a, z: a + F.when(z["d"], z["q"]).otherwise(0))
-    per = seg.select(*key, n_mm.alias("_n"), q_mm.alias("_q"))
-    return per.groupBy(*key).agg(F.sum("_n").cast("int").alias("mismatches"),
-                                 F.sum("_q").cast("int").alias("mismatch_qual_sum"))
 
+    def count(a):
+        return F.aggregate(a, F.lit(0), lambda acc, d: acc + F.when(d, 1).otherwise(0))
 
-def nm_tag(reads: DataFrame, ref_tiles: DataFrame, key: list[str], bisulfite: bool = False) -> DataFrame:
-    """NM = mismatches + inserted + deleted bases; reads with no aligned block count 0 mismatches."""
-    mm = mismatch_stats(reads, ref_tiles, key, bisulfite)
-    base = reads.select(*key, (cg.inserted_bases("cigar") + cg.deleted_bases("cigar")).alias("_indel"))
-    return (base.join(mm, key, "left")
-            .select(*key, (F.coalesce("mismatches", F.lit(0)) + F.col("_indel")).cast("int").alias("nm")))
-
-
-def set_nm(reads: DataFrame, nm: DataFrame, key: list[str]) -> DataFrame:
-    """Write computed NM values into the tag map."""
-    j = reads.join(nm, key, "left")
-    return j.withColumn("tags", F.when(F.col("nm").isNull(), F.col("tags"))
-                        .otherwise(tg.set_tag("tags", "NM", "i", F.col("nm")))).drop("nm")
+    q_mm = F.aggregate(F.arrays_zip(diff.alias("d"), quals.alias("q")), F.lit(0),
+                       lambda acc, z: acc + F.when(z["d"], z["q"]).otherwise(0))
+    per = seg.select(*cols, count(diff).alias("_n"), q_mm.alias("_q"), count(diff_bs).alias("_nb"))
+    firsts = [F.first(c).alias(c) for c in keep + ["_indel"]]
+    agg = per.groupBy("_rid").agg(*firsts, F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("mismatches"),
+                                  F.coalesce(F.sum("_q"), F.lit(0)).cast("int").alias("mismatch_qual_sum"),
+                                  F.coalesce(F.sum("_nb"), F.lit(0)).cast("int").alias("mismatches_bisulfite"))
+    blockless = (r.filter(~F.exists(cg.alignment_blocks("cigar", "pos"), lambda b: b["length"] > 0))
+                 .select("_rid", *keep, "_indel", F.lit(0).alias("mismatches"),
+                         F.lit(0).alias("mismatch_qual_sum"), F.lit(0).alias("mismatches_bisulfite")))
+    both = agg.unionByName(blockless)
+    return both.withColumn("nm", (F.col("mismatches") + F.col("_indel")).cast("int")).drop("_rid", "_indel")
+
+
+def set_nm(reads: DataFrame, ref_tiles: DataFrame) -> DataFrame:
+    """Write computed NM values into each record's tag map."""
+    keep = [c for c in reads.columns]
+    stats = mismatch_stats(reads, ref_tiles, keep)
+    return stats.withColumn("tags", tg.set_tag("tags", "NM", "i", F.col("nm"))) \
+        .drop("nm", "mismatches", "mismatch_qual_sum", "mismatches_bisulfite")

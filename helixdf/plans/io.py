@@ -104,13 +104,13 @@ _FQ_ORACLE = W("reads") + """
 def _write_fastq(spark, sf_dir):
     r = fx.load(spark, sf_dir).reads
     rec = r.select(F.struct("qname", "seq", "qual").alias("k"), F.col("qname").alias("name"), "seq", "qual")
-    lines = text.fastq_lines(rec).orderBy("k", "sub").select("value")
+    lines = text.fastq_lines(rec).orderBy("k", "_rid", "sub").select("value")
     p1 = scratch_path(spark, "r1.fq")
     lines.write.text(p1)
     rec2 = rec.select("k", "name", F.reverse(F.translate("seq", "ACGT", "TGCA")).alias("seq"),
                       F.reverse("qual").alias("qual"))
     p2 = scratch_path(spark, "r2.fq")
-    text.fastq_lines(rec2).orderBy("k", "sub").select("value").write.text(p2)
+    text.fastq_lines(rec2).orderBy("k", "_rid", "sub").select("value").write.text(p2)
     return p1, p2
 
 

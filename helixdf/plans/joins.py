@@ -210,12 +210,17 @@ def q_compare_dictionaries(spark, sf_dir):
 # --- reference comparisons ----------------------------------------------------------
 
 _PER_BASE = CE_SQL + """
-, pb as (select qname, read_start + i as ro, ref_start + i as p from (select qname, read_start, ref_start, unnest(range(length)) as i from blk)),
-j as (select r.qname, r.flag, upper(substr(r.seq, pb.ro, 1)) as a, upper(substr(t.bases, cast(1 + (pb.p - 1) % 32 as integer), 1)) as g,
+, pb as (select rid, read_start + i as ro, ref_start + i as p from (select rid, read_start, ref_start, unnest(range(length)) as i from blk)),
+j as (select r.rid, r.flag, upper(substr(r.seq, pb.ro, 1)) as a, upper(substr(t.bases, cast(1 + (pb.p - 1) % 32 as integer), 1)) as g,
              ascii(substr(r.qual, pb.ro, 1)) - 33 as q
-      from pb join reads r on r.qname = pb.qname join ref_tiles t on t.ref_index = r.ref_index and t.tile = (pb.p - 1) >> 5),
-m as (select qname, flag, a <> g as mm,
-             a <> g and not (case when (flag & 16) <> 0 then g = 'G' and a = 'A' else g = 'C' and a = 'T' end) as mm_bs, q from j)
+      from pb join rr r on r.rid = pb.rid join ref_tiles t on t.ref_index = r.ref_index and t.tile = (pb.p - 1) >> 5),
+m as (select rid, a <> g as mm,
+             a <> g and not (case when (flag & 16) <> 0 then g = 'G' and a = 'A' else g = 'C' and a = 'T' end) as mm_bs, q from j),
+agg as (select rid, sum(case when mm then 1 else 0 end) as n, sum(case when mm_bs then 1 else 0 end) as nb,
+               sum(case when mm then q else 0 end) as qs from m group by rid),
+per as (select r.qname, r.flag, r.cigar, cast(coalesce(a.n, 0) as integer) as mismatches,
+               cast(coalesce(a.nb, 0) as integer) as mismatches_bisulfite, cast(coalesce(a.qs, 0) as integer) as mismatch_qual_sum
+        from rr r left join agg a on a.rid = r.rid where (r.flag & 4) = 0)
 """
 
 
@@ -224,19 +229,15 @@ def _mapped_reads(spark, sf_dir):
 
 
 @query("count_mismatches", W("reads", "ref_tiles") + _PER_BASE + """
-select qname, flag, cast(sum(case when mm then 1 else 0 end) as integer) as mismatches,
- cast(sum(case when mm_bs then 1 else 0 end) as integer) as mismatches_bisulfite from m group by qname, flag""")
+select qname, flag, mismatches, mismatches_bisulfite from per""")
 def q_count_mismatches(spark, sf_dir):
     f = _f(spark, sf_dir)
-    r = _mapped_reads(spark, sf_dir)
-    plain = reference.mismatch_stats(r, f.ref_tiles, ["qname", "flag"])
-    bis = reference.mismatch_stats(r, f.ref_tiles, ["qname", "flag"], bisulfite=True)
-    return plain.join(bis.select("qname", "flag", F.col("mismatches").alias("mismatches_bisulfite")),
-                      ["qname", "flag"]).select("qname", "flag", "mismatches", "mismatches_bisulfite")
+    return reference.mismatch_stats(_mapped_reads(spark, sf_dir), f.ref_tiles, ["qname", "flag"]) \
+        .select("qname", "flag", "mismatches", "mismatches_bisulfite")
 
 
 @query("sum_mismatch_quals", W("reads", "ref_tiles") + _PER_BASE + """
-select qname, cast(sum(case when mm then q else 0 end) as integer) as mismatch_qual_sum from m group by qname""")
+select qname, mismatch_qual_sum from per""")
 def q_sum_mismatch_quals(spark, sf_dir):
     f = _f(spark, sf_dir)
     return reference.mismatch_stats(_mapped_reads(spark, sf_dir), f.ref_tiles, ["qname"]) \
@@ -244,11 +245,9 @@ def q_sum_mismatch_quals(spark, sf_dir):
 
 
 @query("nm_tag", W("reads", "ref_tiles") + _PER_BASE + r"""
-, c as (select qname, sum(case when mm then 1 else 0 end) as n from m group by qname)
-select r.qname, cast(coalesce(c.n, 0) + coalesce(cast(list_sum(list_transform(regexp_extract_all(r.cigar, '(\d+)[ID]', 1),
-   lambda x: cast(x as integer))) as integer), 0) as integer) as nm
-from reads r left join c on c.qname = r.qname where (r.flag & 4) = 0""")
+select qname, cast(mismatches + coalesce(cast(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[ID]', 1),
+   lambda x: cast(x as integer))) as integer), 0) as integer) as nm from per""")
 def q_nm_tag(spark, sf_dir):
     f = _f(spark, sf_dir)
-    return reference.nm_tag(_mapped_reads(spark, sf_dir), f.ref_tiles, ["qname"])
+    return reference.mismatch_stats(_mapped_reads(spark, sf_dir), f.ref_tiles, ["qname"]).select("qname", "nm")
 

@@ -24,20 +24,27 @@ def _mapped(spark, sf_dir):
     return _reads(spark, sf_dir).filter(fl.is_mapped("flag"))
 
 
-# DuckDB: CIGAR elements with their index, and gapless blocks.
-CE_SQL = r""", els as (select qname, pos, regexp_extract_all(cigar, '\d+[MIDNSHP=X]') as els from reads where (flag & 4) = 0),
-ce as (select qname, pos, cast(i - 1 as integer) as idx, cast(regexp_extract(el, '(\d+)', 1) as integer) as len,
+def ce_sql(table: str = "reads", where: str = "(flag & 4) = 0") -> str:
+    """DuckDB CTEs over ``table``: ``rr`` (rows with a row id ``rid``, so
+    records sharing a name stay apart), ``ce`` (CIGAR elements), ``cs``
+    (cumulative read / reference offsets) and ``blk`` (gapless aligned blocks)."""
+    return f""", rr as materialized (select row_number() over () as rid, * from {table}),
+els as (select rid, qname, pos, regexp_extract_all(cigar, '\\d+[MIDNSHP=X]') as els from rr where {where}),
+ce as (select rid, qname, pos, cast(i - 1 as integer) as idx, cast(regexp_extract(el, '(\\d+)', 1) as integer) as len,
               regexp_extract(el, '([MIDNSHP=X])', 1) as op
-       from (select qname, pos, unnest(els) as el, generate_subscripts(els, 1) as i from els)),
-cs as (select *, coalesce(sum(case when op in ('M','I','S','=','X') then len else 0 end) over (partition by qname order by idx rows between unbounded preceding and 1 preceding), 0) as rd,
-              coalesce(sum(case when op in ('M','D','N','=','X') then len else 0 end) over (partition by qname order by idx rows between unbounded preceding and 1 preceding), 0) as rf
+       from (select rid, qname, pos, unnest(els) as el, generate_subscripts(els, 1) as i from els)),
+cs as (select *, coalesce(sum(case when op in ('M','I','S','=','X') then len else 0 end) over (partition by rid order by idx rows between unbounded preceding and 1 preceding), 0) as rd,
+              coalesce(sum(case when op in ('M','D','N','=','X') then len else 0 end) over (partition by rid order by idx rows between unbounded preceding and 1 preceding), 0) as rf
        from ce),
-blk as (select qname, cast(row_number() over (partition by qname order by idx) - 1 as integer) as block,
+blk as (select rid, qname, cast(row_number() over (partition by rid order by idx) - 1 as integer) as block,
                cast(1 + rd as integer) as read_start, cast(pos + rf as integer) as ref_start, len as length
         from cs where op in ('M','=','X'))
 """
 
 
+CE_SQL = ce_sql()
+
+
 @query("decode_flags", W("reads") + """
 select qname, flag,
  (flag & 1) <> 0 as paired,
@@ -138,17 +145,17 @@ def q_unclipped_coords(spark, sf_dir):
                     co.unclipped_end(end, "cigar").alias("unclipped_end"))
 
 
-@query("alignment_blocks", W("reads") + CE_SQL + "select * from blk")
+@query("alignment_blocks", W("reads") + CE_SQL + "select qname, block, read_start, ref_start, length from blk")
 def q_alignment_blocks(spark, sf_dir):
     return rec.explode_blocks(_mapped(spark, sf_dir)).select(
         "qname", "block", "read_start", "ref_start", "length")
 
 
 @query("ref_position_at_read_offset", W("reads") + CE_SQL + """
-, q as (select qname, cast(1 + pos % 32 as integer) as read_offset from reads where (flag & 4) = 0)
+, q as (select rid, qname, cast(1 + pos % 32 as integer) as read_offset from rr where (flag & 4) = 0)
 select q.qname, q.read_offset, cast(coalesce(max(b.ref_start + q.read_offset - b.read_start), 0) as integer) as ref_pos
-from q left join blk b on b.qname = q.qname and q.read_offset between b.read_start and b.read_start + b.length - 1
-group by q.qname, q.read_offset""")
+from q left join blk b on b.rid = q.rid and q.read_offset between b.read_start and b.read_start + b.length - 1
+group by q.rid, q.qname, q.read_offset""")
 def q_ref_position_at_read_offset(spark, sf_dir):
     r = _mapped(spark, sf_dir).withColumn("read_offset", (1 + F.col("pos") % 32).cast("int"))
     return r.select("qname", "read_offset",

@@ -95,9 +95,14 @@ def read_fastq(spark: SparkSession, path: str, mate: int | None = None) -> DataF
 
 
 def fastq_lines(records: DataFrame) -> DataFrame:
-    """Records (name, seq, qual, order key ``k``) -> 4 text lines each, with ``k``, ``sub``."""
+    """Records (name, seq, qual, order key ``k``) -> 4 text lines each.
+
+    Returns ``k, _rid, sub, value``; sorting by (k, _rid, sub) keeps the four
+    lines of a record together even when records tie on ``k``.
+    """
     four = F.array(F.concat(F.lit("@"), F.col("name")), F.col("seq"), F.lit("+"), F.col("qual"))
-    return records.select("k", F.posexplode(four).alias("sub", "value"))
+    r = records.withColumn("_rid", F.monotonically_increasing_id())
+    return r.select("k", "_rid", F.posexplode(four).alias("sub", "value"))
 
 
 def interleave_fastq(r1: DataFrame, r2: DataFrame) -> DataFrame:
