@@ -54,8 +54,11 @@ def query_mate(reads: DataFrame) -> DataFrame:
     paired = reads.filter(fl.has("flag", fl.PAIRED))
     end = F.when(fl.has("flag", fl.FIRST_OF_PAIR), 1).when(fl.has("flag", fl.SECOND_OF_PAIR), 2).otherwise(0)
     want = paired.withColumn("_want_end", F.when(end == 1, 2).when(end == 2, 1).otherwise(-1))
-    cand = paired.select(F.col("qname").alias("_q"), end.alias("_end"), F.col("ref_index").alias("_r"),
-                         F.col("pos").alias("_p"), F.col("flag").alias("mate_flag"))
+    # One row per candidate position (count kept): a name with many records
+    # at one place never multiplies rows in the join.
+    cand = (paired.groupBy(F.col("qname").alias("_q"), end.alias("_end"), F.col("ref_index").alias("_r"),
+                           F.col("pos").alias("_p"))
+            .agg(F.min("flag").alias("mate_flag"), F.count(F.lit(1)).alias("_k")))
     cond = ((want["qname"] == cand["_q"]) & (want["_want_end"] == cand["_end"])
             & (want["mate_pos"] == cand["_p"]))
     if "mate_ref_index" in reads.columns:
@@ -66,7 +69,7 @@ def query_mate(reads: DataFrame) -> DataFrame:
     key = [c for c in ("qname", "flag", "ref_index", "pos", "mate_ref_index", "mate_pos") if c in reads.columns]
     counts = j.groupBy(*key).agg(
         F.min("mate_flag").alias("mate_flag"), F.min("_p").alias("mate_found_pos"),
-        F.count("mate_flag").alias("n_mates"))
+        F.coalesce(F.sum("_k"), F.lit(0)).cast("long").alias("n_mates"))
     return counts
 
 

@@ -9,7 +9,7 @@ position inside the partition; the offset table has one row per partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flags as fl
@@ -55,13 +55,15 @@ def ref_pos_keys(ref_index="ref_index", pos="pos") -> list[Column]:
 
 
 def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, with_total: bool = False):
     """0-based rank of every row in ``order`` (ties get distinct ranks).
 
     Range partition + sort on the full key, materialise once in the
     checkpoint folder (so the per-partition counts and the rows agree even if
-    an executor is lost), then add partition offsets from a table with one
-    row per partition (broadcast: its size is the partition count).
+    an executor is lost), count rows per partition, and add each partition's
+    offset. The count table has one row per partition (bounded by the
+    partition count, not the data); its prefix sums are taken on the driver
+    and broadcast back. With ``with_total`` returns (ranked, total rows).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -71,13 +73,17 @@ def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
     part = F.shiftright("_mid", 33)
-    counts = staged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"),
-                                                  F.min("_mid").alias("_min"))
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    counts = (staged.groupBy(part.alias("_p"))
+              .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_min")).collect())
+    running, rows = 0, []
+    for r in sorted(counts, key=lambda r: r["_p"]):
+        rows.append((int(r["_p"]), int(r["_min"]), running))
+        running += int(r["_n"])
+    offsets = spark.createDataFrame(rows, "_p long, _min long, _off long")
     ranked = staged.withColumn("_p", part).join(F.broadcast(offsets), "_p")
-    return ranked.withColumn(rank_col, (F.col("_off") + F.col("_mid") - F.col("_min")).cast("long")) \
-        .drop("_p", "_n", "_min", "_off", "_mid")
+    ranked = ranked.withColumn(rank_col, (F.col("_off") + F.col("_mid") - F.col("_min")).cast("long")) \
+        .drop("_p", "_min", "_off", "_mid")
+    return (ranked, running) if with_total else ranked
 
 
 def equal_split_region(rank, n, k) -> Column:
@@ -93,9 +99,8 @@ def equal_split_region(rank, n, k) -> Column:
 
 
 def equal_split_regions(df: DataFrame, order: list, k: int, region_col: str = "region") -> DataFrame:
-    """Global rank + region id; ``n`` is the row count (one scalar to the driver)."""
-    ranked = global_rank(df, order)
-    n = ranked.count()
+    """Global rank + region id; the row count comes with the rank (no extra pass)."""
+    ranked, n = global_rank(df, order, with_total=True)
     return ranked.withColumn(region_col, equal_split_region("rank", n, k))
 
 

@@ -118,6 +118,14 @@ def five_prime(pos="pos", cigar="cigar", flag="flag") -> Column:
         .otherwise(co.unclipped_start(pos, cigar))
 
 
+def end_key(ref_index, five_prime_pos, reverse) -> Column:
+    """(contig, 5' position, strand) packed into one BIGINT with the same order
+    as the tuple, so min/max/equality run in hash aggregation."""
+    r = _c(ref_index).cast("long") + 1
+    p = _c(five_prime_pos).cast("long") + (1 << 31)
+    return F.shiftleft(r, 33) + p * 2 + _c(reverse).cast("long")
+
+
 def mark_duplicates(reads: DataFrame, library: Column | None = None) -> DataFrame:
     """Flag duplicates (0x400) among mapped reads.
 
@@ -134,8 +142,7 @@ def mark_duplicates(reads: DataFrame, library: Column | None = None) -> DataFram
     """
     lib = library if library is not None else F.lit("LIB1")
     m = reads.filter(fl.is_mapped("flag")).withColumn("_lib", lib)
-    ends = m.select("qname", "_lib", F.struct(F.col("ref_index").alias("r"), five_prime().alias("p"),
-                                              fl.has("flag", fl.REVERSE).alias("s")).alias("end"),
+    ends = m.select("qname", "_lib", end_key("ref_index", five_prime(), fl.has("flag", fl.REVERSE)).alias("end"),
                     read_score("qual").alias("score"))
     per_name = ends.groupBy("qname", "_lib").agg(
         F.count(F.lit(1)).alias("n"), F.min("end").alias("e1"), F.max("end").alias("e2"),
@@ -338,12 +345,17 @@ def bqsr_apply(reads: DataFrame, deltas: DataFrame, rg: str = "rg") -> DataFrame
 
 def locus_depth(reads: DataFrame) -> DataFrame:
     """Per (contig, locus): depth over aligned blocks and A/C/G/T/N counts.
-    The per-base rows are combined map-side; the shuffle is per locus."""
+
+    Each block is cut to its own bases before exploding, so per-base rows
+    carry only (contig, locus, base); they are combined map-side and the
+    shuffle is per locus, bounded by the covered genome.
+    """
     blocks = reads.filter(fl.is_mapped("flag")).select(
         "ref_index", "seq", F.explode(cg.alignment_blocks("cigar", "pos")).alias("b"))
-    k = blocks.select("ref_index", "seq", "b", F.explode(F.sequence(F.lit(0), F.col("b.length") - 1)).alias("k"))
-    base = F.upper(F.substring("seq", F.col("b.read_start") + F.col("k"), 1))
-    per = k.select("ref_index", (F.col("b.ref_start") + F.col("k")).alias("pos"), base.alias("base"))
+    blk = blocks.select("ref_index", F.col("b.ref_start").alias("ref_start"),
+                        F.upper(F.substring("seq", F.col("b.read_start"), F.col("b.length"))).alias("bases"))
+    per = blk.select("ref_index", "ref_start", F.posexplode(bs.chars("bases")).alias("k", "base"))
+    per = per.select("ref_index", (F.col("ref_start") + F.col("k")).alias("pos"), "base")
     return per.groupBy("ref_index", "pos").agg(
         F.count(F.lit(1)).alias("depth"),
         *[F.count_if(F.col("base") == b).alias(f"n_{b.lower()}") for b in "ACGT"],

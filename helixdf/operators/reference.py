@@ -87,8 +87,8 @@ def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str]) -> D
     q_mm = F.aggregate(F.arrays_zip(diff.alias("d"), quals.alias("q")), F.lit(0),
                        lambda acc, z: acc + F.when(z["d"], z["q"]).otherwise(0))
     per = seg.select(*cols, count(diff).alias("_n"), q_mm.alias("_q"), count(diff_bs).alias("_nb"))
-    firsts = [F.first(c).alias(c) for c in keep + ["_indel"]]
-    agg = per.groupBy("_rid").agg(*firsts, F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("mismatches"),
+    # keep columns depend on the row id: grouping by them too keeps a hash aggregation
+    agg = per.groupBy("_rid", *keep, "_indel").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("mismatches"),
                                   F.coalesce(F.sum("_q"), F.lit(0)).cast("int").alias("mismatch_qual_sum"),
                                   F.coalesce(F.sum("_nb"), F.lit(0)).cast("int").alias("mismatches_bisulfite"))
     blockless = (r.filter(~F.exists(cg.alignment_blocks("cigar", "pos"), lambda b: b["length"] > 0))

@@ -61,8 +61,9 @@ def q_sort_ref_pos(spark, sf_dir):
 select ref_index, n as n_records, cast(coalesce(sum(n) over (order by ref_index rows between unbounded preceding and 1 preceding), 0) as bigint) as first_rank,
  cast(sum(n) over (order by ref_index rows between unbounded preceding and current row) - 1 as bigint) as last_rank from c""")
 def q_sort_by_contig(spark, sf_dir):
-    """Contig-keyed sort: range partition on ref_index; each contig's slice of ranks."""
-    ranked = order.global_rank(_kept(spark, sf_dir), [F.col("ref_index")])
+    """Contig-keyed sort; each contig's slice of ranks. Later keys only split a
+    large contig across range partitions (the contig order is what is promised)."""
+    ranked = order.global_rank(_kept(spark, sf_dir), [F.col("ref_index"), F.col("pos"), F.col("qname")])
     return ranked.groupBy("ref_index").agg(F.count(F.lit(1)).alias("n_records"),
                                            F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"))
 
