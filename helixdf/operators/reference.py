@@ -21,19 +21,20 @@ TILE_SHIFT = 5
 TILE = 1 << TILE_SHIFT
 
 
-def segments(reads: DataFrame, keep: list[str]) -> DataFrame:
+def segments(reads: DataFrame, keep: list[str], outer: bool = False) -> DataFrame:
     """Aligned segments: each block split at tile borders.
 
     Columns: ``keep`` + ref_index, tile, seg_ref (1-based), seg_read (1-based
-    read offset), seg_len.
+    read offset), seg_len. With ``outer`` a record without aligned bases keeps
+    one row with NULL segment columns.
     """
     keep = [c for c in keep if c != "ref_index"]
-    blocks = reads.select(*keep, "ref_index",
-                          F.explode(cg.alignment_blocks("cigar", "pos")).alias("b")) \
-        .filter(F.col("b.length") > 0)
+    explode = F.explode_outer if outer else F.explode
+    real = F.filter(cg.alignment_blocks("cigar", "pos"), lambda b: b["length"] > 0)
+    blocks = reads.select(*keep, "ref_index", explode(real).alias("b"))
     b_ref, b_len, b_read = F.col("b.ref_start"), F.col("b.length"), F.col("b.read_start")
     tiles = F.sequence(F.shiftright(b_ref - 1, TILE_SHIFT), F.shiftright(b_ref + b_len - 2, TILE_SHIFT))
-    seg = blocks.select(*keep, "ref_index", "b", F.explode(tiles).alias("tile"))
+    seg = blocks.select(*keep, "ref_index", "b", explode(tiles).alias("tile"))
     lo = F.greatest(b_ref, F.col("tile") * TILE + 1)
     hi = F.least(b_ref + b_len - 1, F.col("tile") * TILE + TILE)
     return seg.select(*keep, "ref_index", "tile", lo.alias("seg_ref"),
@@ -61,9 +62,33 @@ def _mismatch_flags(read_sub: Column, ref_sub: Column, negative: Column, bisulfi
     return F.zip_with(bs.chars(read_sub), bs.chars(ref_sub), differ)
 
 
-def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str]) -> DataFrame:
-    """Per record: ``keep`` columns + mismatches, mismatch_qual_sum,
-    mismatches_bisulfite and nm (mismatches + inserted + deleted bases).
+def mismatch_codes(read_sub: Column, ref_sub: Column, negative: Column) -> Column:
+    """Per position of two equal-length segments: 0 equal (case-insensitive),
+    1 differs only by bisulfite conversion (C->T forward, G->A reverse),
+    2 mismatch."""
+    def code(x, y):
+        ux, uy = F.upper(x), F.upper(y)
+        conv = F.when(negative, (uy == "G") & (ux == "A")).otherwise((uy == "C") & (ux == "T"))
+        return F.when(ux == uy, 0).when(conv, 1).otherwise(2)
+    return F.zip_with(bs.chars(read_sub), bs.chars(ref_sub), code)
+
+
+def segment_mismatches(read_sub: Column, ref_sub: Column, negative: Column):
+    """(mismatches, bisulfite mismatches) of two equal-length segments, in one
+    pass over the positions."""
+    codes = mismatch_codes(read_sub, ref_sub, negative)
+    acc0 = F.struct(F.lit(0).alias("n"), F.lit(0).alias("nb"))
+    tot = F.aggregate(codes, acc0, lambda acc, c: F.struct(
+        (acc["n"] + F.when(c > 0, 1).otherwise(0)).alias("n"),
+        (acc["nb"] + F.when(c == 2, 1).otherwise(0)).alias("nb")))
+    return tot["n"], tot["nb"]
+
+
+def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str],
+                   with_quals: bool = False) -> DataFrame:
+    """Per record: ``keep`` columns + mismatches, mismatches_bisulfite, nm
+    (mismatches + inserted + deleted bases) and, with ``with_quals``,
+    mismatch_qual_sum.
 
     Each record gets a row id before it is cut into segments, so records
     sharing a name (or identical records) are counted separately; the
@@ -73,29 +98,27 @@ def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str]) -> D
     indel = cg.inserted_bases("cigar") + cg.deleted_bases("cigar")
     r = reads.withColumn("_rid", F.monotonically_increasing_id()).withColumn("_indel", indel)
     cols = list(dict.fromkeys(keep + ["_rid", "_indel", "seq", "qual", "flag"]))
-    seg = with_reference(segments(r, cols), ref_tiles, "left")
+    seg = with_reference(segments(r, cols, outer=True), ref_tiles, "left")
     read_sub = F.substring("seq", F.col("seg_read"), F.col("seg_len"))
-    q_sub = F.substring("qual", F.col("seg_read"), F.col("seg_len"))
     neg = fl.has("flag", fl.REVERSE)
-    diff = _mismatch_flags(read_sub, F.col("ref_sub"), neg, False)
-    diff_bs = _mismatch_flags(read_sub, F.col("ref_sub"), neg, True)
-    quals = bs.phred_decode(q_sub)
-
-    def count(a):
-        return F.aggregate(a, F.lit(0), lambda acc, d: acc + F.when(d, 1).otherwise(0))
-
-    q_mm = F.aggregate(F.arrays_zip(diff.alias("d"), quals.alias("q")), F.lit(0),
-                       lambda acc, z: acc + F.when(z["d"], z["q"]).otherwise(0))
-    per = seg.select(*cols, count(diff).alias("_n"), q_mm.alias("_q"), count(diff_bs).alias("_nb"))
+    codes = mismatch_codes(read_sub, F.col("ref_sub"), neg)
+    acc0 = F.struct(F.lit(0).alias("n"), F.lit(0).alias("nb"))
+    tot = F.aggregate(codes, acc0, lambda acc, c: F.struct(
+        (acc["n"] + F.when(c > 0, 1).otherwise(0)).alias("n"),
+        (acc["nb"] + F.when(c == 2, 1).otherwise(0)).alias("nb")))
+    outs = [tot["n"].alias("_n"), tot["nb"].alias("_nb")]
+    sums = [F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("mismatches"),
+            F.coalesce(F.sum("_nb"), F.lit(0)).cast("int").alias("mismatches_bisulfite")]
+    if with_quals:
+        q_sub = F.substring("qual", F.col("seg_read"), F.col("seg_len"))
+        q_mm = F.aggregate(F.zip_with(codes, bs.phred_decode(q_sub), lambda c, q: F.when(c > 0, q).otherwise(0)),
+                           F.lit(0), lambda acc, x: acc + x)
+        outs.append(q_mm.alias("_q"))
+        sums.append(F.coalesce(F.sum("_q"), F.lit(0)).cast("int").alias("mismatch_qual_sum"))
+    per = seg.select(*cols, *outs)
     # keep columns depend on the row id: grouping by them too keeps a hash aggregation
-    agg = per.groupBy("_rid", *keep, "_indel").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("mismatches"),
-                                  F.coalesce(F.sum("_q"), F.lit(0)).cast("int").alias("mismatch_qual_sum"),
-                                  F.coalesce(F.sum("_nb"), F.lit(0)).cast("int").alias("mismatches_bisulfite"))
-    blockless = (r.filter(~F.exists(cg.alignment_blocks("cigar", "pos"), lambda b: b["length"] > 0))
-                 .select("_rid", *keep, "_indel", F.lit(0).alias("mismatches"),
-                         F.lit(0).alias("mismatch_qual_sum"), F.lit(0).alias("mismatches_bisulfite")))
-    both = agg.unionByName(blockless)
-    return both.withColumn("nm", (F.col("mismatches") + F.col("_indel")).cast("int")).drop("_rid", "_indel")
+    agg = per.groupBy("_rid", *keep, "_indel").agg(*sums)
+    return agg.withColumn("nm", (F.col("mismatches") + F.col("_indel")).cast("int")).drop("_rid", "_indel")
 
 
 def set_nm(reads: DataFrame, ref_tiles: DataFrame) -> DataFrame:

@@ -240,7 +240,7 @@ def q_count_mismatches(spark, sf_dir):
 select qname, mismatch_qual_sum from per""")
 def q_sum_mismatch_quals(spark, sf_dir):
     f = _f(spark, sf_dir)
-    return reference.mismatch_stats(_mapped_reads(spark, sf_dir), f.ref_tiles, ["qname"]) \
+    return reference.mismatch_stats(_mapped_reads(spark, sf_dir), f.ref_tiles, ["qname"], with_quals=True) \
         .select("qname", "mismatch_qual_sum")
 
 
