@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        # A machine-local folder would not survive an executor loss.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
     path = tempfile.mkdtemp(prefix="helixdf-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
