@@ -37,14 +37,16 @@ def q_query_contained(spark, sf_dir):
 
 
 @query("query_alignment_start", W("reads") + """
-select r.qname, r.pos from reads r where r.ref_index = 7 and r.pos in (select pos from reads where ref_index = 7 and pos % 10 = 3)""")
+, s as (select ref_index, pos from reads where ref_index >= 0 and pos > 0 group by ref_index, pos having count(*) >= 2)
+select r.qname, r.ref_index, r.pos from reads r join s on s.ref_index = r.ref_index and s.pos = r.pos""")
 def q_query_alignment_start(spark, sf_dir):
-    """Start-position query for every start ending in 3 on chr7 (one filter each, unioned
-    through a semi join on the start)."""
+    """Start-position queries for every (contig, start) that holds two or more
+    records: the single-start filter applied to a whole set of starts at once,
+    as a semi join on (contig, start)."""
     reads = _f(spark, sf_dir).reads
-    starts = reads.filter((F.col("ref_index") == 7) & (F.col("pos") % 10 == 3)).select("pos").distinct()
-    on7 = reads.filter(F.col("ref_index") == 7)
-    return on7.join(starts, "pos", "left_semi").select("qname", "pos")
+    starts = (reads.filter((F.col("ref_index") >= 0) & (F.col("pos") > 0))
+              .groupBy("ref_index", "pos").count().filter(F.col("count") >= 2).drop("count"))
+    return reads.join(starts, ["ref_index", "pos"], "left_semi").select("qname", "ref_index", "pos")
 
 
 @query("query_unmapped", W("reads") + "select qname, flag from reads where ref_index = -1")
