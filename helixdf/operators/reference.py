@@ -16,6 +16,7 @@ from ..functions import bases as bs
 from ..functions import cigar as cg
 from ..functions import flags as fl
 from ..functions import tags as tg
+from ..session import ensure_checkpoint_dir
 
 TILE_SHIFT = 5
 TILE = 1 << TILE_SHIFT
@@ -50,18 +51,6 @@ def with_reference(seg: DataFrame, ref_tiles: DataFrame, how: str = "inner") ->
     return j.drop("_ri", "_t").withColumn("ref_sub", ref_sub).drop("bases")
 
 
-def _mismatch_flags(read_sub: Column, ref_sub: Column, negative: Column, bisulfite: bool) -> Column:
-    """Per-position mismatch booleans of two equal-length strings."""
-    def differ(a, b):
-        ne = F.upper(a) != F.upper(b)
-        if not bisulfite:
-            return ne
-        conv = F.when(negative, (F.upper(b) == "G") & (F.upper(a) == "A")) \
-            .otherwise((F.upper(b) == "C") & (F.upper(a) == "T"))
-        return ne & ~conv
-    return F.zip_with(bs.chars(read_sub), bs.chars(ref_sub), differ)
-
-
 def mismatch_codes(read_sub: Column, ref_sub: Column, negative: Column) -> Column:
     """Per position of two equal-length segments: 0 equal (case-insensitive),
     1 differs only by bisulfite conversion (C->T forward, G->A reverse),
@@ -73,15 +62,12 @@ def mismatch_codes(read_sub: Column, ref_sub: Column, negative: Column) -> Colum
     return F.zip_with(bs.chars(read_sub), bs.chars(ref_sub), code)
 
 
-def segment_mismatches(read_sub: Column, ref_sub: Column, negative: Column):
-    """(mismatches, bisulfite mismatches) of two equal-length segments, in one
-    pass over the positions."""
-    codes = mismatch_codes(read_sub, ref_sub, negative)
+def tally_codes(codes: Column) -> Column:
+    """struct(n, nb): mismatches and bisulfite-aware mismatches of a code array."""
     acc0 = F.struct(F.lit(0).alias("n"), F.lit(0).alias("nb"))
-    tot = F.aggregate(codes, acc0, lambda acc, c: F.struct(
+    return F.aggregate(codes, acc0, lambda acc, c: F.struct(
         (acc["n"] + F.when(c > 0, 1).otherwise(0)).alias("n"),
         (acc["nb"] + F.when(c == 2, 1).otherwise(0)).alias("nb")))
-    return tot["n"], tot["nb"]
 
 
 def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str],
@@ -102,10 +88,7 @@ def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str],
     read_sub = F.substring("seq", F.col("seg_read"), F.col("seg_len"))
     neg = fl.has("flag", fl.REVERSE)
     codes = mismatch_codes(read_sub, F.col("ref_sub"), neg)
-    acc0 = F.struct(F.lit(0).alias("n"), F.lit(0).alias("nb"))
-    tot = F.aggregate(codes, acc0, lambda acc, c: F.struct(
-        (acc["n"] + F.when(c > 0, 1).otherwise(0)).alias("n"),
-        (acc["nb"] + F.when(c == 2, 1).otherwise(0)).alias("nb")))
+    tot = tally_codes(codes)
     outs = [tot["n"].alias("_n"), tot["nb"].alias("_nb")]
     sums = [F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("mismatches"),
             F.coalesce(F.sum("_nb"), F.lit(0)).cast("int").alias("mismatches_bisulfite")]
@@ -122,8 +105,13 @@ def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str],
 
 
 def set_nm(reads: DataFrame, ref_tiles: DataFrame) -> DataFrame:
-    """Write computed NM values into each record's tag map."""
-    keep = [c for c in reads.columns]
-    stats = mismatch_stats(reads, ref_tiles, keep)
-    return stats.withColumn("tags", tg.set_tag("tags", "NM", "i", F.col("nm"))) \
-        .drop("nm", "mismatches", "mismatch_qual_sum", "mismatches_bisulfite")
+    """Write computed NM values into each record's tag map.
+
+    Records get an id and are stored once in the checkpoint folder, so the
+    statistics and the records they are joined back to carry the same ids.
+    """
+    ensure_checkpoint_dir(reads.sparkSession)
+    r = reads.withColumn("_sid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    nm = mismatch_stats(r, ref_tiles, ["_sid"]).select("_sid", "nm")
+    j = r.join(nm, "_sid", "left")
+    return j.withColumn("tags", tg.set_tag("tags", "NM", "i", F.coalesce("nm", F.lit(0)))).drop("nm", "_sid")

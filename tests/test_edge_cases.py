@@ -259,3 +259,15 @@ def test_streaming_ingest_matches_batch(spark):
                      os.path.join(base, "ckpt"))
     q.awaitTermination(120)
     assert spark.read.parquet(os.path.join(base, "out")).count() == batch
+
+
+def test_set_nm_writes_tag(spark):
+    from helixdf import fixtures as fx
+    from helixdf.functions import tags as tg
+    from helixdf.operators import reference
+    from helixdf.sources import sam
+    f = fx.load(spark, "/root/testdata/sf0.001")
+    reads = sam.parse_sam_lines(f.sam_lines, f.contigs).filter(fl.is_mapped("flag"))
+    out = reference.set_nm(reads, f.ref_tiles)
+    assert out.count() == reads.count()
+    assert out.filter(tg.tag_int("tags", "NM").isNull()).count() == 0
