@@ -35,8 +35,8 @@ def phred_decode(qual) -> Column:
     """Phred+33 text -> ``ARRAY<INT>``; ``*`` -> empty; NULL if any char is out of 33..126."""
     q = _c(qual)
     arr = F.transform(chars(q), lambda ch: F.ascii(ch) - PHRED_OFFSET)
-    bad = F.exists(arr, lambda x: (x < 0) | (x > MAX_PHRED))
-    return F.when(q == "*", F.array().cast("array<int>")).when(~bad, arr)
+    in_range = q.rlike("^[!-~]*$")          # characters 33..126, checked by a regex
+    return F.when(q == "*", F.array().cast("array<int>")).when(in_range, arr)
 
 
 def phred_encode(quals) -> Column:

@@ -68,8 +68,14 @@ def _out_of_range(lo: int, hi: int):
 
 
 def tags_from_fields(fields) -> Column:
-    """Array of ``TG:T:VALUE`` strings -> tag map; a repeated tag keeps the last value."""
+    """Array of ``TG:T:VALUE`` strings -> tag map; a repeated tag keeps the last value.
+
+    Distinct names (the normal case) build the map in one step; only records
+    that repeat a tag take the fold that replaces earlier values.
+    """
     entries = F.transform(_c(fields), split_tag)
+    keys = F.transform(entries, lambda e: e["tag"])
+    values = F.transform(entries, lambda e: F.struct(e["type"].alias("type"), e["value"].alias("value")))
     empty = F.create_map().cast(TAGS_TYPE)
 
     def add(m, e):
@@ -77,7 +83,10 @@ def tags_from_fields(fields) -> Column:
         return F.map_concat(kept, F.create_map(e["tag"], F.struct(e["type"].alias("type"),
                                                                    e["value"].alias("value"))))
 
-    return F.aggregate(entries, empty, add)
+    distinct = F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.when(F.size(entries) == 0, empty) \
+        .when(distinct, F.map_from_arrays(keys, values)) \
+        .otherwise(F.aggregate(entries, empty, add))
 
 
 def tag_type(tags, name: str) -> Column:

@@ -271,3 +271,11 @@ def test_set_nm_writes_tag(spark):
     out = reference.set_nm(reads, f.ref_tiles)
     assert out.count() == reads.count()
     assert out.filter(tg.tag_int("tags", "NM").isNull()).count() == 0
+
+
+def test_tags_last_value_wins_and_excess_colons(spark):
+    from helixdf.functions import tags as tg
+    df = spark.createDataFrame([(["NM:i:1", "XZ:Z:a:b", "NM:i:2"],), (["RG:Z:g"],), ([],)], "f array<string>")
+    rows = df.select(tg.tags_from_fields("f").alias("t")).collect()
+    assert {k: (v.type, v.value) for k, v in rows[0].t.items()} == {"NM": ("i", "2"), "XZ": ("Z", "a:b")}
+    assert rows[1].t["RG"].value == "g" and rows[2].t == {}
