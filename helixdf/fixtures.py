@@ -201,15 +201,19 @@ _STORED: dict[str, dict[str, DataFrame]] = {}
 
 
 def store(spark: SparkSession, sf_dir: str, names=tuple(FIXTURES)) -> None:
-    """Materialise fixtures for ``sf_dir`` with reliable checkpoints; later
-    ``load`` calls for the folder reuse them (results are unchanged)."""
+    """Write fixtures for ``sf_dir`` as Parquet under the session's checkpoint
+    folder; later ``load`` calls for the folder read them back (results are
+    unchanged)."""
+    from .session import scratch_path
     key = sf_dir.rstrip("/")
     f = Fixtures(spark, key)
     stored = _STORED.setdefault(key, {})
     for n in _closure(list(names)):
         if n in stored:
             continue
-        df = f.get(n).checkpoint(eager=True)
+        path = scratch_path(spark, f"fixture-{n}.parquet")
+        f.get(n).write.parquet(path)
+        df = spark.read.parquet(path)
         f._cache[n] = df
         df.createOrReplaceTempView(n)
         stored[n] = df
