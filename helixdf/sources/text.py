@@ -202,16 +202,19 @@ def write_text(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
 # --- columnar read store ----------------------------------------------------------------
 
 def write_reads_columnar(reads: DataFrame, path: str, mode: str = "overwrite",
-                         records_per_file: int = 2_000_000) -> None:
+                         records_per_file: int = 2_000_000, num_partitions: int | None = None) -> None:
     """Coordinate-sorted Parquet store partitioned by contig.
 
-    ``repartitionByRange`` on (ref_index, pos) balances files even when one
-    contig dominates, ``sortWithinPartitions`` keeps row-group min/max on
-    ``pos`` tight, so region filters prune partitions and row groups (the
-    role of a BAM index).
+    ``repartitionByRange`` on (ref_index, pos, qname) balances files even when
+    one contig or one position dominates, ``sortWithinPartitions`` keeps
+    row-group min/max on ``pos`` tight, so region filters prune partitions and
+    row groups (the role of a BAM index). The range count defaults to the
+    session's shuffle partitions; pass ``num_partitions`` sized to the data
+    (about 1 GB of reads per range) for very large inputs.
     """
-    n = max(1, reads.sparkSession.sparkContext.defaultParallelism)
-    (reads.repartitionByRange(n, "ref_index", "pos")
+    spark = reads.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (reads.repartitionByRange(n, "ref_index", "pos", "qname")
      .sortWithinPartitions("ref_index", "pos")
      .write.mode(mode).option("maxRecordsPerFile", records_per_file)
      .partitionBy("ref_index").parquet(path))
