@@ -23,7 +23,6 @@ WARNING_TYPES = ("INVALID_QUALITY_FORMAT", "PAIRED_READ_NOT_MARKED_AS_FIRST_OR_S
 MAX_INSERT_SIZE = 1 << 29
 VALID_BASES_REGEX = "^[acmgrsvtwyhkdbnACMGRSVTWYHKDBN.=]+$"
 
-ERROR_SCHEMA = "struct<type:string,message:string>"
 
 
 def _e(cond: Column, type_: str, message: str) -> Column:

@@ -279,3 +279,16 @@ def test_tags_last_value_wins_and_excess_colons(spark):
     rows = df.select(tg.tags_from_fields("f").alias("t")).collect()
     assert {k: (v.type, v.value) for k, v in rows[0].t.items()} == {"NM": ("i", "2"), "XZ": ("Z", "a:b")}
     assert rows[1].t["RG"].value == "g" and rows[2].t == {}
+
+
+def test_bin_geometry_levels(spark):
+    rows = [(0,), (1,), (8,), (9,), (72,), (73,), (584,), (585,), (4680,), (4681,), (37449,)]
+    df = spark.createDataFrame(rows, "bin int")
+    got = [(r.l, r.f, r.e) for r in df.select(co.bin_level("bin").alias("l"), co.bin_first_locus("bin").alias("f"),
+                                               co.bin_last_locus("bin").alias("e")).collect()]
+    size = {0: 1 << 29, 1: 1 << 26, 2: 1 << 23, 3: 1 << 20, 4: 1 << 17, 5: 1 << 14}
+    first = {0: 0, 1: 1, 2: 9, 3: 73, 4: 585, 5: 4681}
+    for (b,), (lvl, f, e) in zip(rows, got):
+        assert f == (b - first[lvl]) * size[lvl] + 1 and e == f + size[lvl] - 1
+    assert [r[0] for r in spark.createDataFrame([(249250621,)], "n long")
+            .select(co.max_bin_for_length("n")).collect()] == [4681 + (249250621 >> 14)]
