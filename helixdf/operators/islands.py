@@ -10,9 +10,9 @@ Scale plan (no single task ever sees a whole contig's reads):
    not by read depth.
 2. local islands inside fixed 16 kbp buckets of the start position
    (window partitioned by (contig, bucket), <= 16 384 rows per partition).
-3. merge the local islands of a contig with the same rule. Islands are
-   separated by more than ``gap`` bases, so a contig holds at most
-   length / (gap + 1) of them however deep the data is.
+3. join local islands across buckets with windows over the bucket summary
+   table only (one row per bucket), then group by the global island id. No
+   window ever spans a whole contig's reads or islands.
 """
 
 from __future__ import annotations
@@ -43,12 +43,31 @@ def islands(intervals: DataFrame, gap: int = INTERVAL_OVERLAP, bucket_shift: int
     """Islands of 1-based (``start``, ``end``) intervals per ``key``.
 
     Returns ``key, island_start, island_end, n_reads``.
+
+    After the local islands of each bucket, a local island starts a new
+    global island exactly when its start lies more than ``gap`` past the
+    largest end of all earlier buckets (earlier local islands of its own
+    bucket are already farther away by the local rule). That prefix maximum
+    and the running count of opened islands are windows over the bucket
+    summary table (one row per bucket, <= contig length / 16 kbp rows per
+    contig); the final grouping by island id is an ordinary aggregation.
     """
     pre = (intervals.groupBy(key, "start")
            .agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n")))
-    local = _islands_once(pre.withColumn("_bucket", F.shiftright("start", bucket_shift)),
-                          [key, "_bucket"], gap, "n")
-    merged = _islands_once(local.select(key, "start", "end", "n"), [key], gap, "n")
+    local = _islands_once(pre.withColumn("_b", F.shiftright("start", bucket_shift)),
+                          [key, "_b"], gap, "n")
+    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    summary = (local.groupBy(key, "_b").agg(F.max("end").alias("_bmax"))
+               .withColumn("_prev", F.max("_bmax").over(earlier)))
+    flagged = local.join(summary.select(key, "_b", "_prev"), [key, "_b"]).withColumn(
+        "_open", F.when(F.col("_prev").isNull() | (F.col("start") > F.col("_prev") + gap), 1).otherwise(0))
+    opened = (flagged.groupBy(key, "_b").agg(F.sum("_open").alias("_c"))
+              .withColumn("_base", F.coalesce(F.sum("_c").over(earlier), F.lit(0))))
+    within = Window.partitionBy(key, "_b").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = (flagged.join(opened.select(key, "_b", "_base"), [key, "_b"])
+                .withColumn("_gid", F.col("_base") + F.sum("_open").over(within)))
+    merged = numbered.groupBy(key, "_gid").agg(F.min("start").alias("start"), F.max("end").alias("end"),
+                                               F.sum("n").alias("n"))
     return merged.select(F.col(key), F.col("start").cast("int").alias("island_start"),
                          F.col("end").cast("int").alias("island_end"),
                          F.col("n").cast("long").alias("n_reads"))
