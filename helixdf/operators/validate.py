@@ -8,6 +8,8 @@ message``. A stringency policy then decides what happens to them.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,18 @@ VALID_BASES_REGEX = "^[acmgrsvtwyhkdbnACMGRSVTWYHKDBN.=]+$"
 
 
 
-def _e(cond: Column, type_: str, message: str) -> Column:
-    return F.when(cond, F.struct(F.lit(type_).alias("type"), F.lit(message).alias("message")))
+class Rule(NamedTuple):
+    """One validation rule: a boolean column, its error type and message."""
+    cond: Column
+    type: str
+    message: str
+
+    def column(self) -> Column:
+        return F.when(self.cond, F.struct(F.lit(self.type).alias("type"), F.lit(self.message).alias("message")))
+
+
+def _e(cond: Column, type_: str, message: str) -> Rule:
+    return Rule(cond, type_, message)
 
 
 def severity(type_col) -> Column:
@@ -34,9 +46,10 @@ def severity(type_col) -> Column:
     return F.when(t.isin(*WARNING_TYPES), F.lit("WARNING")).otherwise(F.lit("ERROR"))
 
 
-def explode_errors(df: DataFrame, rules: list[Column], keep: list[str] | None = None) -> DataFrame:
+def explode_errors(df: DataFrame, rules: list[Rule], keep: list[str] | None = None) -> DataFrame:
+    """One row per broken rule per record: ``keep`` + type, severity, message."""
     keep = keep or ["qname"]
-    errs = F.array_compact(F.array(*rules))
+    errs = F.array_compact(F.array(*[r.column() for r in rules]))
     out = df.select(*keep, F.explode(errs).alias("_e"))
     return out.select(*keep, F.col("_e.type").alias("type"), severity(F.col("_e.type")).alias("severity"),
                       F.col("_e.message").alias("message"))
@@ -79,7 +92,7 @@ def position_rules(mate: bool = False) -> list[Column]:
         _e(has_ref & length.isNotNull() & (pos > length), "INVALID_ALIGNMENT_START", who + "start past reference end"),
     ]
     if mate:
-        return [F.when(fl.has("flag", fl.PAIRED), r) for r in rules]
+        return [Rule(fl.has("flag", fl.PAIRED) & r.cond, r.type, r.message) for r in rules]
     rules.append(_e(~fl.has("flag", fl.UNMAPPED) & ~has_ref, "INVALID_FLAG_READ_UNMAPPED",
                     "mapped read without reference"))
     return rules
@@ -231,15 +244,29 @@ def validate_mates(reads: DataFrame) -> DataFrame:
 def validate_records(reads: DataFrame) -> DataFrame:
     """All record-level rule sets in one pass (needs ref_length, mate_ref_length,
     mate_ref_index, mate_pos, isize)."""
-    rules = (flag_rules() + position_rules() + position_rules(mate=True) + range_rules()
-             + cigar_rules() + off_reference_rules() + sequence_rules())
-    return explode_errors(reads, rules)
+    return explode_errors(reads, record_rules())
 
 
 def summary(errors: DataFrame) -> DataFrame:
     return errors.groupBy("type", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
+def record_rules() -> list[Rule]:
+    return (flag_rules() + position_rules() + position_rules(mate=True) + range_rules()
+            + cigar_rules() + off_reference_rules() + sequence_rules())
+
+
+def summary_counts(reads: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """Errors by (type, severity) without materialising error rows: one
+    aggregation with a counter per rule (combined map-side), unpivoted."""
+    rules = rules if rules is not None else record_rules()
+    counts = reads.agg(*[F.count_if(r.cond).alias(f"c{i}") for i, r in enumerate(rules)])
+    pairs = ", ".join(f"'{r.type}', c{i}" for i, r in enumerate(rules))
+    rows = counts.selectExpr(f"stack({len(rules)}, {pairs}) as (type, n)")
+    return (rows.groupBy("type").agg(F.sum("n").cast("long").alias("n"))
+            .filter(F.col("n") > 0).select("type", severity(F.col("type")).alias("severity"), "n"))
+
+
 # --- stringency ------------------------------------------------------------------------
 
 def apply_stringency(reads: DataFrame, errors: DataFrame, mode: str):
