@@ -27,6 +27,7 @@ their rows; an empty table gives no shards.
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import uuid
 import zlib
@@ -48,7 +49,7 @@ SAMPLE_DOCS = 400
 DICT_BYTES = 64 << 10
 LEVEL = 3
 #: Pieces that a worker remembers.
-CACHE = 400_000
+CACHE = 300_000
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -59,8 +60,23 @@ def _uri(path: str) -> str:
     return path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes
+    for themselves, the others in order from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(printable))}
+
+
+_LETTERS = _byte_letters()
+#: Characters that end words and never join with letters into one token.
+_ENDINGS = ".,!?;:%&$#*|"
+
+
 class Encoder:
-    """Token ids as little-endian bytes, with the pieces of plain texts remembered."""
+    """Token ids as little-endian bytes, with the pieces of plain texts remembered.
+
+    Pieces live in two generations: a full young one becomes the old one, and pieces
+    found in the old one return, so frequent pieces stay."""
 
     _made: dict[str, "Encoder"] = {}
 
@@ -68,7 +84,10 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        pre = json.loads(self.tok.to_str())["pre_tokenizer"] or {}
+        self.byte_level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -77,44 +96,53 @@ class Encoder:
         return cls._made[path]
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.tok.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def piece(self, p: str) -> bytes:
+        """A piece of a text: letters are one pre-token, and so are marks that end it."""
+        got = self.young.get(p) or self.old.get(p)
+        if got is None:
+            word = p[1:] if p[0] == " " else p
+            if word.isalpha():
+                ids = [t.id for t in self.tok.model.tokenize(p.encode().decode("latin-1").translate(_LETTERS))]
+                got = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                body = word.rstrip(_ENDINGS)
+                cut = len(p) - len(word) + len(body)
+                got = self.piece(p[:cut]) + self.piece(p[cut:]) if cut < len(p) and body.isalpha() else self.whole(p)
+        self.young[p] = got
+        return got
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        missing: dict[str, None] = {}
+        out = []
         for t in texts:
-            parts = None
-            if t:
-                # every line break and every space before a word starts a token
-                parts = t.replace("\n", " \n ").split(" ")
-                if len(t.split()) + t.count("\n") != len(parts) or " \n" in t or "\n " in t:
-                    parts = None
-                else:
-                    parts = _with_spaces(parts)
-                    missing.update(dict.fromkeys(p for p in parts if p not in self.known))
-            cut.append(parts)
-        new = list(missing)
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for p, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
-        out = [b"" if not t else self.whole(t) if p is None else b"".join(map(self.known.__getitem__, p)) for t, p in zip(texts, cut)]
-        if len(self.known) > CACHE:
-            self.known.clear()
+            if not t:
+                out.append(b"")
+                continue
+            parts = _pieces(t) if self.byte_level else None
+            if parts is None:
+                out.append(self.whole(t))
+                continue
+            young = self.young
+            for p in parts:
+                if p not in young:
+                    self.piece(p)
+            out.append(b"".join(map(young.__getitem__, parts)))
+            if len(young) > CACHE:
+                self.old, self.young = young, {}
         return out
 
 
-def _with_spaces(parts: list[str]) -> list[str]:
-    """Words take the space before them; a line break and the word after it have none."""
-    out, bare = [], True
-    for p in parts:
-        if p == "\n":
-            out.append(p)
-            bare = True
-        else:
-            out.append(p if bare else " " + p)
-            bare = False
-    return out
+def _pieces(t: str) -> list[str] | None:
+    """Words with the space before them, and line breaks, of a text whose white space is
+    single spaces and line breaks between words: tokens never span these pieces."""
+    words, breaks = t.split(), t.count("\n")
+    gaps = t.count(" ") + breaks
+    if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(t) or "\0" in t:
+        return None
+    t = t.replace(" ", "\0 ")
+    return (t.replace("\n", "\0\n\0") if breaks else t).split("\0")
 
 
 def _chunks(lists: list, n: int) -> Iterator[list]:
@@ -125,8 +153,10 @@ def _chunks(lists: list, n: int) -> Iterator[list]:
 def train_dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str, sample_docs: int = SAMPLE_DOCS) -> bytes:
     """Shared dictionary from a bounded sample: the ``sample_docs`` documents of smallest
     hash, of each at most the first 8,192 ids as training material."""
-    rows = (docs.select(F.xxhash64(F.lit(5), F.col(doc_id)).alias("h"), F.col(text).alias("t"))
-            .orderBy("h", "t").limit(sample_docs).select(F.substring("t", 1, 40_000).alias("t")).collect())
+    place = F.xxhash64(F.lit(5), F.col(doc_id))
+    chosen = docs.select(place.alias("h")).orderBy("h").limit(sample_docs).distinct()
+    rows = (docs.select(place.alias("h"), F.substring(text, 1, 40_000).alias("t")).join(F.broadcast(chosen), "h")
+            .dropDuplicates(["h", "t"]).orderBy("h", "t").limit(sample_docs).collect())
     enc = Encoder(tokenizer)
     samples = [e[:4 * 8192] for e in enc.encode([r["t"] for r in rows]) if e]
     try:
