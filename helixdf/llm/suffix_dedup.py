@@ -12,8 +12,9 @@ start), and its core the bytes that all of them hold.
 3. Contexts of other cores are reduced to one row each and cut from the texts. Sampled
    splitters range-partition these suffixes by their leading bytes; each bucket sorts
    its suffixes by multikey quicksort and compares runs with equal cores string by
-   string. A run that touches a bucket's end may go on in the next bucket, however
-   far: its strings are compared across buckets by a count per string.
+   string. Runs longer than ``RUN`` are split by their further bytes, too; where such a
+   run touches a bucket's end, it may go on in the next, and its strings are compared
+   across the boundaries by a count per string.
 4. Spans of repeated strings are united per text, and the rest of the text is kept.
 
 Equality of strings is decided on 128 bits of two polynomial hashes with mixing.
@@ -40,6 +41,8 @@ SPREAD = 256
 GRAM = 32
 #: Contexts in a bucket, about.
 BUCKET = 6_000
+#: Contexts with one core that stay in one bucket.
+RUN = 40_000
 
 _BASES = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25))
 _CODES = [mix64(np.arange(1, 257, dtype=np.uint64) * b) for b in _BASES]
@@ -159,37 +162,49 @@ def _strings(stretch: list[bytes], n: list[int], before: list[int], length: int)
 
 def _bucket(length: int, spread: int):
     """Compares the suffixes of one bucket. Kind 0: strings of a context (low, high) that
-    repeat; kind 1: a string of a run that touches the bucket's end, to compare across buckets."""
+    repeat; kind 1: a string of a run that is split between buckets and touches this one's
+    end, to compare across buckets."""
     core = length - spread + 1
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = [[] for _ in range(6)]
+        cols = [[] for _ in range(7)]
         for batch in batches:
             for c, x in zip(cols, batch.columns):
                 c.extend(x.to_pylist())
-        c1, c2, before, n, times, stretch = cols
+        c1, c2, before, n, times, split, stretch = cols
         if not c1:
             return
         order, raw = multikey_quicksort([x[b:] for x, b in zip(stretch, before)])
         head = raw[order][:, :core]
         new = np.concatenate(([True], (head[1:] != head[:-1]).any(axis=1)))
-        run = np.cumsum(new) - 1
-        edges = {0, int(run[-1])}
         bounds = np.flatnonzero(np.append(new, True))
-        c1, c2, times = (np.array(x, dtype=np.int64) for x in (c1, c2, times))
+        c1, c2, times, before, n = (np.array(x, dtype=np.int64) for x in (c1, c2, times, before, n))
         begin = 0
         while begin < len(bounds) - 1:
             stop = begin + 1  # some runs at once, about 2,000 contexts
             while stop < len(bounds) - 1 and bounds[stop + 1] - bounds[begin] <= 2_000:
                 stop += 1
-            for low in range(int(bounds[begin]), int(bounds[stop]), 4_000) if stop == begin + 1 and begin in edges else [int(bounds[begin])]:
-                high = min(low + 4_000, int(bounds[stop])) if stop == begin + 1 and begin in edges else int(bounds[stop])
-                own = order[low:high]
-                owner, place, h1, h2 = _strings([stretch[k] for k in own], [n[k] for k in own], [before[k] for k in own], length)
-                at_edge = np.isin(run[low:high], list(edges))[owner]
-                if at_edge.any():
-                    yield _rows(1, c1[own][owner][at_edge], c2[own][owner][at_edge], place[at_edge], place[at_edge], h1[at_edge], h2[at_edge], times[own][owner][at_edge])
-                yield from _repeated(c1[own], c2[own], times[own], owner, place, h1, h2, ~at_edge)
+            own = order[bounds[begin]:bounds[stop]]
+            open_run = np.zeros(len(own), dtype=bool)
+            for r, low, high in ((0, bounds[0], bounds[1]), (len(bounds) - 2, bounds[-2], bounds[-1])):
+                if begin <= r < stop:
+                    open_run[low - bounds[begin]:high - bounds[begin]] = np.array([split[k] for k in order[low:high]])
+            # strings at one place before the suffix's start compare among themselves: a long
+            # run goes in slices of places, so that memory stays bounded
+            step = max(1, min(spread, 2_000 * spread // len(own)))
+            for far in range(0, spread, step):
+                first = np.maximum(before[own] - far - step + 1, 0)
+                last = np.minimum(before[own] - far, n[own] - 1)
+                some = np.flatnonzero(last >= first)
+                k = own[some]
+                first, count = first[some], (last - first + 1)[some]
+                owner, place, h1, h2 = _strings([stretch[x][a:a + c - 1 + length] for x, a, c in zip(k, first.tolist(), count.tolist())], count, before[k] - first, length)
+                place = place + first[owner]
+                at_end = open_run[some][owner]
+                if at_end.any():
+                    w = k[owner][at_end]
+                    yield _rows(1, c1[w], c2[w], place[at_end], place[at_end], h1[at_end], h2[at_end], times[w])
+                yield from _repeated(c1[k], c2[k], times[k], owner, place, h1, h2, ~at_end)
             begin = stop
     return each
 
@@ -224,10 +239,10 @@ def _cut(length: int):
         for batch in batches:
             rows = []
             for t, own in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist()):
-                rows += [(x["c1"], x["c2"], x["before"], x["n"], x["times"], t[x["start"]:x["start"] + x["n"] - 1 + length]) for x in own]
-            cols = list(zip(*rows)) or [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["c1", "c2", "before", "n", "times", "stretch"])
+                rows += [(x["c1"], x["c2"], x["before"], x["n"], x["times"], x["split"], t[x["start"]:x["start"] + x["n"] - 1 + length]) for x in own]
+            cols = list(zip(*rows)) or [()] * 7
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["c1", "c2", "before", "n", "times", "split", "stretch"])
     return each
 
 
@@ -264,14 +279,19 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, spread: int = SPREAD)
     suffixes = rows.select("rid", "text").mapInArrow(_suffixes(length, spread), _SUFFIX)
     cores = suffixes.groupBy("core").agg(F.min("c1").alias("x1"), F.max("c1").alias("y1"), F.min("c2").alias("x2"), F.max("c2").alias("y2"), F.count(F.lit(1)).alias("k"))
     cores = cores.filter("k > 1").select(F.col("core").alias("same"), ((F.col("x1") == F.col("y1")) & (F.col("x2") == F.col("y2"))).alias("equal"))
+    cores = stored(cores, "cores")  # so that the join below has two plain sides and a hot core can be split
     alive = stored(suffixes.join(cores, F.col("core") == F.col("same")).drop("same"), "suffixes")
     mixed = alive.filter("not equal")
-    contexts = mixed.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("rid", "start", "before", "n")).alias("r"))
-    contexts = stored(contexts.select("c1", "c2", "times", "r.*"), "contexts")
-    by_text = contexts.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("c1", "c2", "start", "before", "n", "times")).alias("own"))
+    contexts = mixed.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("times"), F.first("core").alias("core"), F.min(F.struct("rid", "start", "before", "n")).alias("r"))
+    contexts = stored(contexts.select("c1", "c2", "core", "times", "r.*"), "contexts")
+    # runs longer than a bucket may be split between buckets, shorter ones are not
+    long_runs = contexts.groupBy(F.col("core").alias("hot")).count().filter(F.col("count") > RUN).select("hot")
+    contexts = stored(contexts.join(long_runs, F.col("core") == F.col("hot"), "left").withColumn("split", F.col("hot").isNotNull()).drop("hot"), "contexts")
+    by_text = contexts.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("c1", "c2", "start", "before", "n", "times", "split")).alias("own"))
     cut = (rows.join(by_text, F.col("rid") == F.col("of")).select("text", "own")
-           .mapInArrow(_cut(length), "c1 long, c2 long, before int, n int, times long, stretch binary").dropDuplicates(["c1", "c2"]))
-    lead = [F.expr("substring(stretch, before + 1, 400)"), F.col("c1"), F.col("c2")]
+           .mapInArrow(_cut(length), "c1 long, c2 long, before int, n int, times long, split boolean, stretch binary").dropDuplicates(["c1", "c2"]))
+    core_bytes = length - spread + 1
+    lead = [F.expr(f"substring(stretch, before + 1, {core_bytes})"), F.when(F.col("split"), F.expr(f"substring(stretch, before + {core_bytes + 1})")), F.when(F.col("split"), F.col("c1"))]
     # buckets of bounded size: the number of splitters follows the number of contexts
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), contexts.count() // BUCKET + 1)
     told = stored(cut.repartitionByRange(buckets, *lead).mapInArrow(
@@ -282,7 +302,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, spread: int = SPREAD)
     # a context seen twice repeats as a whole
     whole = contexts.filter("times > 1").select("c1", "c2", F.lit(0).alias("low"), (F.col("n") - 1).alias("high"))
     marks = told.filter("kind = 0").select("c1", "c2", "low", "high").union(across).union(whole)
-    marks = marks.groupBy("c1", "c2").agg(F.collect_list(F.struct("low", "high")).alias("marks")).withColumnsRenamed({"c1": "m1", "c2": "m2"})
+    marks = stored(marks.groupBy(F.col("c1").alias("m1"), F.col("c2").alias("m2")).agg(F.collect_list(F.struct("low", "high")).alias("marks")), "marks")
     found = mixed.join(marks, (F.col("c1") == F.col("m1")) & (F.col("c2") == F.col("m2"))).select("rid", "start", F.explode("marks").alias("m"))
     found = found.select("rid", (F.col("start") + F.col("m.low")).alias("low"), (F.col("start") + F.col("m.high") + length).alias("high"))
     return found.union(alive.filter("equal").select("rid", F.col("start").alias("low"), (F.col("start") + F.col("n") - 1 + length).alias("high")))
