@@ -127,9 +127,11 @@ def _leading(frequent, size: int, percent: int):
 
 def _fragment(batches: Iterator[pa.RecordBatch], small: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Of n-grams in order: pairs (a < b) of small groups with the overlap counted here,
-    and the members of large groups (kind 1: n-gram, class). Frequent n-grams are dealt
-    over many tasks and pass through as members."""
+    the members of large groups (kind 1: n-gram, class, size), and how many n-grams a class
+    shares in small groups (kind 2). Frequent n-grams are dealt over many tasks and pass
+    through as members."""
     counts: dict[tuple[int, int, int, int], int] = defaultdict(int)
+    shared: dict[int, int] = defaultdict(int)
     rest: tuple = ()
 
     def flush():
@@ -138,10 +140,14 @@ def _fragment(batches: Iterator[pa.RecordBatch], small: int, percent: int) -> It
             yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(k), dtype=np.int32)), "a": pa.array(k[:, 0]), "b": pa.array(k[:, 1]),
                                               "na": pa.array(k[:, 2]), "nb": pa.array(k[:, 3]), "common": pa.array(list(counts.values()), pa.int64())})
             counts.clear()
+            c = np.array(list(shared), dtype=np.int64)
+            none = pa.array(np.zeros(len(c), dtype=np.int64))
+            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.full(len(c), 2, dtype=np.int32)), "a": pa.array(c), "b": pa.array(c), "na": none, "nb": none, "common": pa.array(list(shared.values()), pa.int64())})
+            shared.clear()
 
-    def member(g, c):
-        none = pa.array(np.zeros(len(c), dtype=np.int64))
-        return pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(len(c), dtype=np.int32)), "a": pa.array(g), "b": pa.array(c), "na": none, "nb": none, "common": none})
+    def member(g, c, n):
+        none, n = pa.array(np.zeros(len(c), dtype=np.int64)), pa.array(n.astype(np.int64))
+        return pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(len(c), dtype=np.int32)), "a": pa.array(g), "b": pa.array(c), "na": n, "nb": none, "common": none})
 
     def groups(g, c, n):
         edge = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1], [True])))
@@ -149,10 +155,11 @@ def _fragment(batches: Iterator[pa.RecordBatch], small: int, percent: int) -> It
         for at, k in zip(edge[:-1][length > 1].tolist(), length[length > 1].tolist()):
             cs, first = np.unique(c[at:at + k], return_index=True)
             if len(cs) > small:
-                yield member(np.full(len(cs), g[at]), cs)
+                yield member(np.full(len(cs), g[at]), cs, n[at + first])
                 continue
             members = list(zip(cs.tolist(), n[at + first].tolist()))
             for j, (b, nb) in enumerate(members):
+                shared[b] += 1
                 for a, na in members[:j]:
                     if 100 * min(na, nb) >= percent * max(na, nb):
                         counts[a, b, na, nb] += 1
@@ -160,7 +167,7 @@ def _fragment(batches: Iterator[pa.RecordBatch], small: int, percent: int) -> It
     for batch in batches:
         g, c, n, often = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
         if often.any():
-            yield member(g[often], c[often])
+            yield member(g[often], c[often], n[often])
             g, c, n = g[~often], c[~often], n[~often]
         if rest:
             g, c, n = (np.concatenate(x) for x in zip(rest, (g, c, n)))
@@ -175,33 +182,60 @@ def _fragment(batches: Iterator[pa.RecordBatch], small: int, percent: int) -> It
     yield from flush()
 
 
+def _lists(grams: np.ndarray, owner: np.ndarray, n: int):
+    """Inverted lists of the n-grams that two or more sets hold: the owners in order, each
+    list's begin and length, and the lists of every set."""
+    by = np.argsort(grams, kind="stable")
+    grams, owner = grams[by], owner[by]
+    edge = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1], [True])))
+    first, length = edge[:-1], np.diff(edge)
+    first, length = first[length > 1], length[length > 1]
+    flat = np.repeat(np.arange(len(first)), length)
+    who = owner[np.repeat(first - np.cumsum(length) + length, length) + np.arange(len(flat))]
+    o = np.argsort(who, kind="stable")
+    cut = np.searchsorted(who[o], np.arange(n + 1))
+    return owner, first, length, [flat[o[cut[x]:cut[x + 1]]] for x in range(n)]
+
+
+def _overlaps(lists, owner, first, length, n: int) -> np.ndarray:
+    """How many of these lists hold each set."""
+    ln = length[lists]
+    return np.bincount(owner[np.repeat(first[lists] - np.cumsum(ln) + ln, ln) + np.arange(int(ln.sum()))], minlength=n)
+
+
+def _possible(percent: int):
+    def each(key, table):
+        """Members of a block pair with a partner whose shared leading n-grams allow a link:
+        shared ones of large groups are counted here, those of small groups are bounded."""
+        i, j = key[1].as_py(), key[2].as_py()
+        cls, block, n, small = (table.column(c).to_numpy() for c in ("cls", "block", "n", "small"))
+        held = table.column("grams").combine_chunks()
+        at, grams = held.offsets.to_numpy(), held.values.to_numpy()
+        owner, first, length, lists = _lists(grams[at[0]:at[-1]], np.repeat(np.arange(len(cls)), np.diff(at)), len(cls))
+        rest = -(-percent * n // 100) - 1
+        alive = np.zeros(len(cls), dtype=bool)
+        for x in range(len(cls)) if i == j else np.flatnonzero(block == i):
+            common = _overlaps(lists[x], owner, first, length, len(cls))
+            ok = (common > 0) & (common + np.minimum(small, small[x]) + np.maximum(rest, rest[x]) >= needed(n, n[x], percent))
+            ok &= (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])) & (cls != cls[x])
+            if i != j:
+                ok &= block == j
+            if ok.any():
+                alive |= ok
+                alive[x] = True
+        return pa.table({"hub": pa.array(np.full(int(alive.sum()), key[0].as_py(), dtype=np.int64)), "cls": pa.array(cls[alive])})
+    return each
+
+
 def _compare(percent: int):
     def each(key, table):
         """Links within a block, or across two blocks: a spanning forest of them."""
         i, j = key[1].as_py(), key[2].as_py()
-        cls = table.column("cls").to_numpy()
-        block = table.column("block").to_numpy()
-        order = np.lexsort((cls, block))
-        sets = [np.asarray(table.column("grams")[int(k)].values).view(np.uint64) for k in order]
-        cls, block = cls[order], block[order]
+        cls, kept = np.unique(table.column("cls").to_numpy(), return_index=True)
+        block = table.column("block").to_numpy()[kept]
+        sets = [np.asarray(table.column("grams")[int(k)].values).view(np.uint64) for k in kept]
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        grams = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
-        by = np.argsort(grams, kind="stable")
-        grams, owner = grams[by], owner[by]
-        edge = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1], [True])))
-        first, upto = edge[:-1], edge[1:]
-        # inverted lists of n-grams that two or more hold; each set's lists
-        many = (upto - first) > 1
-        first, upto = first[many], upto[many]
-        lists = [[] for _ in sets]
-        length = upto - first
-        flat = np.repeat(np.arange(len(first)), length)
-        place = np.repeat(first, length) + (np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length))
-        who = owner[place]
-        o = np.argsort(who, kind="stable")
-        cut = np.searchsorted(who[o], np.arange(len(sets) + 1))
-        lists = [flat[o[cut[x]:cut[x + 1]]] for x in range(len(sets))]
+        owner, first, length, lists = _lists(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets))
         parent = list(range(len(sets)))
 
         def find(x: int) -> int:
@@ -216,14 +250,8 @@ def _compare(percent: int):
         for x in sorted(rows, key=lambda r: -int(length[lists[r]].sum())):
             if apart == 1:
                 break
-            own = lists[x]
-            common = np.zeros(len(sets), dtype=np.int64)
             # the overlap is the sum over fragments of the order
-            for part in np.array_split(own, FRAGMENTS):
-                if len(part):
-                    ln = length[part]
-                    idx = np.repeat(first[part] - np.cumsum(ln) + ln, ln) + np.arange(int(ln.sum()))
-                    common += np.bincount(owner[idx], minlength=len(sets))
+            common = sum(_overlaps(part, owner, first, length, len(sets)) for part in np.array_split(lists[x], FRAGMENTS))
             ok = 100 * common >= percent * (sizes + sizes[x] - common)
             ok[x] = False
             if i != j:
@@ -266,6 +294,14 @@ def components(links: DataFrame) -> DataFrame:
             return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
 
 
+def _units(members: DataFrame) -> DataFrame:
+    """Members (hub, cls) dealt to block pairs: every block of a hub meets each of its blocks once."""
+    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("hub", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("cls", "hub"), F.col("blocks")).cast("int"))
+    return placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT,
                     frequent: int = FREQUENT) -> DataFrame:
     """Every row's doc_id, cls (equal sets), root (class that stands for its group), n_shingles and component_id (the least doc_id
@@ -287,21 +323,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rest = F.greatest(*[F.ceil(percent * F.col(c) / 100) - 1 for c in ("na", "nb")])
     need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
     pairs = pairs.filter(F.col("common") + rest >= need).select(F.col("a").alias("hub"), F.array("a", "b").alias("both"))
-    large = met.filter("kind = 1").select(F.col("a").alias("gram"), F.col("b").alias("cls")).distinct()
-    hubs = large.groupBy("gram").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
-    members = (large.join(hubs, "gram").select("hub", "cls")
-               .union(pairs.select("hub", F.explode("both").alias("cls"))).distinct())
-    members = stored(members, "members")
-    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
-    placed = members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("cls", "hub"), F.col("blocks")).cast("int"))
-    # a block meets every block once: block (i, j) gets the members of i and of j
-    units = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls")
+    large = met.filter("kind = 1").select(F.col("a").alias("gram"), F.col("b").alias("cls"), F.col("na").alias("n")).distinct()
+    hubs = stored(large.groupBy("gram").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"), "hubs")
+    led = stored(large.join(hubs, "gram"), "led")
+    own = led.groupBy("cls").agg(F.first("n").alias("n"), F.collect_set("gram").alias("grams"))
+    few = met.filter("kind = 2").groupBy(F.col("a").alias("c2")).agg(F.sum("common").alias("small"))
+    own = own.join(few, F.col("cls") == F.col("c2"), "left").select("cls", "n", "grams", F.coalesce("small", F.lit(0).cast("long")).alias("small"))
+    possible = (_units(led.select("hub", "cls").distinct()).join(own, "cls").groupBy("hub", "i", "j")
+                .applyInArrow(_possible(percent), "hub long, cls long"))
+    members = stored(possible.union(pairs.select("hub", F.explode("both").alias("cls"))).distinct(), "members")
+    units = _units(members)
     # the text of one row of each class that takes part
     wanted = members.select("cls").distinct()
     reps = described.filter("n > 0").groupBy("cls").agg(F.min("rid").alias("rid")).join(wanted, "cls")
     source = rows.join(reps.withColumnRenamed("rid", "rep"), F.col("rid").eqNullSafe(F.col("rep"))).select("cls", "text")
-    sets = source.mapInArrow(_sets(size), "cls long, grams array<long>").dropDuplicates(["cls"])
+    sets = source.mapInArrow(_sets(size), "cls long, grams array<long>")
     links = (units.join(sets, "cls").groupBy("hub", "i", "j").applyInArrow(_compare(percent), "a long, b long"))
     found = components(links)
     roots = described.filter("n > 0").groupBy("cls").agg(F.min("rid").alias("least"))
