@@ -56,12 +56,21 @@ def linear_scores(model, bits: int = BITS):
 
 
 class Rows:
-    """Sparse rows of features with the columns that occur in ``least`` rows or more."""
+    """Sparse rows of features with the columns that occur in ``least`` rows or more and,
+    given ``groups`` (booleans), that differ between the two groups of rows by ``apart``
+    standard errors or more."""
 
-    def __init__(self, rows: list[np.ndarray], least: int = 3, bits: int = BITS):
+    def __init__(self, rows: list[np.ndarray], least: int = 3, bits: int = BITS, groups: np.ndarray | None = None, apart: float = 3.0):
         size = np.array([len(r) for r in rows], dtype=np.int64)
         flat = np.concatenate(rows) if len(rows) else np.zeros(0, dtype=np.int32)
-        self.used = np.flatnonzero(np.bincount(flat, minlength=1 << bits) >= least)
+        n = np.bincount(flat, minlength=1 << bits)
+        use = n >= least
+        if groups is not None:
+            in_one = np.bincount(flat[np.repeat(groups, size)], minlength=1 << bits)
+            one, two = max(int(groups.sum()), 1), max(int((~groups).sum()), 1)
+            rate = (n + 1) / (len(rows) + 2)
+            use &= np.abs(in_one / one - (n - in_one) / two) >= apart * np.sqrt(rate * (1 - rate) * (1 / one + 1 / two))
+        self.used = np.flatnonzero(use)
         place = np.full(1 << bits, -1, dtype=np.int32)
         place[self.used] = np.arange(len(self.used))
         col, row = place[flat], np.repeat(np.arange(len(rows), dtype=np.int32), size)

@@ -26,11 +26,13 @@ from .common import with_fields
 from .features import BITS, Rows, feature_rows, fit, linear_scores
 
 POSITIVES = 2_500
-UNLABELLED = 5_000
+UNLABELLED = 10_000
 THRESHOLD = 0.3
-STEPS = 80
-RATE = 0.05
-DECAY = 1e-4
+STEPS = 300
+RATE = 0.03
+DECAY = 1e-3
+#: Features whose shares differ by so many standard errors between the samples are used.
+APART = 4.0
 
 
 def nnpu_slope(positive: np.ndarray, prior: float):
@@ -71,7 +73,7 @@ def train(texts: DataFrame, labels: DataFrame, learn, doc_id: str = "doc_id", te
     order = np.lexsort((rows.column("__id").to_numpy(zero_copy_only=False), positive))  # the same whichever task came first
     lists = rows.column("features").combine_chunks()
     at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    sparse = Rows([flat[at[i]:at[i + 1]] for i in order], bits=bits)
+    sparse = Rows([flat[at[i]:at[i + 1]] for i in order], bits=bits, groups=positive[order], apart=APART)
     return fit(sparse, nnpu_slope(positive[order], prior), STEPS, RATE, DECAY, float(np.log(prior / (1 - prior))), bits)
 
 

@@ -2,8 +2,8 @@
 
 Heuristic labellers vote good (1), bad (-1) or nothing (0) on every document. The votes
 are counted per pattern over all documents (at most 3^labellers patterns), and
-expectation-maximisation estimates each labeller's accuracy and the share of good
-documents from these counts: votes are independent given the true label. A linear
+expectation-maximisation estimates each labeller's vote rates on good and bad documents
+(so its accuracy) and the share of good ones: votes are independent given the true label. A linear
 scorer over hashed words is then fitted to the posterior labels of a bounded sample
 (``SAMPLE`` documents of least hash) together with the vote pattern's features, and
 scores every document.
@@ -26,9 +26,9 @@ from .features import BITS, Rows, fit, word_features
 from .shingles import text_bytes, words_of
 
 SAMPLE = 6_000
-STEPS = 60
-RATE = 0.05
-DECAY = 1e-4
+STEPS = 200
+RATE = 0.03
+DECAY = 1e-3
 #: Common function words of the four languages of the corpus.
 STOP_WORDS = (
     "the of and to in is that it for was on are with as at by this from be or "
@@ -85,26 +85,30 @@ def patterns_of(ids: np.ndarray) -> np.ndarray:
     return (ids[:, None] // 3 ** np.arange(len(LABELLERS)) % 3 - 1).astype(np.int8)
 
 
-def accuracies(ids: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
+def accuracies(ids: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """Expectation-maximisation over vote patterns: posterior good share of each pattern,
-    and each labeller's estimated accuracy where it votes. Begins at the vote balance; an
-    accuracy stays between 0.55 and 0.99, so the labels cannot swap or degenerate."""
-    v = patterns_of(ids).astype(np.float64)
-    said = v != 0
-    accuracy, share = np.full(v.shape[1], 0.8), 0.8
-    post = np.full(len(ids), share)
+    and each labeller's accuracy (share of its votes that are right).
+
+    A labeller has a distribution over its three votes for good and one for bad documents.
+    It begins with documents bad that get any bad vote."""
+    v = patterns_of(ids)
+    is_vote = np.stack([v == x for x in (-1, 0, 1)], axis=2).astype(np.float64)  # pattern, labeller, vote
+    post = np.where((v < 0).any(axis=1), 0.1, 0.95)
+    vote = np.zeros((2, v.shape[1], 3))
     for _ in range(rounds):
-        z = np.log(share / (1 - share)) + (v * np.log(accuracy / (1 - accuracy))).sum(axis=1)
-        post = 1 / (1 + np.exp(-z))
-        right = np.where(v > 0, post[:, None], 1 - post[:, None]) * said * counts[:, None]
-        new = (right.sum(axis=0) + 8) / ((said * counts[:, None]).sum(axis=0) + 10)
-        new = np.clip(new, 0.55, 0.99)
-        share = float(np.clip((post * counts).sum() / max(counts.sum(), 1), 0.05, 0.95))
-        done = np.abs(new - accuracy).max() < 1e-6
-        accuracy = new
+        share = float(np.clip((post * counts).sum() / max(counts.sum(), 1), 0.02, 0.98))
+        for c, weight in ((0, (1 - post) * counts), (1, post * counts)):
+            seen = np.einsum("p,plv->lv", weight, is_vote) + 0.5
+            vote[c] = seen / seen.sum(axis=1, keepdims=True)
+        ratio = np.log(vote[1]) - np.log(vote[0])
+        z = np.log(share / (1 - share)) + np.einsum("plv,lv->p", is_vote, ratio)
+        new = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        done = np.abs(new - post).max() < 1e-7
+        post = new
         if done:
             break
-    return post, accuracy
+    right = (post * counts) @ (v > 0) + ((1 - post) * counts) @ (v < 0)
+    return post, (right + 1) / (counts @ (v != 0) + 2)
 
 
 def _vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +161,7 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample
         lists = rows.column("features").combine_chunks()
         at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
         want = post[np.searchsorted(ids, rows.column("pattern").to_numpy())][order]
-        sparse = Rows([flat[at[i]:at[i + 1]] for i in order], bits=bits + 1)
+        sparse = Rows([flat[at[i]:at[i + 1]] for i in order], bits=bits + 1, groups=want > 0.5)
         bias, wide = fit(sparse, lambda z: (1 / (1 + np.exp(-np.clip(z, -30, 30))) - want) / len(want), STEPS, RATE, DECAY, 0.0, bits + 1)
         weights = wide[:len(weights)]
     model = spark.sparkContext.broadcast((bias, weights, ids, post))
