@@ -267,15 +267,72 @@ def _compare(percent: int):
     return each
 
 
-def _sets(size: int):
+def _bounded(percent: int):
+    def each(key, table):
+        """Members of a block pair with a partner that they can link with by the overlap of
+        one fragment: 32 bits of its n-grams, so counts are never too low."""
+        i, j = key[1].as_py(), key[2].as_py()
+        cls, kept = np.unique(table.column("cls").to_numpy(), return_index=True)
+        block, n = table.column("block").to_numpy()[kept], table.column("n").to_numpy()[kept]
+        sets = [np.unique(np.asarray(table.column("low")[int(k)].values)) for k in kept]
+        size = np.array([len(s) for s in sets], dtype=np.int64)
+        owner, first, length, lists = _lists(np.concatenate(sets), np.repeat(np.arange(len(sets)), size), len(sets))
+        rest = n - table.column("n_low").to_numpy()[kept]
+        alive = np.zeros(len(cls), dtype=bool)
+        for x in range(len(cls)) if i == j else np.flatnonzero(block == i):
+            # equal low bits may stand for several n-grams of a set; those count in full
+            twice = (n - rest - size) + (n - rest - size)[x]
+            common = _overlaps(lists[x], owner, first, length, len(cls)) + twice
+            ok = common + np.minimum(rest, rest[x]) >= needed(n, n[x], percent)
+            ok &= (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])) & (cls != cls[x])
+            if i != j:
+                ok &= block == j
+            if ok.any():
+                alive |= ok
+                alive[x] = True
+        return pa.table({"hub": pa.array(np.full(int(alive.sum()), key[0].as_py(), dtype=np.int64)), "cls": pa.array(cls[alive])})
+    return each
+
+
+_UNIT = "hub long, i int, j int, block int, cls long"
+
+
+def _dealt(size: int, low: bool):
+    """The sets of texts, a row for each unit that wants them: whole, or (``low``) 32 bits of
+    the n-grams in the first half of the hash range, with both sizes."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of = zip(batch.column(0).to_pylist(), shingle_sets(text_bytes(batch.column(1)), size))
-            own = [(c, s.view(np.int64)) for c, s in of if len(s) and class_of(s) == c]  # not another row's text of that id
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in own], pa.int64()), pa.array([x[1] for x in own], pa.list_(pa.int64()))], ["cls", "grams"])
+            cols: list[list] = [[] for _ in range(5)]
+            sets, n, n_low = [], [], []
+            for c, s, units in zip(batch.column(0).to_pylist(), shingle_sets(text_bytes(batch.column(1)), size), batch.column(2).to_pylist()):
+                if not len(s) or class_of(s) != c:
+                    continue  # another row's text of that id
+                half = s[:int(np.searchsorted(s, np.uint64(1 << 63)))]
+                own = (half >> np.uint64(20)).astype(np.uint32).view(np.int32) if low else s.view(np.int64)
+                for u in units:
+                    for col, x in zip(cols, (u["hub"], u["i"], u["j"], u["block"], c)):
+                        col.append(x)
+                    sets.append(own)
+                    n.append(len(s))
+                    n_low.append(len(half))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+            out = [pa.array(c, k) for c, k in zip(cols, kinds)]
+            names = ["hub", "i", "j", "block", "cls"]
+            if low:
+                yield pa.RecordBatch.from_arrays([*out, pa.array(n, pa.int64()), pa.array(n_low, pa.int64()), pa.array(sets, pa.list_(pa.int32()))], [*names, "n", "n_low", "low"])
+            else:
+                yield pa.RecordBatch.from_arrays([*out, pa.array(sets, pa.list_(pa.int64()))], [*names, "grams"])
     return each
 
 
+def _with_sets(rows: DataFrame, described: DataFrame, units: DataFrame, size: int, low: bool) -> DataFrame:
+    """Units with the sets of their classes, each from the text of one row of the class."""
+    per = units.groupBy(F.col("cls").alias("of")).agg(F.collect_list(F.struct("hub", "i", "j", "block")).alias("units"))
+    reps = described.filter("n > 0").groupBy("cls").agg(F.min("rid").alias("rep")).join(per, F.col("cls") == F.col("of"))
+    rows = rows.join(reps, F.col("rid").eqNullSafe(F.col("rep"))).select("cls", "text", "units")
+    return rows.mapInArrow(_dealt(size, low), _UNIT + (", n long, n_low long, low array<int>" if low else ", grams array<long>"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the least node reachable by links (a, b), by alternating large and
     small stars; a hub's neighbours are only ever grouped by aggregates and joins."""
@@ -332,13 +389,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     possible = (_units(led.select("hub", "cls").distinct()).join(own, "cls").groupBy("hub", "i", "j")
                 .applyInArrow(_possible(percent), "hub long, cls long"))
     members = stored(possible.union(pairs.select("hub", F.explode("both").alias("cls"))).distinct(), "members")
-    units = _units(members)
-    # the text of one row of each class that takes part
-    wanted = members.select("cls").distinct()
-    reps = described.filter("n > 0").groupBy("cls").agg(F.min("rid").alias("rid")).join(wanted, "cls")
-    source = rows.join(reps.withColumnRenamed("rid", "rep"), F.col("rid").eqNullSafe(F.col("rep"))).select("cls", "text")
-    sets = source.mapInArrow(_sets(size), "cls long, grams array<long>")
-    links = (units.join(sets, "cls").groupBy("hub", "i", "j").applyInArrow(_compare(percent), "a long, b long"))
+    # one fragment of the sets decides which members can link at all, then all fragments
+    near = stored(_with_sets(rows, described, _units(members), size, True).groupBy("hub", "i", "j")
+                  .applyInArrow(_bounded(percent), "hub long, cls long").distinct(), "near")
+    links = _with_sets(rows, described, _units(near), size, False).groupBy("hub", "i", "j").applyInArrow(_compare(percent), "a long, b long")
     found = components(links)
     roots = described.filter("n > 0").groupBy("cls").agg(F.min("rid").alias("least"))
     root = roots.join(found, roots["cls"] == found["node"], "left").select("cls", F.coalesce("root", "cls").alias("root"), "least")
