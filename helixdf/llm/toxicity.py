@@ -5,8 +5,8 @@ sample. With the class prior p, the risk of a scorer is
 
     p * loss(positives as 1) + max(0, loss(unlabelled as 0) - p * loss(positives as 0))
 
-whose second term, the estimated risk on negatives, is kept from going below zero
-(where it does, its gradient is reversed). The model is linear over hashed words and
+whose second term, the estimated risk on negatives, adds nothing where it would fall below
+zero. The model is linear over hashed words and
 word beginnings, fitted with numpy on bounded samples: ``POSITIVES`` and ``UNLABELLED``
 documents of least hash among the rows that may be learned from; every document is
 then scored in one narrow pass.
@@ -29,6 +29,8 @@ POSITIVES = 2_500
 UNLABELLED = 10_000
 THRESHOLD = 0.3
 STEPS = 300
+#: Scores above this lose no more as negatives.
+TOP = 3.0
 RATE = 0.03
 DECAY = 1e-3
 #: Features whose shares differ by so many standard errors between the samples are used.
@@ -41,14 +43,14 @@ def nnpu_slope(positive: np.ndarray, prior: float):
 
     def slope(z: np.ndarray) -> np.ndarray:
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        as_zero = np.logaddexp(0, z)
+        as_zero = np.logaddexp(0, np.minimum(z, TOP))  # bounded, so that a few high scores cannot pay for all
         negative = as_zero[~positive].sum() / n_u - prior * as_zero[positive].sum() / n_p
-        sign = 1.0 if negative >= 0 else -1.0
-        g = np.empty_like(z)
-        g[~positive] = sign * p[~positive] / n_u
-        g[positive] = -sign * prior * p[positive] / n_p
-        if sign > 0:
-            g[positive] -= prior * (1 - p[positive]) / n_p
+        g = np.zeros_like(z)
+        g[positive] = -prior * (1 - p[positive]) / n_p
+        if negative > 0:
+            low = z < TOP
+            g[~positive] = (p * low)[~positive] / n_u
+            g[positive] -= prior * (p * low)[positive] / n_p
         return g
     return slope
 
