@@ -29,7 +29,7 @@ def _c(x) -> Column:
 def split_tag(text) -> Column:
     """``TG:T:VALUE`` -> struct(tag, type, value); excess ``:`` stay in value."""
     parts = F.split(_c(text), ":", 3)
-    return F.struct(parts[0].alias("tag"), parts[1].alias("type"), parts[2].alias("value"),
+    return F.struct(F.get(parts, F.lit(0)).alias("tag"), F.get(parts, F.lit(1)).alias("type"), F.get(parts, F.lit(2)).alias("value"),
                     (F.size(parts) == 3).alias("three_fields"))
 
 

@@ -26,12 +26,12 @@ def header_fields(lines: DataFrame) -> DataFrame:
     """
     h = lines.filter(F.col("value").startswith("@")).select(
         "ord", F.split("value", "\t").alias("f"), "value")
-    h = h.select("ord", F.substring(F.col("f")[0], 2, 1 << 20).alias("rec_type"), "f", "value")
+    h = h.select("ord", F.substr(F.get(F.col("f"), F.lit(0)), F.lit(2)).alias("rec_type"), "f", "value")
     co = h.filter(F.col("rec_type") == "CO").select(
         "ord", "rec_type", F.lit(1).alias("idx"), F.lit("CO").alias("key"),
         F.expr("substr(value, 5)").alias("value"), F.lit(True).alias("well_formed"))
     kv = h.filter(F.col("rec_type") != "CO").select(
-        "ord", "rec_type", F.posexplode(F.slice("f", 2, 1 << 20)).alias("idx", "field"))
+        "ord", "rec_type", F.posexplode(F.slice("f", 2, F.size("f") - 1)).alias("idx", "field"))
     parts = F.split("field", ":", 2)
     kv = kv.select("ord", "rec_type", (F.col("idx") + 1).alias("idx"), parts[0].alias("key"),
                    F.when(F.size(parts) == 2, parts[1]).alias("value"),

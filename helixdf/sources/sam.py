@@ -27,22 +27,22 @@ def split_fields(lines: DataFrame, col: str = "value") -> DataFrame:
 def parse_fields(split: DataFrame) -> DataFrame:
     """Typed record columns from the field array; bad numbers become NULL."""
     f = F.col("f")
-    ref_name = f[2]
-    mate = f[6]
+    ref_name = F.get(f, F.lit(2))
+    mate = F.get(f, F.lit(6))
     return split.select(
         "line",
         F.size(f).alias("n_fields"),
-        f[0].alias("qname"),
-        f[1].try_cast("int").alias("flag"),
+        F.get(f, F.lit(0)).alias("qname"),
+        F.get(f, F.lit(1)).try_cast("int").alias("flag"),
         ref_name.alias("ref_name"),
-        f[3].try_cast("int").alias("pos"),
-        f[4].try_cast("int").alias("mapq"),
-        f[5].alias("cigar"),
+        F.get(f, F.lit(3)).try_cast("int").alias("pos"),
+        F.get(f, F.lit(4)).try_cast("int").alias("mapq"),
+        F.get(f, F.lit(5)).alias("cigar"),
         F.when(mate == "=", ref_name).otherwise(mate).alias("mate_ref_name"),
-        f[7].try_cast("int").alias("mate_pos"),
-        f[8].try_cast("int").alias("isize"),
-        f[9].alias("seq"),
-        f[10].alias("qual"),
+        F.get(f, F.lit(7)).try_cast("int").alias("mate_pos"),
+        F.get(f, F.lit(8)).try_cast("int").alias("isize"),
+        F.get(f, F.lit(9)).alias("seq"),
+        F.get(f, F.lit(10)).alias("qual"),
         tg.tags_from_fields(F.slice(f, 12, F.greatest(F.size(f) - 11, F.lit(0)))).alias("tags"),
     )
 

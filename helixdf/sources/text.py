@@ -56,7 +56,7 @@ def parse_dict_lines(numbered: DataFrame) -> DataFrame:
     body = numbered.filter(F.col("line_no") > 0)
     f = F.split(F.col("value"), r"\s+")
 
-    parsed = body.select("line_no", f[1].alias("_sn"), f[2].alias("_ln"))
+    parsed = body.select("line_no", F.get(f, F.lit(1)).alias("_sn"), F.get(f, F.lit(2)).alias("_ln"))
     parsed = parsed.select(
         "line_no",
         F.expr("substr(_sn, instr(_sn, ':') + 1)").alias("ref_name"),
@@ -124,7 +124,7 @@ def interleave_fastq(r1: DataFrame, r2: DataFrame) -> DataFrame:
 def chrom_number(chrom) -> F.Column:
     """``chrN`` -> N, X -> 23, Y -> 24, other names -> NULL."""
     c = F.col(chrom) if isinstance(chrom, str) else chrom
-    rest = F.substring(c, 4, 1 << 20)
+    rest = F.substr(c, F.lit(4))
     return (F.when(rest == "X", F.lit(23)).when(rest == "Y", F.lit(24))
             .otherwise(rest.try_cast("int")))
 
@@ -137,11 +137,11 @@ def parse_vcf_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     body = lines.filter(~F.col(col).startswith("#"))
     f = F.split(F.col(col), "\t")
     return body.select(
-        chrom_number(f[0]).alias("chrom_num"),
-        f[1].try_cast("int").alias("pos"),
-        f[0].alias("chrom"), f[2].alias("id"), f[3].alias("ref"), f[4].alias("alt"),
-        f[5].try_cast("double").alias("qual"), f[6].alias("filter"), f[7].alias("info"),
-        f[8].alias("format"), f[9].alias("sample"),
+        chrom_number(F.get(f, F.lit(0))).alias("chrom_num"),
+        F.get(f, F.lit(1)).try_cast("int").alias("pos"),
+        F.get(f, F.lit(0)).alias("chrom"), F.get(f, F.lit(2)).alias("id"), F.get(f, F.lit(3)).alias("ref"), F.get(f, F.lit(4)).alias("alt"),
+        F.get(f, F.lit(5)).try_cast("double").alias("qual"), F.get(f, F.lit(6)).alias("filter"), F.get(f, F.lit(7)).alias("info"),
+        F.get(f, F.lit(8)).alias("format"), F.get(f, F.lit(9)).alias("sample"),
         F.col(col).alias("line"))
 
 
