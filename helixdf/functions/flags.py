@@ -17,6 +17,7 @@ SECOND_OF_PAIR = 0x80
 SECONDARY = 0x100
 QC_FAIL = 0x200
 DUPLICATE = 0x400
+SUPPLEMENTARY = 0x800
 
 FLAG_BITS = {
     "paired": PAIRED, "proper_pair": PROPER_PAIR, "unmapped": UNMAPPED,
@@ -57,6 +58,11 @@ def set_bit(flag, bit: int, on=True) -> Column:
     return F.when(on, f.bitwiseOR(F.lit(bit))).otherwise(cleared)
 
 
+def is_primary(flag) -> Column:
+    """Neither a secondary nor a supplementary record."""
+    return ~has(flag, SECONDARY | SUPPLEMENTARY)
+
+
 def is_mapped(flag) -> Column:
     return ~has(flag, UNMAPPED)
 

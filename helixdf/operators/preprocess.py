@@ -132,7 +132,9 @@ def end_key(ref_index, five_prime_pos, reverse) -> Column:
 def mark_duplicates(reads: DataFrame, library: Column | None = None) -> DataFrame:
     """Flag duplicates (0x400) among mapped reads.
 
-    * records sharing a name form a pair; a name with one record is a fragment;
+    * only primary records are judged: secondary and supplementary ones keep their
+      flag and never form a pair;
+    * records sharing a name and library form a pair, a single one is a fragment;
     * a pair's key is (library, both ends' (contig, 5' position, strand)),
       a fragment's key is (library, its end);
     * in each key the highest score (sum of qualities >= 15, summed over both
@@ -143,8 +145,8 @@ def mark_duplicates(reads: DataFrame, library: Column | None = None) -> DataFram
     the map side), then joined back on one-row-per-key tables: a position
     holding a third of all reads costs no single-task window.
     """
-    lib = library if library is not None else F.lit("LIB1")
-    m = reads.filter(fl.is_mapped("flag")).withColumn("_lib", lib)
+    reads = reads.withColumn("_lib", F.coalesce(library, F.lit("")) if library is not None else F.lit("LIB1"))
+    m = reads.filter(fl.is_mapped("flag") & fl.is_primary("flag"))
     ends = m.select("qname", "_lib", end_key("ref_index", five_prime(), fl.has("flag", fl.REVERSE)).alias("end"),
                     read_score("qual").alias("score"))
     per_name = ends.groupBy("qname", "_lib").agg(
@@ -156,25 +158,26 @@ def mark_duplicates(reads: DataFrame, library: Column | None = None) -> DataFram
     pick = F.min_by("qname", F.struct((-F.col("score")).alias("s"), F.col("qname").alias("q")))
     best_pair = pairs.groupBy("_lib", "e1", "e2").agg(pick.alias("_best"))
     pair_dup = (pairs.join(best_pair, ["_lib", "e1", "e2"])
-                .select("qname", (F.col("qname") != F.col("_best")).alias("dup")))
+                .select("qname", "_lib", (F.col("qname") != F.col("_best")).alias("dup")))
 
     pair_ends = (pairs.select("_lib", F.col("e1").alias("e1"))
                  .unionByName(pairs.select("_lib", F.col("e2").alias("e1"))).distinct()
                  .withColumn("_taken", F.lit(True)))
     best_frag = frags.groupBy("_lib", "e1").agg(pick.alias("_best"))
     frag_dup = (frags.join(best_frag, ["_lib", "e1"]).join(pair_ends, ["_lib", "e1"], "left")
-                .select("qname", ((F.col("qname") != F.col("_best")) | F.col("_taken").isNotNull()).alias("dup")))
+                .select("qname", "_lib", ((F.col("qname") != F.col("_best")) | F.col("_taken").isNotNull()).alias("dup")))
 
     dups = pair_dup.unionByName(frag_dup)
-    out = reads.join(dups, "qname", "left")
-    return out.withColumn("flag", F.when(F.coalesce("dup", F.lit(False)), fl.set_bit("flag", fl.DUPLICATE))
-                          .otherwise(fl.set_bit("flag", fl.DUPLICATE, False))).drop("dup")
+    out = reads.join(dups, ["qname", "_lib"], "left")
+    marked = fl.set_bit("flag", fl.DUPLICATE, F.coalesce("dup", F.lit(False)))
+    return out.withColumn("flag", F.when(fl.is_primary("flag"), marked).otherwise(F.col("flag"))).select(
+        *[c for c in reads.columns if c != "_lib"])
 
 
 def duplicate_metrics(marked: DataFrame, library: Column | None = None) -> DataFrame:
     """Per library: fragments and pairs examined, duplicates, duplicate fraction."""
-    lib = library if library is not None else F.lit("LIB1")
-    m = marked.filter(fl.is_mapped("flag")).withColumn("_lib", lib)
+    lib = F.coalesce(library, F.lit("")) if library is not None else F.lit("LIB1")
+    m = marked.filter(fl.is_mapped("flag") & fl.is_primary("flag")).withColumn("_lib", lib)
     per_name = m.groupBy("_lib", "qname").agg(
         F.count(F.lit(1)).alias("n"), F.max(fl.has("flag", fl.DUPLICATE).cast("int")).alias("dup"))
     agg = per_name.groupBy("_lib").agg(
@@ -308,16 +311,29 @@ def _codes(seq_upper: Column) -> Column:
                        .when(b == "G", 2).when(b == "T", 3).otherwise(4))
 
 
-def bqsr_apply(reads: DataFrame, deltas: DataFrame, rg: str = "rg") -> DataFrame:
+#: Delta arrays up to this size are broadcast.
+DELTA_BYTES = 64 << 20
+
+
+def bqsr_apply(reads: DataFrame, deltas: DataFrame, rg: str = "rg", delta_bytes: int = DELTA_BYTES,
+               salts: int = 64) -> DataFrame:
     """New quality per base = q + global + per-Q + per-cycle + per-context
     deltas (missing deltas count 0), rounded, clamped to 1..93.
 
-    Reads join their read group's delta row (one row per group, bounded as
-    above), and every base is recalibrated with array expressions inside the
+    Reads join their read group's delta row, broadcast up to ``DELTA_BYTES`` (measured
+    first); beyond it the rows are repeated for ``salts`` salts and reads join on
+    (group, salt), so one group's reads go to many tasks. Every base is recalibrated with array expressions inside the
     read's row: bases are never exploded or shuffled. Base codes are computed
     once per read so the per-base lambda is integer arithmetic and array reads.
     """
-    j = reads.join(deltas, rg, "left")
+    cells = F.size("a_q") + F.size("a_cycle") + F.size("a_ctx")
+    held = 8 * (deltas.agg(F.sum(cells)).first()[0] or 0)
+    if held <= delta_bytes:
+        j = reads.join(F.broadcast(deltas), rg, "left")
+    else:
+        salted = deltas.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.pmod(F.xxhash64("qname", "seq", "qual"), F.lit(salts)).cast("int")
+        j = reads.withColumn("_salt", salt).join(salted, [rg, "_salt"], "left").drop("_salt")
     n = F.length("seq")
     neg = fl.has("flag", fl.REVERSE)
     j = j.withColumn("_c", _codes(F.upper("seq"))).withColumn("_neg", neg).withColumn("_n", n)

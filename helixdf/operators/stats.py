@@ -16,20 +16,22 @@ from ..functions import flags as fl
 
 
 def index_stats(reads: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Per contig: aligned and unaligned-with-position records (contigs without
-    reads are listed with zeros), plus one row ``ref_index = -1`` counting records
-    without a coordinate."""
+    """Per contig: aligned and unaligned-with-position records, plus one row
+    ``ref_index = -1`` counting records without a coordinate (no contig, or start 0).
+
+    Contigs without reads are listed with zeros, reads on a contig outside the
+    dictionary under its own index (null if it has none). One aggregation of the
+    reads and the dictionary's zero rows; no join."""
     mapped = fl.is_mapped("flag")
-    per = (reads.filter(F.col("ref_index") >= 0)
-           .groupBy("ref_index")
-           .agg(F.count_if(mapped).alias("aligned"), F.count_if(~mapped).alias("unaligned")))
-    listed = (F.broadcast(contigs.select("ref_index")).join(per, "ref_index", "left")
-              .select("ref_index", F.coalesce("aligned", F.lit(0)).alias("aligned"),
-                      F.coalesce("unaligned", F.lit(0)).alias("unaligned")))
-    none = (reads.filter(F.col("ref_index") == -1)
-            .agg(F.lit(-1).alias("ref_index"), F.lit(0).cast("long").alias("aligned"),
-                 F.count(F.lit(1)).alias("unaligned")))
-    return listed.unionByName(none)
+    none = F.coalesce(F.col("ref_index") == -1, F.lit(False)) | (F.coalesce("pos", F.lit(0)) == 0)
+    placed = F.when(none, F.lit(-1)).otherwise(F.col("ref_index"))
+    counted = reads.select(placed.alias("ref_index"), (mapped & ~none).cast("long").alias("aligned"),
+                           (~mapped | none).cast("long").alias("unaligned"))
+    zero = F.lit(0).cast("long")
+    listed = contigs.select("ref_index", zero.alias("aligned"), zero.alias("unaligned"))
+    empty = reads.sparkSession.range(1).select(F.lit(-1).alias("ref_index"), zero.alias("aligned"), zero.alias("unaligned"))
+    return (counted.unionByName(listed).unionByName(empty).groupBy("ref_index")
+            .agg(F.sum("aligned").alias("aligned"), F.sum("unaligned").alias("unaligned")))
 
 
 def bin_index(ranked: DataFrame) -> DataFrame:

@@ -134,10 +134,11 @@ def q_check_sort_order(spark, sf_dir):
 # --- index statistics ---------------------------------------------------------------
 
 @query("index_stats", W("reads", "contigs") + """
-select c.ref_index, count(r.qname) filter (where (r.flag & 4) = 0) as aligned,
- count(r.qname) filter (where (r.flag & 4) <> 0) as unaligned
-from contigs c left join reads r on r.ref_index = c.ref_index group by c.ref_index
-union all select -1 as ref_index, cast(0 as bigint) as aligned, count(*) as unaligned from reads where ref_index = -1""")
+select k as ref_index, cast(sum(al) as bigint) as aligned, cast(sum(un) as bigint) as unaligned from (
+ select case when ref_index = -1 or pos = 0 then -1 else ref_index end as k,
+  case when (flag & 4) = 0 and ref_index is distinct from -1 and pos <> 0 then 1 else 0 end as al,
+  case when (flag & 4) <> 0 or ref_index = -1 or pos = 0 then 1 else 0 end as un from reads
+ union all select ref_index, 0, 0 from contigs union all select -1, 0, 0) group by k""")
 def q_index_stats(spark, sf_dir):
     f = fx.load(spark, sf_dir)
     return stats.index_stats(f.reads, f.contigs)

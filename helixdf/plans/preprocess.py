@@ -68,7 +68,7 @@ m as (select qname, ref_index as r,
         case when (flag & 16) <> 0 then {sql_end()} + {sql_sum_ops(_TRAIL, 'SH')} else pos - {sql_sum_ops(_LEAD, 'SH')} end as p,
         (flag & 16) <> 0 as s,
         coalesce(list_sum(list_filter(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33), lambda q: q >= 15)), 0) as score
-      from u where (flag & 4) = 0),
+      from u where (flag & 4) = 0 and (flag & 2304) = 0),
 pn as (select qname, count(*) as n, min({{'r': r, 'p': p, 's': s}}) as e1, max({{'r': r, 'p': p, 's': s}}) as e2, sum(score) as score
        from m group by qname),
 bp as (select e1, e2, qname as best from (select *, row_number() over (partition by e1, e2 order by score desc, qname) as rn
@@ -79,7 +79,7 @@ bf as (select e1, qname as best from (select *, row_number() over (partition by
         from pn where n = 1) where rn = 1),
 fdup as (select f.qname, f.qname <> b.best or f.e1 in (select e from pe) as dup from pn f join bf b on b.e1 = f.e1 where f.n = 1),
 d as (select * from pdup union all select * from fdup),
-mk as (select u.qname, cast(case when coalesce(d.dup, false) then u.flag | 1024 else u.flag & ~1024 end as integer) as flag
+mk as (select u.qname, cast(case when (u.flag & 2304) <> 0 then u.flag when coalesce(d.dup, false) then u.flag | 1024 else u.flag & ~1024 end as integer) as flag
        from u left join d on d.qname = u.qname)
 """
 
@@ -98,7 +98,7 @@ def q_mark_duplicates(spark, sf_dir):
 
 @query("duplicate_metrics", _DUP_SQL + """
 , per as (select mk.qname, count(*) as n, max(case when (mk.flag & 1024) <> 0 then 1 else 0 end) as dup
-          from mk where (mk.flag & 4) = 0 group by mk.qname)
+          from mk where (mk.flag & 4) = 0 and (mk.flag & 2304) = 0 group by mk.qname)
 select 'LIB1' as library, count(*) filter (where n = 1) as unpaired_examined, count(*) filter (where n >= 2) as pairs_examined,
  count(*) filter (where n = 1 and dup = 1) as unpaired_duplicates, count(*) filter (where n >= 2 and dup = 1) as pair_duplicates,
  round((count(*) filter (where n = 1 and dup = 1) + 2 * count(*) filter (where n >= 2 and dup = 1))

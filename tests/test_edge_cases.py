@@ -234,6 +234,36 @@ def test_mark_duplicates_small(spark):
     assert out == {("p1", False), ("p2", True), ("f1", True), ("f2", True), ("f3", False)}
 
 
+def test_mark_duplicates_secondary_and_libraries(spark):
+    hi, lo = "I" * 10, "5" * 10
+    rows = [("a", 0, 1, 100, 60, "10M", "A" * 10, lo), ("a", 256, 1, 900, 60, "10M", "A" * 10, hi),
+            ("b", 0, 1, 100, 60, "10M", "A" * 10, hi)]
+    out = {(r.qname, r.flag) for r in preprocess.mark_duplicates(_reads(spark, rows)).collect()}
+    assert out == {("a", 0x400), ("a", 256), ("b", 0)}
+    two = [("n", 0, 1, 100, 60, "10M", "A" * 10, hi), ("n", 0, 1, 500, 60, "10M", "A" * 10, lo)]
+    lib = F.when(F.col("pos") == 100, F.lit("L1"))  # the second library is null
+    marked = preprocess.mark_duplicates(_reads(spark, two), lib)
+    assert sorted((r.pos, r.flag) for r in marked.collect()) == [(100, 0), (500, 0)]
+    assert marked.columns == _reads(spark, two).columns
+
+
+def test_index_stats_counts_every_read(spark):
+    contigs = spark.createDataFrame([(0,), (1,)], "ref_index int")
+    reads = spark.createDataFrame([(1, 10, 0), (1, 0, 0), (-1, 0, 4), (7, 5, 0), (None, 5, 0), (1, 3, 4), (1, None, 0)], "ref_index int, pos int, flag int")
+    got = {r.ref_index: (r.aligned, r.unaligned) for r in stats.index_stats(reads, contigs).collect()}
+    assert got == {0: (0, 0), 1: (1, 1), -1: (0, 3), 7: (1, 0), None: (1, 0)}
+    assert {r.ref_index for r in stats.index_stats(reads.limit(0), contigs).collect()} == {0, 1, -1}
+
+
+def test_bqsr_apply_salted_like_broadcast(spark):
+    reads = spark.createDataFrame([(f"q{i}", i % 2 * 16, "ACGTN"[i % 5] * 4, "I5I5", None if i == 3 else "g") for i in range(12)],
+                                  "qname string, flag int, seq string, qual string, rg string")
+    deltas = spark.createDataFrame([("g", 1.5, [0.5] * 94, [0.25] * 94 * 5, [-3.0] * 94 * 25, 5)],
+                                   "rg string, d_rg double, a_q array<double>, a_cycle array<double>, a_ctx array<double>, cycle_width int")
+    rows = [sorted(map(tuple, preprocess.bqsr_apply(reads, deltas, delta_bytes=b).select("qname", "qual").collect())) for b in (1 << 20, 0)]
+    assert rows[0] == rows[1] and len(rows[0]) == 12
+
+
 def test_strict_stringency_raises(spark):
     df = spark.createDataFrame([("r", 4 | 256, -1)], "qname string, flag int, mate_ref_index int")
     errs = va.explode_errors(df, va.flag_rules())
