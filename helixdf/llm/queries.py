@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from . import decontam, jaccard, mixing, quality_rules, quotes, suffix_dedup, token_store, toxicity, url_filter, weak_quality
 from .common import read
+from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 TOKENIZER = "byte_bpe_50k.json"
 
 
