@@ -453,11 +453,13 @@ def md_sites(reads: DataFrame):
 INDEL_WINDOW = 20
 
 
-def indel_target_intervals(reads: DataFrame, window: int = INDEL_WINDOW) -> DataFrame:
+def indel_target_intervals(reads: DataFrame, window: int = INDEL_WINDOW, contigs: DataFrame | None = None) -> DataFrame:
     """Intervals around insertions and deletions, merged when they touch.
 
     An insertion before reference base p covers [p - w, p - 1 + w]; a deletion
-    of reference bases [p, p + n - 1] covers [p - w, p + n - 1 + w].
+    of reference bases [p, p + n - 1] covers [p - w, p + n - 1 + w]. Intervals begin at
+    base 1 at the earliest and, with ``contigs`` (ref_index, length), end on the contig;
+    on a contig that is not listed the end stays.
     """
     def step(acc, e):
         n, op, g = e["len"], e["op"], acc["g"]
@@ -471,4 +473,12 @@ def indel_target_intervals(reads: DataFrame, window: int = INDEL_WINDOW) -> Data
     ivs = reads.filter(fl.is_mapped("flag") & (F.col("ref_index") >= 0)).select(
         "ref_index", F.explode(F.aggregate(cg.elements("cigar"), init, step, lambda a: a["iv"])).alias("iv"))
     flat = ivs.select("ref_index", F.col("iv.start").alias("start"), F.col("iv.end").alias("end"))
-    return isl.islands(flat, gap=1).withColumnRenamed("n_reads", "n_events")
+    out = isl.islands(flat, gap=1).withColumnRenamed("n_reads", "n_events")
+    columns = out.columns
+    out = out.withColumn("island_start", F.greatest("island_start", F.lit(1)))
+    if contigs is not None:
+        lengths = contigs.select("ref_index", F.col("length").cast("int").alias("_len"))
+        on_contig = F.least("island_end", F.greatest("_len", "island_start"))
+        out = out.join(lengths, "ref_index", "left").withColumn(
+            "island_end", F.when(F.col("_len").isNull(), F.col("island_end")).otherwise(on_contig))
+    return out.select(*columns)

@@ -217,7 +217,7 @@ def q_md_sites(spark, sf_dir):
     return sites
 
 
-@query("indel_target_intervals", W("reads") + f"""
+@query("indel_target_intervals", W("reads", "contigs") + f"""
 , rr as materialized (select row_number() over () as rid, * from reads),
 els as (select rid, ref_index, pos, regexp_extract_all(cigar, '\\d+[MIDNSHP=X]') as els from rr where (flag & 4) = 0 and ref_index >= 0),
 ce as (select rid, ref_index, pos, cast(i - 1 as integer) as idx, cast(regexp_extract(el, '(\\d+)', 1) as integer) as len,
@@ -228,11 +228,14 @@ cs as (select *, pos + coalesce(sum(case when op in ('M','=','X','D','N') then l
 iv as (select ref_index, g - {preprocess.INDEL_WINDOW} as s, g - 1 + {preprocess.INDEL_WINDOW} as e from cs where op = 'I'
        union all select ref_index, g - {preprocess.INDEL_WINDOW} as s, g + len - 1 + {preprocess.INDEL_WINDOW} as e from cs where op = 'D'),
 w as (select *, max(e) over (partition by ref_index order by s, e rows between unbounded preceding and 1 preceding) as pm from iv),
-f as (select *, sum(case when pm is null or s > pm + 1 then 1 else 0 end) over (partition by ref_index order by s, e rows between unbounded preceding and current row) as iid from w)
-select ref_index, cast(min(s) as integer) as island_start, cast(max(e) as integer) as island_end, count(*) as n_events
-from f group by ref_index, iid""")
+f as (select *, sum(case when pm is null or s > pm + 1 then 1 else 0 end) over (partition by ref_index order by s, e rows between unbounded preceding and current row) as iid from w),
+i as (select ref_index, greatest(min(s), 1) as s, max(e) as e, count(*) as n from f group by ref_index, iid)
+select i.ref_index, cast(i.s as integer) as island_start,
+ cast(case when c.length is null then i.e else least(i.e, greatest(c.length, i.s)) end as integer) as island_end, n as n_events
+from i left join contigs c on c.ref_index = i.ref_index""")
 def q_indel_target_intervals(spark, sf_dir):
-    return preprocess.indel_target_intervals(fx.load(spark, sf_dir).reads)
+    f = fx.load(spark, sf_dir)
+    return preprocess.indel_target_intervals(f.reads, contigs=f.contigs)
 
 
 _OVERLAP = 150

@@ -255,6 +255,14 @@ def test_index_stats_counts_every_read(spark):
     assert {r.ref_index for r in stats.index_stats(reads.limit(0), contigs).collect()} == {0, 1, -1}
 
 
+def test_indel_targets_stay_on_the_contig(spark):
+    rows = [("a", 0, 0, 5, 60, "1M1I8M", "A" * 10, "I" * 10), ("b", 0, 0, 95, 60, "2M2D2M", "A" * 4, "I" * 4),
+            ("c", 0, 9, 95, 60, "2M2D2M", "A" * 4, "I" * 4)]
+    contigs = spark.createDataFrame([(0, 100)], "ref_index int, length int")
+    out = preprocess.indel_target_intervals(_reads(spark, rows), contigs=contigs)
+    assert sorted(tuple(r) for r in out.select("ref_index", "island_start", "island_end").collect()) == [(0, 1, 25), (0, 77, 100), (9, 77, 118)]
+
+
 def test_bqsr_apply_salted_like_broadcast(spark):
     reads = spark.createDataFrame([(f"q{i}", i % 2 * 16, "ACGTN"[i % 5] * 4, "I5I5", None if i == 3 else "g") for i in range(12)],
                                   "qname string, flag int, seq string, qual string, rg string")
