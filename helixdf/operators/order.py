@@ -92,10 +92,11 @@ def equal_split_region(rank, n, k) -> Column:
     Same as SQL ``NTILE(k) - 1``."""
     r = _c(rank)
     n, k = _c(n) if not isinstance(n, int) else F.lit(n), _c(k) if not isinstance(k, int) else F.lit(k)
-    q = F.floor(n / k)
+    div = lambda x, y: F.call_function("div", x, y)  # noqa: E731  (integer division: ranks may pass 2^53)
+    q = div(n, k)
     m = n - q * k
     big = m * (q + 1)
-    return F.when(r < big, F.floor(r / (q + 1))).otherwise(m + F.floor((r - big) / q)).cast("int")
+    return F.when(r < big, div(r, q + 1)).otherwise(m + div(r - big, q)).cast("int")
 
 
 def equal_split_regions(df: DataFrame, order: list, k: int, region_col: str = "region") -> DataFrame:

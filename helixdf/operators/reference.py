@@ -79,7 +79,8 @@ def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str],
     Each record gets a row id before it is cut into segments, so records
     sharing a name (or identical records) are counted separately; the
     aggregation is by that id, combined map-side. Records without an aligned
-    block count zero mismatches.
+    block count zero mismatches. ``uncovered`` counts aligned bases that no tile of
+    the reference holds: they are not compared and must not be taken as matches.
     """
     indel = cg.inserted_bases("cigar") + cg.deleted_bases("cigar")
     r = reads.withColumn("_rid", F.monotonically_increasing_id()).withColumn("_indel", indel)
@@ -89,9 +90,11 @@ def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str],
     neg = fl.has("flag", fl.REVERSE)
     codes = mismatch_codes(read_sub, F.col("ref_sub"), neg)
     tot = tally_codes(codes)
-    outs = [tot["n"].alias("_n"), tot["nb"].alias("_nb")]
+    uncovered = F.col("seg_len") - F.coalesce(F.length("ref_sub"), F.lit(0))
+    outs = [tot["n"].alias("_n"), tot["nb"].alias("_nb"), uncovered.alias("_u")]
     sums = [F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("mismatches"),
-            F.coalesce(F.sum("_nb"), F.lit(0)).cast("int").alias("mismatches_bisulfite")]
+            F.coalesce(F.sum("_nb"), F.lit(0)).cast("int").alias("mismatches_bisulfite"),
+            F.coalesce(F.sum("_u"), F.lit(0)).cast("int").alias("uncovered")]
     if with_quals:
         q_sub = F.substring("qual", F.col("seg_read"), F.col("seg_len"))
         q_mm = F.aggregate(F.zip_with(codes, bs.phred_decode(q_sub), lambda c, q: F.when(c > 0, q).otherwise(0)),

@@ -37,11 +37,19 @@ def number_lines(lines: DataFrame, col: str = "value", per_file: bool = True) ->
 
 
 def list_chunks(spark: SparkSession, folder: str, pattern: str = "part*") -> DataFrame:
-    """Input chunk files under ``folder`` whose name matches ``pattern``, sorted."""
-    df = spark.read.option("pathGlobFilter", pattern).text(folder)
-    return (df.select(F.col("_metadata.file_path").alias("path"),
-                      F.col("_metadata.file_name").alias("name"))
-            .groupBy("path", "name").agg(F.count(F.lit(1)).alias("n_lines")))
+    """Input chunk files under ``folder`` whose name matches ``pattern``, sorted by path:
+    path (a URI), name (its last part), n_lines (0 for empty files).
+
+    Files come from the listing that Spark's driver holds for the scan, since a scan
+    itself skips empty files; lines are counted only if ``n_lines`` is used."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
+    files = spark.createDataFrame([(p,) for p in lines.inputFiles()], "path string")
+    # the listing and the scan write the slashes after a scheme differently
+    key = lambda c: F.regexp_replace(c, "^([^:/]+):/+", "$1:/").alias("_key")
+    counts = lines.select(key(F.col("_metadata.file_path"))).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    return (files.select("path", key(F.col("path"))).join(counts, "_key", "left")
+            .select("path", F.regexp_extract("path", "([^/]*)$", 1).alias("name"),
+                    F.coalesce("_n", F.lit(0).cast("long")).alias("n_lines")).orderBy("path"))
 
 
 # --- sequence dictionary --------------------------------------------------------
@@ -84,7 +92,7 @@ def parse_fastq_lines(numbered: DataFrame, mate: int | None = None, per_file: bo
         F.max(F.when(F.col("_k") == 0, F.col("value"))).alias("_h"),
         F.max(F.when(F.col("_k") == 1, F.col("value"))).alias("seq"),
         F.max(F.when(F.col("_k") == 3, F.col("value"))).alias("qual"))
-    out = rec.select("chunk_id", F.expr("substr(_h, 2)").alias("name"), "seq", "qual")
+    out = rec.select(*(["file"] if per_file else []), "chunk_id", F.expr("substr(_h, 2)").alias("name"), "seq", "qual")
     if mate is not None:
         out = out.withColumn("mate", F.lit(mate))
     return out

@@ -263,6 +263,31 @@ def test_indel_targets_stay_on_the_contig(spark):
     assert sorted(tuple(r) for r in out.select("ref_index", "island_start", "island_end").collect()) == [(0, 1, 25), (0, 77, 100), (9, 77, 118)]
 
 
+def test_missing_reference_tiles_are_reported(spark):
+    from helixdf.operators import reference
+    tiles = spark.createDataFrame([(0, 0, "A" * 32)], "ref_index int, tile int, bases string")
+    rows = [("a", 0, 0, 30, 60, "8M", "AAAAAAAA", "I" * 8), ("b", 0, 0, 1, 60, "4M", "ACAA", "I" * 4), ("c", 4, -1, 0, 0, "*", "A", "I")]
+    out = reference.mismatch_stats(_reads(spark, rows), tiles, ["qname"])
+    assert sorted((r.qname, r.mismatches, r.uncovered) for r in out.collect()) == [("a", 0, 5), ("b", 1, 0), ("c", 0, 0)]
+
+
+def test_list_chunks_keeps_empty_files(spark, tmp_path):
+    from helixdf.sources import text
+    (tmp_path / "part-2").write_text("a\nb\n")
+    (tmp_path / "part-1").write_text("")
+    (tmp_path / "other").write_text("x\n")
+    got = [(r["name"], r.n_lines) for r in text.list_chunks(spark, str(tmp_path)).collect()]
+    assert got == [("part-1", 0), ("part-2", 2)]
+
+
+def test_fastq_records_keep_their_file(spark, tmp_path):
+    from helixdf.sources import text
+    for k in "ab":
+        (tmp_path / f"{k}.fq").write_text(f"@{k}1\nAC\n+\nII\n")
+    out = text.parse_fastq_lines(text.number_lines(spark.read.text(str(tmp_path))), per_file=True)
+    assert sorted((r.file[-4:], r.chunk_id, r["name"]) for r in out.collect()) == [("a.fq", 0, "a1"), ("b.fq", 0, "b1")]
+
+
 def test_bqsr_apply_salted_like_broadcast(spark):
     reads = spark.createDataFrame([(f"q{i}", i % 2 * 16, "ACGTN"[i % 5] * 4, "I5I5", None if i == 3 else "g") for i in range(12)],
                                   "qname string, flag int, seq string, qual string, rg string")
