@@ -31,10 +31,11 @@ def learned(doc_id: Column) -> Column:
 
 
 def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """url, good: a page's document is the number that ends its path; its worst label counts."""
+    """url, good: a page's document is the number that ends its path, before a slash at the end
+    if there is one; its worst label counts."""
     pages, labels = read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels")
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("good"))
-    number = F.expr(r"try_cast(regexp_extract(url, '/([0-9]+)[^0-9/]*(?:[?#].*)?$', 1) as bigint)")
+    number = F.expr(r"try_cast(regexp_extract(url, '/([0-9]+)[^0-9/]*/?(?:[?#].*)?$', 1) as bigint)")
     return pages.select("url", number.alias("n")).join(good, F.col("n") == F.col("doc_id"), "left").select("url", "good")
 
 

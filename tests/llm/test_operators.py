@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helixdf.llm import decontam, jaccard, mixing, quality_rules, quotes, suffix_dedup, token_store, toxicity, url_filter, weak_quality
+from helixdf.llm import decontam, jaccard, mixing, quality_rules, queries, quotes, suffix_dedup, token_store, toxicity, url_filter, weak_quality
 from helixdf.llm.common import word_hashes
 
 from . import brute
@@ -113,6 +113,14 @@ def test_urls(spark):
     assert url_filter.filter_urls(pages.limit(0), known.limit(0)).count() == 0
 
 
+def test_outcomes_of_urls_that_end_in_a_slash(spark, tmp_path):
+    urls = ["http://h.com/en/1/", "http://h.com/en/2", "http://h.com/en/3/?q=4", "http://h.com/en/4/#f", "http://h.com/en/5.html", "http://h.com/6/en/", "http://h.com/7//"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(1, 8)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = queries.page_outcomes(spark, str(tmp_path))
+    assert got(out, "url", "good") == sorted(zip(urls, [1, 0, 1, 0, 1, None, None]), key=repr)
+
+
 def test_tokens(spark):
     import public_tokenizers
     path = public_tokenizers.path("byte_bpe_50k.json")
