@@ -30,7 +30,10 @@ _TAG_TEXTS_SQL = """
 
 
 def _tag_texts(spark, sf_dir):
-    r = fx.load(spark, sf_dir).reads.filter(F.col("flag").bitwiseAND(4) == 0)
+    return tag_texts(fx.load(spark, sf_dir).reads.filter(F.col("flag").bitwiseAND(4) == 0))
+
+
+def tag_texts(r):
     m = F.col("mapq")
     ms = m.cast("string")
     texts = F.array(
@@ -71,7 +74,11 @@ p as (select qname, split_part(t, ':', 1) as tag, split_part(t, ':', 2) as ty,
              substr(t, length(split_part(t, ':', 1)) + length(split_part(t, ':', 2)) + 3) as val from x)
 select qname, tag, ty as type, val as value, {_TAG_ERR_SQL} as error from p""")
 def q_parse_tags(spark, sf_dir):
-    t = _tag_texts(spark, sf_dir).select("qname", F.explode("fields").alias("t"))
+    return parsed_tags(_tag_texts(spark, sf_dir))
+
+
+def parsed_tags(texts):
+    t = texts.select("qname", F.explode("fields").alias("t"))
     s = t.select("qname", tg.split_tag("t").alias("s"))
     return s.select("qname", F.col("s.tag").alias("tag"), F.col("s.type").alias("type"),
                     F.col("s.value").alias("value"),
@@ -89,7 +96,11 @@ select qname, cast(mapq % 4 as integer) as nm, try_cast(v[2] as integer) as xi,
  case when mapq % 10 = 0 then null else 'a:b' end as xz
 from g""")
 def q_typed_tag(spark, sf_dir):
-    t = _tag_texts(spark, sf_dir).withColumn("tags", tg.tags_from_fields("fields"))
+    return typed_tags(_tag_texts(spark, sf_dir))
+
+
+def typed_tags(texts):
+    t = texts.withColumn("tags", tg.tags_from_fields("fields"))
     hexed = F.upper(F.hex(tg.tag_bytes("tags", "XH")))
     return t.select("qname", tg.tag_int("tags", "NM").alias("nm"), tg.tag_int("tags", "XI").alias("xi"),
                     tg.tag_in_range("tags", "XI", -32768, 32767).alias("xi_short"),
