@@ -5,13 +5,16 @@ one level are passages; a passage is normalised (A-Z lower-cased, white space
 runs to one space) and hashed. Originals offer their whole own text, their
 paragraphs and their lines under the same hash. A quoted passage links to the
 first message of its own conversation that holds it in an earlier turn, else to
-the first such message of all conversations. A message that quotes an earlier
+the first message of another conversation that holds it. A passage of several lines
+that is no unit of a message counts as held by it, after messages that have it as a
+unit, if each of its paragraphs is a unit, as a whole or line by line. A message that quotes an earlier
 message of its conversation follows it: conversations are ordered by thread
 (the turn that a chain of replies starts from), then turn.
 
 Only DataFrame functions. Originals are reduced to one row per (conversation,
-hash) and per hash before any join, so frequent passages make no pairs; places in
-a conversation come from one global rank, not from a window over it.
+hash) and two per hash before they are joined to quotes, so frequent passages make no
+pairs; a passage taken apart is compared with the holders of its rarest part only.
+Places in a conversation come from one global rank, not from a window over it.
 
 Defined cases: null text has no lines, an empty body and no quotes; a message
 that holds quotes only keeps an empty body; equal rows stay and take
@@ -20,12 +23,13 @@ consecutive places; a null conversation is a conversation of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.order import global_rank
 from .common import ascii_lower
 
+_PARAGRAPH = r"\n[ \t]*\n"
 _QUOTE = r"^((?:[ \t]*>)+)[ \t]?"
 
 
@@ -54,13 +58,50 @@ def passages(messages: DataFrame, text: str = "text") -> DataFrame:
 
 def _originals(parsed: DataFrame, conv: str, turn: str) -> DataFrame:
     units = F.array_distinct(F.concat(
-        F.array(F.col("body")), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n"),
+        F.array(F.col("body")), F.split("body", _PARAGRAPH), F.split("body", "\n"),
         F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: p["content"])))
     return (parsed.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.explode(units).alias("unit"))
             .select("conv", "turn", normalised(F.col("unit")).alias("unit")).filter("unit != ''")
             .select("conv", "turn", F.md5("unit").alias("hash")))
 
 
+def _nearest(quotes: DataFrame, found: DataFrame, key: str, near: str, far: str) -> DataFrame:
+    """``quotes`` with ``near``, the first earlier turn of the own conversation that holds
+    the key, and ``far``, the first (conv, turn) of another one: of the two least
+    conversations of a key, one is another."""
+    asked = found.join(quotes.select(key).distinct(), key, "left_semi")
+    inside = asked.groupBy("conv", key).agg(F.min("turn").alias(near), F.min(F.struct("turn"))["turn"].alias("least"))
+    least = inside.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy("conv"))).filter("place <= 2")
+    ends = least.groupBy(F.col(key).alias("end_key")).agg(F.min(F.struct("conv", F.col("least").alias("turn"))).alias("a"),
+                                                          F.max(F.struct("conv", F.col("least").alias("turn"))).alias("b"))
+    inside = inside.select(F.col("conv").alias("in_conv"), F.col(key).alias("in_key"), near)
+    out = (quotes.join(inside, quotes["conv"].eqNullSafe(F.col("in_conv")) & (quotes[key] == F.col("in_key")) & (F.col(near) < quotes["turn"]), "left")
+           .join(ends, quotes[key] == F.col("end_key"), "left"))
+    other = F.when(~F.col("a.conv").eqNullSafe(F.col("conv")), F.col("a")).when(~F.col("b.conv").eqNullSafe(F.col("conv")), F.col("b"))
+    return out.select(*quotes.columns, near, other.alias(far))
+
+
+def _part_holders(runs: DataFrame, found: DataFrame) -> DataFrame:
+    """(conv, turn, run): originals with each paragraph of a run (``run``, ``content``), whole or line by line."""
+    pars = runs.select("run", F.posexplode(F.split("content", _PARAGRAPH)).alias("par", "p")).withColumn("whole", normalised(F.col("p"))).filter("whole != ''")
+    line = pars.select("run", "par", F.lit(False).alias("is_whole"), F.explode(F.transform(F.split("p", "\n"), normalised)).alias("unit"))
+    parts = (pars.select("run", "par", F.lit(True).alias("is_whole"), F.col("whole").alias("unit")).unionByName(line)
+             .filter("unit != ''").select("run", "par", "is_whole", F.md5("unit").alias("hash")).distinct().checkpoint())
+    holders = found.join(parts.select("hash").distinct(), "hash", "left_semi").distinct().checkpoint()
+    held = holders.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    counted = parts.join(held, "hash", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    entry = F.struct("n", "hash")
+    seeds = (counted.groupBy("run", "par").agg(F.max(F.when(F.col("is_whole"), entry)).alias("w"), F.min(F.when(~F.col("is_whole"), entry)).alias("l"))
+             .groupBy("run").agg(F.min(F.struct((F.col("w.n") + F.col("l.n")).alias("n"), "w.hash", F.col("l.hash").alias("hash_l"))).alias("s"))
+             .select("run", F.explode(F.array_distinct(F.array("s.hash", "s.hash_l"))).alias("hash")))
+    tried = seeds.join(holders, "hash").select("run", "conv", "turn").distinct().join(parts, "run")
+    have = holders.select(F.col("hash").alias("h"), F.col("conv").alias("c"), F.col("turn").alias("t"))
+    hit = F.col("h").isNotNull()
+    return (tried.join(have, (F.col("hash") == F.col("h")) & F.col("conv").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left")
+            .groupBy("run", "conv", "turn", "par").agg(F.max(F.col("is_whole") & hit).alias("all_p"), F.min(F.col("is_whole") | hit).alias("all_l"))
+            .groupBy("run", "conv", "turn").agg(F.min(F.col("all_p") | F.col("all_l")).alias("ok")).filter("ok").select("conv", "turn", "run"))
+
+
 def _threads(replies: DataFrame) -> DataFrame:
     """(conv, turn, to): the turn that each chain of replies starts from, by pointer
     doubling; turns fall along a chain, so it ends."""
@@ -84,19 +125,22 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     and place (1, 2, ... in the conversation's reply order)."""
     base = messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     parsed = passages(base, "text")
+    content = F.col("p.content")
     quotes = (parsed.select("conv", "turn", F.posexplode(F.filter("passages", lambda p: p["level"] > 0)).alias("nr", "p"))
-              .select("conv", "turn", "nr", F.col("p.level").alias("level"), F.md5(normalised(F.col("p.content"))).alias("hash")).distinct())
+              .groupBy("conv", "turn", "nr", F.col("p.level").alias("level"), F.md5(normalised(content)).alias("hash"))
+              .agg(F.min(content).alias("content")).withColumn("run", F.md5("content")).checkpoint())
     found = _originals(parsed, "conv", "turn")
-    inside = found.groupBy("conv", "hash").agg(F.min("turn").alias("in_turn")).withColumnsRenamed({"conv": "in_conv", "hash": "in_hash"})
-    first = found.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("first")).withColumnRenamed("hash", "any_hash")
-    linked = (quotes
-              .join(inside, quotes["conv"].eqNullSafe(inside["in_conv"]) & (quotes["hash"] == inside["in_hash"]) & (F.col("in_turn") < F.col("turn")), "left")
-              .join(first, quotes["hash"] == first["any_hash"], "left"))
-    near = F.col("in_turn").isNotNull()
-    other = F.col("first").isNotNull() & ~(F.col("first.conv").eqNullSafe(F.col("conv")) & (F.col("first.turn") >= F.col("turn")))
+    linked = _nearest(quotes, found, "hash", "near", "far").checkpoint()
+    lines = F.filter(F.split("content", "\n"), lambda x: normalised(x) != "")
+    apart = linked.filter(F.col("near").isNull() & (F.size(lines) > 1)).select("run", "content").distinct()
+    if apart.isEmpty():
+        linked = linked.withColumns({"near_parts": F.lit(None).cast(linked.schema["near"].dataType), "far_parts": F.lit(None).cast(linked.schema["far"].dataType)})
+    else:
+        linked = _nearest(linked, _part_holders(apart, found), "run", "near_parts", "far_parts")
     # the shallowest linked quote comes first; quotes of the own conversation before others
-    best = F.when(near, F.struct(F.lit(0).alias("far"), "level", "nr", F.col("conv").alias("c"), F.col("in_turn").alias("t"))).when(
-        other, F.struct(F.lit(1).alias("far"), "level", "nr", F.col("first.conv").alias("c"), F.col("first.turn").alias("t")))
+    near, far = F.coalesce("near", "near_parts"), F.coalesce("far", "far_parts")
+    best = F.when(near.isNotNull(), F.struct(F.lit(0).alias("far"), "level", "nr", F.col("conv").alias("c"), near.alias("t"))).when(
+        far.isNotNull(), F.struct(F.lit(1).alias("far"), "level", "nr", far["conv"].alias("c"), far["turn"].alias("t")))
     per = linked.groupBy("conv", "turn").agg(F.count("nr").alias("n_all"), F.count(best).alias("n_linked"), F.min(best).alias("best")).checkpoint()
     replies = per.filter("best.far = 0").select("conv", "turn", F.col("best.t").alias("to"))
     roots = replies if replies.isEmpty() else _threads(replies)

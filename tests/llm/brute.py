@@ -131,3 +131,40 @@ def urls(rows):
         best = max(fit, key=lambda r: len(r[1] + r[2]), default=None)
         out.append((p, host, path, best and best[1] + best[2]))
     return sorted(out, key=repr)
+
+
+def quotes(rows):
+    """(conv, turn, n_linked, quoted_conv, quoted_turn, reply_to) of (conv, turn, role, text) rows of distinct turns."""
+    norm = lambda t: " ".join(WORD.findall(t.translate(UPPER)))
+    order = lambda k: (k[0] is not None, k[0] or 0, k[1])
+    units, runs = {}, {}
+    for c, t, _, text in rows:
+        cut = []
+        for x in (text or "").split("\n"):
+            mark = re.match(r"((?:[ \t]*>)+)[ \t]?", x)
+            level = mark[1].count(">") if mark else 0
+            if not cut or cut[-1][0] != level:
+                cut.append((level, []))
+            cut[-1][1].append(x[mark.end():] if mark else x)
+        body = "\n".join(x for level, own in cut if not level for x in own)
+        own = [body, *re.split(r"\n[ \t]*\n", body), *body.split("\n"), *("\n".join(x) for level, x in cut if not level)]
+        units[c, t] = {norm(u) for u in own} - {""}
+        runs[c, t] = [(level, "\n".join(x)) for level, x in cut if level]
+    whole = lambda run, k: norm(run) in units[k]
+
+    def apart(run, k):
+        pars = [p for p in re.split(r"\n[ \t]*\n", run) if norm(p)]
+        return bool(pars) and all(norm(p) in units[k] or all(norm(x) in units[k] for x in p.split("\n") if norm(x)) for p in pars)
+
+    out = []
+    for (c, t), own in runs.items():
+        links = []
+        for nr, (level, run) in enumerate(own):
+            for far, holds in ((0, whole), (0, apart), (1, whole), (1, apart)):
+                fits = [k for k in units if holds(run, k) and (k[0] == c and k[1] < t if not far else k[0] != c)]
+                if fits:
+                    links.append((far, level, nr, min(fits, key=order)))
+                    break
+        far, _, _, to = min(links, key=lambda x: x[:3]) if links else (None, None, None, (None, None))
+        out.append((c, t, len(links), *to, to[1] if far == 0 else None))
+    return out

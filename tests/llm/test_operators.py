@@ -179,6 +179,31 @@ def test_quotes(spark):
     assert [r[1, t]["place"] for t in range(4)] == [1, 2, 3, 4]
 
 
+def test_partial_and_repeated_quotes(spark):
+    rng = random.Random(8)
+    line = lambda: rng.choice(["alpha", "Beta two", "gamma  three", "delta", "eps ilon", "zeta", "eta"])
+    para = lambda: "\n".join(line() for _ in range(rng.randint(1, 3)))
+    quoted = lambda t: "\n".join("> " + x for x in t.split("\n"))
+    rows, texts = [], []
+    for i in range(120):
+        own = "\n\n".join(para() for _ in range(rng.randint(1, 3)))
+        text = own
+        if texts and rng.random() < 0.6:
+            src = rng.choice(texts).split("\n")
+            a = rng.randrange(len(src))
+            text = quoted("\n".join(src[a:a + rng.randint(1, 4)])) + "\n" + own
+        texts.append(own)
+        rows.append((i % 12 if i % 12 else None, i // 12, "user", text))
+    # two lines of a paragraph of three; two paragraphs of three; a holder in another conversation behind a later one of its own
+    rows += [(50, 0, "user", "L one\nL two\nL three"), (50, 1, "user", "> L two\n> L three"), (51, 0, "user", "P one\n\nP two\nmore\n\nP three"),
+             (51, 1, "user", "> P two more\n>\n> P three\nyes"), (60, 0, "user", "> seen here"), (60, 1, "user", "seen here"), (61, 0, "user", "seen here")]
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    links = got(out, "conv_id", "turn", "n_linked", "quoted_conv", "quoted_turn", "reply_to")
+    assert links == sorted(brute.quotes(rows), key=repr)
+    r = {(x[0], x[1]): x[2:] for x in links}
+    assert r[50, 1] == (1, 50, 0, 0) and r[51, 1] == (1, 51, 0, 0) and r[60, 0] == (1, 61, 0, None)
+
+
 def test_mixing(spark):
     rng = random.Random(7)
     rows = [(i, " ".join("w" for _ in range(rng.randint(0, 30)))) for i in range(600)]
