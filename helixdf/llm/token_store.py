@@ -18,7 +18,8 @@ the shared folder.
 
 Texts are encoded with the tokenizers library. Where a text has single spaces and
 line breaks only (and none at its ends), its tokens never span them, so pieces are
-encoded once and looked up after that; any other text is encoded whole.
+encoded once and looked up after that; any other text, and any that holds an added
+token such as ``<|endoftext|>``, is encoded whole.
 
 Defined cases: null text is empty and gives the end id alone; repeated ids keep all
 their rows; an empty table gives no shards.
@@ -83,7 +84,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         pre = json.loads(self.tok.to_str())["pre_tokenizer"] or {}
         self.byte_level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         self.young: dict[str, bytes] = {}
@@ -120,7 +121,7 @@ class Encoder:
             if not t:
                 out.append(b"")
                 continue
-            parts = _pieces(t) if self.byte_level else None
+            parts = _pieces(t) if self.byte_level and not any(a in t for a in self.added) else None
             if parts is None:
                 out.append(self.whole(t))
                 continue

@@ -136,6 +136,16 @@ def test_tokens(spark):
     assert list(token_store.read_document(folder, first["file"], 0)[-1:]) == [2]
 
 
+def test_added_tokens_in_texts(spark):
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(1, "before <|endoftext|> after"), (2, "<|endoftext|>"), (3, "a<|endoftext|>b c"), (4, "a\t<|endoftext|>  b"), (5, "<|endoftext| > x")]
+    folder, manifest = token_store.write_tokens(frame(spark, rows), path)
+    out = token_store.read_tokens(folder, manifest, with_ids=True)
+    assert got(out, "doc_id", "start", "n_tokens", "ids_crc32") == sorted(brute.tokens(rows, path), key=repr)
+    assert sorted(r["doc_id"] for r in out.collect() if 50256 in r["ids"]) == [1, 2, 3, 4]
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     plain = [f"w{i}" for i in range(200)]
