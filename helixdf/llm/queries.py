@@ -98,8 +98,12 @@ def op9_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sized, plan = mixing.planned(docs)
-    taken = mixing.draw(sized, plan).groupBy("doc_id", "source").agg(F.sum("size").alias("taken")).withColumnsRenamed({"doc_id": "d", "source": "s"})
+    # rows of equal doc_id and source are taken alike: the takes of a key are those of each copy times its copies
+    keys = {"doc_id": "d", "source": "s"}
+    takes = mixing.draw(sized, plan).groupBy("doc_id", "source").agg(F.count(F.lit(1)).alias("takes"), F.lit(0).cast("long").alias("copies"))
+    copies = sized.groupBy("doc_id", "source").agg(F.lit(0).cast("long").alias("takes"), F.count(F.lit(1)).alias("copies"))
+    taken = takes.unionByName(copies).groupBy("doc_id", "source").agg(F.expr("sum(takes) div sum(copies)").alias("times")).withColumnsRenamed(keys)
     out = sized.join(taken, sized["doc_id"].eqNullSafe(F.col("d")) & sized["source"].eqNullSafe(F.col("s")), "left")
     names = plan.sources.select(F.col("__src").alias("name"), "source_size", "target")
     out = out.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name")))
-    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", (F.coalesce("times", F.lit(0).cast("long")) * F.col("size")).alias("taken"))

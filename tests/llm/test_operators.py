@@ -232,6 +232,19 @@ def test_mixing(spark):
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
+def test_mixing_of_repeated_rows(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(d, " ".join("w" for _ in range(rng.randint(1, 30))), "ab"[d % 5 > 0]) for d in range(300)]
+    rows += [r for r in rows for _ in range(r[0] % 4)] + [(None, "w w w", None)] * 3 + [(7, "w", "b")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op10_mixing(spark, str(tmp_path)).collect()
+    sized, plan = mixing.planned(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    drawn = {r[0]: r[1] for r in mixing.draw(sized, plan).groupBy("source").agg(F.sum("size")).collect()}
+    assert len(out) == len(rows)
+    assert all(r["taken"] % r["size"] == 0 and r["taken"] <= 3 * r["size"] for r in out)
+    assert sum(r["taken"] for r in out) == sum(drawn.values())
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
