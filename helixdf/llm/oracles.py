@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .ball_tree import TOP
 from .common import UPPER
 from .quality_rules import MIN_WORDS, RULES, STOP_WORDS, SYMBOLS
 from .quality_rules import WINDOW as REPEAT_WINDOW
 from .url_filter import MIN_GOOD, RHO, RULES as URL_RULES, Z
 from .decontam import WINDOW as ITEM_WINDOW
+from .merkle import ARITY, FIELDS
 
 _LOWER = f"'{UPPER}', '{UPPER.lower()}'"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -36,7 +38,7 @@ def url_filters() -> str:
     return rf"""
 with good as (select doc_id, min(quality) as good from labels group by doc_id),
 known as (select translate({_url('url', 1)}, {_LOWER}) as host, good from (select url from pages) left join good
-  on doc_id = try_cast(regexp_extract(url, '/([0-9]+)[^0-9/]*(?:[?#].*)?$', 1) as bigint)),
+  on doc_id = try_cast(regexp_extract(url, '/([0-9]+)[^0-9/]*/?(?:[?#].*)?$', 1) as bigint)),
 hosts as (select host, regexp_extract(host, '([^.]*(?:\.[^.]*)?)$', 1) as dom, regexp_extract(host, '([^.]*)$', 1) as suf,
   cast(count(good) as double) as n, cast(coalesce(sum(good), 0) as double) as k from known group by all),
 overall as (select (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) as m from hosts),
@@ -98,4 +100,67 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
  not base_failed and {' and '.join(ok)} as kept from f"""
 
 
-ORACLES = {"op1_url_filters": url_filters(), "op6_decontamination": decontamination(), "op7_quality_rules": quality_rules()}
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+def ball_tree_search() -> str:
+    return rf"""
+with d as (select row_number() over () as rid, doc_id, {_TERMS} as w from documents),
+held as (select rid, doc_id, w, len(w) as n from d where len(w) > 0),
+s as (select count(*) as n_docs, cast(coalesce(sum(n), 0) as bigint) as n_terms from held),
+q as (select qid, item_id, unnest(list_distinct(w)) as term from (select row_number() over () as qid, item_id, {_TERMS} as w from benchmark)),
+tf as (select rid, term, count(*) as tf from (select rid, unnest(w) as term from held) where term in (select term from q) group by all),
+weight as (select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) as bigint) as weight from (select term, count(*) as df from tf group by term), s),
+long as (select rid, doc_id, 100 - 50 + ((50 * n * n_docs) // n_terms) as m from held, s),
+scored as (select qid, any_value(item_id) as item_id, rid, any_value(doc_id) as doc_id,
+  cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) as score
+  from q join tf using (term) join weight using (term) join long using (rid) group by qid, rid),
+ranked as (select *, row_number() over (partition by qid order by score desc, doc_id nulls first) as place from scored where score > 0)
+select item_id, cast(place as integer) as rank, doc_id, score from ranked where place <= {TOP}"""
+
+
+def merkle_manifest() -> str:
+    def field(c: str) -> str:
+        return f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+
+    plain = [field(c) for c in FIELDS]
+    lowered = [*plain[:-1], field(f"translate(text, {_LOWER})")]
+    # crc32 of the id's digits: one table-free round of eight shifts per character
+    bits = "list_reduce(list_prepend(xor(a, b), [cast(1 as bigint), 1, 1, 1, 1, 1, 1, 1]), lambda x, y: xor(x // 2, (x % 2) * 3988292384))"
+    digits = "list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint))"
+    crc = f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), {digits}), lambda a, b: {bits}), 4294967295)"
+    up = f"idx // {ARITY}"
+    run = f"partition by tree, level, {up} order by idx rows between"
+
+    def siblings(nodes: str) -> str:
+        return f"""select tree, level, idx, coalesce(string_agg(digest, '') over ({run} unbounded preceding and 1 preceding), '') as l,
+ coalesce(string_agg(digest, '') over ({run} 1 following and unbounded following), '') as r from {nodes} where n > 1"""
+
+    def climb(name: str) -> str:
+        return f"""select tree, level + 1, {up}, sha256(string_agg(digest, '' order by idx)), any_value((n + {ARITY - 1}) // {ARITY})
+  from {name} where n > 1 group by tree, level, {up}"""
+
+    def walk(name: str, sib: str) -> str:
+        return f"""select rid, w.tree, w.level + 1, w.{up}, sha256(l || cur || r), proof || l || r
+  from {name} w join {sib} s on w.tree = s.tree and w.level = s.level and w.idx = s.idx"""
+
+    return f"""
+with recursive d as (select row_number() over () as rid, * from documents),
+leaves as (select rid, doc_id, source, sha256({' || '.join(plain)}) as leaf, case when {crc} % 5 = 0 then sha256({' || '.join(lowered)}) end as changed from d),
+sources as (select source, count(*) as n, row_number() over (order by source nulls first) - 1 as tree from leaves group by source),
+placed as (select rid, doc_id, leaf, changed, tree, n, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as idx
+  from leaves join sources on leaves.source is not distinct from sources.source),
+nodes(tree, level, idx, digest, n) as (select tree, 0, idx, leaf, n from placed union all {climb('nodes')}),
+subroots as (select tree, digest, level from nodes where n = 1),
+tops(tree, level, idx, digest, n) as (select -1, 0, tree, digest, (select count(*) from sources) from subroots union all {climb('tops')}),
+inner_siblings as ({siblings('nodes')}), top_siblings as ({siblings('tops')}),
+walk1(rid, tree, level, idx, cur, proof) as (select rid, tree, 0, idx, coalesce(changed, leaf), '' from placed union all {walk('walk1', 'inner_siblings')}),
+walk2(rid, tree, level, idx, cur, proof) as (
+  select rid, -1, 0, w.tree, cur, proof from walk1 w join subroots on w.tree = subroots.tree and w.level = subroots.level union all {walk('walk2', 'top_siblings')}),
+ends as (select digest as root, level from tops where n = 1)
+select doc_id, leaf, digest as subroot, root, sha256(proof) as proof_sha256, cur as folded_root, cur = root as verified
+from placed join subroots on placed.tree = subroots.tree join walk2 on placed.rid = walk2.rid join ends on walk2.level = ends.level"""
+
+
+ORACLES = {"op1_url_filters": url_filters(), "op6_decontamination": decontamination(), "op7_quality_rules": quality_rules(),
+           "op12_ball_tree_search": ball_tree_search(), "op13_merkle_manifest": merkle_manifest()}

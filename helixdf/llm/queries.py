@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, mixing, quality_rules, quotes, suffix_dedup, token_store, toxicity, url_filter, weak_quality
-from .common import read
+from . import ball_tree, decontam, jaccard, merkle, mixing, quality_rules, quotes, setsketch, suffix_dedup, token_store, toxicity, url_filter, weak_quality
+from .common import ascii_lower, read
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = plan.sources.select(F.col("__src").alias("name"), "source_size", "target")
     out = out.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name")))
     return out.select("doc_id", "size", "source_size", "target", (F.coalesce("times", F.lit(0).cast("long")) * F.col("size")).alias("taken"))
+
+
+@query
+def op11_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = setsketch.near_duplicates(read(spark, sf_dir, "documents"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@query
+def op12_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row is tampered with where 5 divides the crc32 of its id as text."""
+    fields = {c: F.col(c) for c in merkle.FIELDS}
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    changed = F.when(hit, merkle.leaf_of([*list(fields.values())[:-1], ascii_lower(fields["text"])]))
+    rows = read(spark, sf_dir, "documents").select("doc_id", "source", merkle.leaf_of(list(fields.values())).alias("leaf"), changed.alias("changed"))
+    out = merkle.prove(rows, carry=["changed"])
+    out = out.withColumns({"proof_sha256": merkle.digest(merkle.siblings(F.col("proof"))), "folded_root": merkle.fold(F.coalesce("changed", "leaf"), F.col("proof"))})
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))

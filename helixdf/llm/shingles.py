@@ -39,15 +39,16 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return h, np.searchsorted(starts, begin)
 
 
-def shingle_sets(texts: list[bytes], size: int = SIZE) -> list[np.ndarray]:
+def shingle_chunks(texts: list[bytes], size: int = SIZE, most: int = CHUNK) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Distinct shingle hashes of each text, ascending: of ``size`` words, or the whole
-    sequence of a shorter text; none without words."""
-    out: list[np.ndarray] = []
-    for low, high in chunks(texts):
+    sequence of a shorter text; none without words. Some texts at once (about ``most`` bytes):
+    the first one's number and their sets."""
+    for low, high in chunks(texts, most):
         w, at = words_of(texts[low:high])
         n = len(w) - size + 1
         s = sum((w[k:k + n] * _STEP[k % len(_STEP)] for k in range(size)), np.zeros(max(n, 0), dtype=np.uint64)) if n > 0 else w[:0]
         s = mix64(s)
+        out: list[np.ndarray] = []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
             if b - a >= size:
                 x = np.sort(s[a:b - size + 1])
@@ -57,4 +58,9 @@ def shingle_sets(texts: list[bytes], size: int = SIZE) -> list[np.ndarray]:
                 out.append(mix64(whole))
             else:
                 out.append(w[:0])
-    return out
+        yield low, out
+
+
+def shingle_sets(texts: list[bytes], size: int = SIZE) -> list[np.ndarray]:
+    """The sets of all texts at once."""
+    return [s for _, sets in shingle_chunks(texts, size) for s in sets]

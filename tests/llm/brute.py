@@ -168,3 +168,64 @@ def quotes(rows):
         far, _, _, to = min(links, key=lambda x: x[:3]) if links else (None, None, None, (None, None))
         out.append((c, t, len(links), *to, to[1] if far == 0 else None))
     return out
+
+
+def merkle(rows, arity=16):
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of (doc_id, text, lang, source, n_chars) rows."""
+    h = lambda *x: hashlib.sha256("".join(x).encode()).hexdigest()
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf_of = lambda d, t, la, s, n: h(*map(field, (d, s, la, n, t)))
+
+    def tree(own):  # root of digests, and per digest the siblings (left, right) of each level
+        paths, at = [[] for _ in own], list(range(len(own)))
+        while len(own) > 1:
+            for p, i in zip(paths, at):
+                low = i // arity * arity
+                p.append((own[low:i], own[i + 1:low + arity]))
+            own, at = [h(*own[i:i + arity]) for i in range(0, len(own), arity)], [i // arity for i in at]
+        return own[0], paths
+
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[3]].append((r[0], leaf_of(*r), r))
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    made = {}
+    for s in names:
+        groups[s].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        made[s] = tree([x[1] for x in groups[s]])
+    if not names:
+        return []
+    root, over = tree([made[s][0] for s in names])
+    out = []
+    for s, upper in zip(names, over):
+        for (d, leaf, r), path in zip(groups[s], made[s][1]):
+            hit = d is not None and zlib.crc32(str(d).encode()) % 5 == 0
+            cur = leaf_of(d, r[1] and r[1].translate(UPPER), *r[2:]) if hit else leaf
+            proof = path + upper
+            for left, right in proof:
+                cur = h(*left, cur, *right)
+            out.append((d, leaf, made[s][0], root, h(*(x for left, right in proof for x in left + right)), cur, cur == root))
+    return sorted(out, key=repr)
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def search(rows, items, top=50):
+    """(item_id, rank, doc_id, score) of (doc_id, text) rows and (item_id, text) items."""
+    from math import floor, log
+    own = [(d, Counter(TERM.findall((t or "").translate(UPPER)))) for d, t in rows]
+    own = [(d, c, sum(c.values())) for d, c in own if c]
+    n_docs, n_terms = len(own), sum(n for _, _, n in own)
+    df = Counter(w for _, c, _ in own for w in c)
+    out = []
+    for item, t in items:
+        q = {w: floor(1000 * log((2 * n_docs + 2) / (2 * df[w] + 1))) for w in TERM.findall((t or "").translate(UPPER))}
+        got = []
+        for d, c, n in own:
+            m = 50 + 50 * n * n_docs // n_terms
+            s = sum(w * (1_000_000_000 * c[x] // (1000 * c[x] + 20 * m)) for x, w in q.items() if x in c)
+            if s > 0:
+                got.append((-s, d is not None, d or 0, d))
+        out += [(item, k, g[3], -g[0]) for k, g in enumerate(sorted(got, key=lambda g: g[:3])[:top], 1)]
+    return sorted(out, key=repr)
