@@ -24,7 +24,6 @@ rows with equal sets link; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, with_fields
-from .shingles import SIZE, shingle_sets, text_bytes
+from .shingles import SIZE, shingle_chunks, text_bytes
 
 PERCENT = 75
 #: At most so many frequent n-grams order last (8 bytes each are broadcast).
@@ -43,6 +42,15 @@ REPORT = 6
 #: Groups of an n-gram up to this size count pairs directly.
 SMALL = 24
 BLOCK = 1024
+#: N-grams of a block's sets together.
+BLOCK_GRAMS = 1 << 19
+#: Bytes of sets that a task hands on at once.
+YIELD_BYTES = 8 << 20
+#: Classes that a task remembers, and n-grams that it counts together.
+SEEN = 200_000
+HELD = 1_000_000
+#: Pairs that a fragment counts together.
+PAIRS = 200_000
 #: Fragments in which the sets of a candidate pair are counted.
 FRAGMENTS = 8
 
@@ -68,8 +76,6 @@ def _described(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
     n_held = 0
 
     def shared():
-        if not held:
-            return None
         grams, n = np.unique(np.concatenate(held), return_counts=True)
         held.clear()
         many = n >= REPORT
@@ -77,19 +83,21 @@ def _described(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
         return pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(grams), dtype=bool)), "rid": pa.nulls(len(grams), pa.int64()), "cls": pa.array(grams), "n": pa.array(n, pa.int64())})
 
     for batch in batches:
-        rids, sets = batch.column(0), shingle_sets(text_bytes(batch.column(1)), size)
-        ids = [class_of(s) for s in sets]
-        for c, s in zip(ids, sets):
-            if len(s) and c not in seen:
-                seen.add(c)
-                held.append(s)
-                n_held += len(s)
-        yield pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(len(ids), dtype=bool)), "rid": rids, "cls": pa.array(ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64())})
-        if n_held > 3_000_000 and (b := shared()):
-            yield b
-            n_held = 0
-    if b := shared():
-        yield b
+        for low, sets in shingle_chunks(text_bytes(batch.column(1)), size):
+            ids = [class_of(s) for s in sets]
+            for c, s in zip(ids, sets):
+                if len(s) and c not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()  # a class may be told again: its n-grams only seem more frequent
+                    seen.add(c)
+                    held.append(s)
+                    n_held += len(s)
+            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(len(ids), dtype=bool)), "rid": batch.column(0).slice(low, len(ids)), "cls": pa.array(ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64())})
+            if n_held > HELD:
+                yield shared()
+                n_held = 0
+    if held:
+        yield shared()
 
 
 def _ordered(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
@@ -107,21 +115,24 @@ def _leading(frequent, size: int, percent: int):
         seen: set[int] = set()
         many = frequent.value
         for batch in batches:
-            grams, classes, sizes, often = [], [], [], []
-            for s in shingle_sets(text_bytes(batch.column(0)), size):
-                if not len(s) or (c := class_of(s)) in seen:
-                    continue
-                seen.add(c)
-                o, rare = _ordered(s, many)
-                k = lead(len(s), percent)
-                grams.append(o[:k])
-                classes.append(np.full(k, c, dtype=np.int64))
-                sizes.append(np.full(k, len(s), dtype=np.int32))
-                often.append(np.arange(k) >= rare)
-            if grams:
-                yield pa.RecordBatch.from_pydict({
-                    "gram": pa.array(np.concatenate(grams).view(np.int64)), "cls": pa.array(np.concatenate(classes)),
-                    "n": pa.array(np.concatenate(sizes)), "often": pa.array(np.concatenate(often))})
+            for _, sets in shingle_chunks(text_bytes(batch.column(0)), size):
+                grams, classes, sizes, often = [], [], [], []
+                for s in sets:
+                    if not len(s) or (c := class_of(s)) in seen:
+                        continue
+                    if len(seen) >= SEEN:
+                        seen.clear()  # a class may come again: equal rows of a fragment count once
+                    seen.add(c)
+                    o, rare = _ordered(s, many)
+                    k = lead(len(s), percent)
+                    grams.append(o[:k])
+                    classes.append(np.full(k, c, dtype=np.int64))
+                    sizes.append(np.full(k, len(s), dtype=np.int32))
+                    often.append(np.arange(k) >= rare)
+                if grams:
+                    yield pa.RecordBatch.from_pydict({
+                        "gram": pa.array(np.concatenate(grams).view(np.int64)), "cls": pa.array(np.concatenate(classes)),
+                        "n": pa.array(np.concatenate(sizes)), "often": pa.array(np.concatenate(often))})
     return each
 
 
@@ -130,39 +141,59 @@ def _fragment(batches: Iterator[pa.RecordBatch], small: int, percent: int) -> It
     the members of large groups (kind 1: n-gram, class, size), and how many n-grams a class
     shares in small groups (kind 2). Frequent n-grams are dealt over many tasks and pass
     through as members."""
-    counts: dict[tuple[int, int, int, int], int] = defaultdict(int)
-    shared: dict[int, int] = defaultdict(int)
+    pairs: list[tuple[np.ndarray, ...]] = []
+    shared: list[np.ndarray] = []
+    held = 0
     rest: tuple = ()
 
     def flush():
-        if counts:
-            k = np.array(list(counts), dtype=np.int64).reshape(-1, 4)
-            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(k), dtype=np.int32)), "a": pa.array(k[:, 0]), "b": pa.array(k[:, 1]),
-                                              "na": pa.array(k[:, 2]), "nb": pa.array(k[:, 3]), "common": pa.array(list(counts.values()), pa.int64())})
-            counts.clear()
-            c = np.array(list(shared), dtype=np.int64)
+        nonlocal held
+        if any(len(x[0]) for x in pairs):
+            a, b, na, nb = (np.concatenate(x) for x in zip(*pairs))
+            o = np.lexsort((b, a))
+            a, b, na, nb = a[o], b[o], na[o], nb[o]
+            first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+            common = np.diff(np.append(first, len(a)))
+            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(first), dtype=np.int32)), "a": pa.array(a[first]), "b": pa.array(b[first]),
+                                              "na": pa.array(na[first]), "nb": pa.array(nb[first]), "common": pa.array(common)})
+        if shared:
+            c, times = np.unique(np.concatenate(shared), return_counts=True)
             none = pa.array(np.zeros(len(c), dtype=np.int64))
-            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.full(len(c), 2, dtype=np.int32)), "a": pa.array(c), "b": pa.array(c), "na": none, "nb": none, "common": pa.array(list(shared.values()), pa.int64())})
-            shared.clear()
+            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.full(len(c), 2, dtype=np.int32)), "a": pa.array(c), "b": pa.array(c), "na": none, "nb": none, "common": pa.array(times)})
+        pairs.clear()
+        shared.clear()
+        held = 0
 
     def member(g, c, n):
         none, n = pa.array(np.zeros(len(c), dtype=np.int64)), pa.array(n.astype(np.int64))
         return pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(len(c), dtype=np.int32)), "a": pa.array(g), "b": pa.array(c), "na": n, "nb": none, "common": none})
 
     def groups(g, c, n):
+        nonlocal held
+        o = np.lexsort((c, g))
+        g, c, n = g[o], c[o], n[o].astype(np.int64)
+        new = np.concatenate(([True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])))  # a class counts once
+        g, c, n = g[new], c[new], n[new]
         edge = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1], [True])))
-        length = np.diff(edge)
-        for at, k in zip(edge[:-1][length > 1].tolist(), length[length > 1].tolist()):
-            cs, first = np.unique(c[at:at + k], return_index=True)
-            if len(cs) > small:
-                yield member(np.full(len(cs), g[at]), cs, n[at + first])
+        first, length = edge[:-1], np.diff(edge)
+        large = np.repeat(length > small, length)
+        if large.any():
+            yield member(g[large], c[large], n[large])
+        for k in range(2, small + 1):  # all groups of k classes at once
+            at = first[length == k]
+            if not len(at):
                 continue
-            members = list(zip(cs.tolist(), n[at + first].tolist()))
-            for j, (b, nb) in enumerate(members):
-                shared[b] += 1
-                for a, na in members[:j]:
-                    if 100 * min(na, nb) >= percent * max(na, nb):
-                        counts[a, b, na, nb] += 1
+            who = at[:, None] + np.arange(k)
+            shared.append(c[who[:, 1:]].ravel())
+            shared.append(c[who[:, 0]])
+            i, j = np.triu_indices(k, 1)
+            a, b = who[:, i].ravel(), who[:, j].ravel()
+            near = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+            a, b = a[near], b[near]
+            pairs.append((c[a], c[b], n[a], n[b]))
+            held += len(a) + who.size
+            if held > PAIRS:
+                yield from flush()
 
     for batch in batches:
         g, c, n, often = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
@@ -175,8 +206,6 @@ def _fragment(batches: Iterator[pa.RecordBatch], small: int, percent: int) -> It
         rest = (g[last:], c[last:], n[last:])
         if last:
             yield from groups(g[:last], c[:last], n[:last])
-        if len(counts) > 500_000:
-            yield from flush()
     if rest and len(rest[0]):
         yield from groups(*rest)
     yield from flush()
@@ -223,7 +252,7 @@ def _possible(percent: int):
             if ok.any():
                 alive |= ok
                 alive[x] = True
-        return pa.table({"hub": pa.array(np.full(int(alive.sum()), key[0].as_py(), dtype=np.int64)), "cls": pa.array(cls[alive])})
+        return pa.table({"hub": pa.array(np.full(int(alive.sum()), key[0].as_py(), dtype=np.int64)), "cls": pa.array(cls[alive]), "n": pa.array(n[alive].astype(np.int64))})
     return each
 
 
@@ -290,7 +319,7 @@ def _bounded(percent: int):
             if ok.any():
                 alive |= ok
                 alive[x] = True
-        return pa.table({"hub": pa.array(np.full(int(alive.sum()), key[0].as_py(), dtype=np.int64)), "cls": pa.array(cls[alive])})
+        return pa.table({"hub": pa.array(np.full(int(alive.sum()), key[0].as_py(), dtype=np.int64)), "cls": pa.array(cls[alive]), "n": pa.array(n[alive].astype(np.int64))})
     return each
 
 
@@ -301,27 +330,35 @@ def _dealt(size: int, low: bool):
     """The sets of texts, a row for each unit that wants them: whole, or (``low``) 32 bits of
     the n-grams in the first half of the hash range, with both sizes."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols: list[list] = [[] for _ in range(5)]
-            sets, n, n_low = [], [], []
-            for c, s, units in zip(batch.column(0).to_pylist(), shingle_sets(text_bytes(batch.column(1)), size), batch.column(2).to_pylist()):
-                if not len(s) or class_of(s) != c:
-                    continue  # another row's text of that id
-                half = s[:int(np.searchsorted(s, np.uint64(1 << 63)))]
-                own = (half >> np.uint64(20)).astype(np.uint32).view(np.int32) if low else s.view(np.int64)
-                for u in units:
-                    for col, x in zip(cols, (u["hub"], u["i"], u["j"], u["block"], c)):
-                        col.append(x)
-                    sets.append(own)
-                    n.append(len(s))
-                    n_low.append(len(half))
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-            out = [pa.array(c, k) for c, k in zip(cols, kinds)]
-            names = ["hub", "i", "j", "block", "cls"]
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+        names = ["hub", "i", "j", "block", "cls"]
+
+        def made(rows: list[tuple], sets: list[np.ndarray], sizes: list[tuple[int, int]]) -> pa.RecordBatch:
+            out = [pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)]
             if low:
-                yield pa.RecordBatch.from_arrays([*out, pa.array(n, pa.int64()), pa.array(n_low, pa.int64()), pa.array(sets, pa.list_(pa.int32()))], [*names, "n", "n_low", "low"])
-            else:
-                yield pa.RecordBatch.from_arrays([*out, pa.array(sets, pa.list_(pa.int64()))], [*names, "grams"])
+                n, n_low = zip(*sizes)
+                return pa.RecordBatch.from_arrays([*out, pa.array(n, pa.int64()), pa.array(n_low, pa.int64()), pa.array(sets, pa.list_(pa.int32()))], [*names, "n", "n_low", "low"])
+            return pa.RecordBatch.from_arrays([*out, pa.array(sets, pa.list_(pa.int64()))], [*names, "grams"])
+
+        rows, sets, sizes, held = [], [], [], 0
+        for batch in batches:
+            classes, wanted = batch.column(0).to_pylist(), batch.column(2)
+            for first, some in shingle_chunks(text_bytes(batch.column(1)), size):
+                for k, s in enumerate(some, first):
+                    if not len(s) or class_of(s) != classes[k]:
+                        continue  # another row's text of that id
+                    half = s[:int(np.searchsorted(s, np.uint64(1 << 63)))]
+                    own = (half >> np.uint64(20)).astype(np.uint32).view(np.int32) if low else s.view(np.int64)
+                    for u in wanted[k].as_py():
+                        rows.append((u["hub"], u["i"], u["j"], u["block"], classes[k]))
+                        sets.append(own)
+                        sizes.append((len(s), len(half)))
+                        held += own.nbytes + 64
+                        if held > YIELD_BYTES:  # a class may go to many units
+                            yield made(rows, sets, sizes)
+                            rows, sets, sizes, held = [], [], [], 0
+        if rows:
+            yield made(rows, sets, sizes)
     return each
 
 
@@ -352,8 +389,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _units(members: DataFrame) -> DataFrame:
-    """Members (hub, cls) dealt to block pairs: every block of a hub meets each of its blocks once."""
-    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("hub", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
+    """Members (hub, cls, n) dealt to block pairs: every block of a hub meets each of its blocks once."""
+    full = F.ceil(F.greatest(F.col("k") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
+    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("grams")).filter("k > 1").select("hub", full.alias("blocks"))
     placed = members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("cls", "hub"), F.col("blocks")).cast("int"))
     return placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls")
@@ -379,19 +417,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs = met.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
     rest = F.greatest(*[F.ceil(percent * F.col(c) / 100) - 1 for c in ("na", "nb")])
     need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
-    pairs = pairs.filter(F.col("common") + rest >= need).select(F.col("a").alias("hub"), F.array("a", "b").alias("both"))
+    pairs = pairs.filter(F.col("common") + rest >= need).select(F.col("a").alias("hub"), F.array(F.struct(F.col("a").alias("cls"), F.col("na").alias("n")), F.struct(F.col("b").alias("cls"), F.col("nb").alias("n"))).alias("both"))
     large = met.filter("kind = 1").select(F.col("a").alias("gram"), F.col("b").alias("cls"), F.col("na").alias("n")).distinct()
     hubs = stored(large.groupBy("gram").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"), "hubs")
     led = stored(large.join(hubs, "gram"), "led")
     own = led.groupBy("cls").agg(F.first("n").alias("n"), F.collect_set("gram").alias("grams"))
     few = met.filter("kind = 2").groupBy(F.col("a").alias("c2")).agg(F.sum("common").alias("small"))
     own = own.join(few, F.col("cls") == F.col("c2"), "left").select("cls", "n", "grams", F.coalesce("small", F.lit(0).cast("long")).alias("small"))
-    possible = (_units(led.select("hub", "cls").distinct()).join(own, "cls").groupBy("hub", "i", "j")
-                .applyInArrow(_possible(percent), "hub long, cls long"))
-    members = stored(possible.union(pairs.select("hub", F.explode("both").alias("cls"))).distinct(), "members")
+    possible = (_units(led.select("hub", "cls", "n").distinct()).join(own, "cls").groupBy("hub", "i", "j")
+                .applyInArrow(_possible(percent), "hub long, cls long, n long"))
+    members = stored(possible.union(pairs.select("hub", F.explode("both").alias("b")).select("hub", "b.cls", "b.n")).distinct(), "members")
     # one fragment of the sets decides which members can link at all, then all fragments
     near = stored(_with_sets(rows, described, _units(members), size, True).groupBy("hub", "i", "j")
-                  .applyInArrow(_bounded(percent), "hub long, cls long").distinct(), "near")
+                  .applyInArrow(_bounded(percent), "hub long, cls long, n long").distinct(), "near")
     links = _with_sets(rows, described, _units(near), size, False).groupBy("hub", "i", "j").applyInArrow(_compare(percent), "a long, b long")
     found = components(links)
     roots = described.filter("n > 0").groupBy("cls").agg(F.min("rid").alias("least"))
@@ -406,9 +444,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _classed(size: int):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(text_bytes(batch.column(batch.num_columns - 1)), size)
-            cls = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], cls], [*batch.schema.names[:-1], "__cls"])
+            for low, sets in shingle_chunks(text_bytes(batch.column(batch.num_columns - 1)), size):
+                cls = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
+                rows = batch.slice(low, len(sets))
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], cls], [*batch.schema.names[:-1], "__cls"])
     return each
 
 
@@ -417,10 +456,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     """One row of each group of near copies: least id, then least class and columns. Rows
     without words all stay."""
     found = near_duplicates(docs, doc_id, text, size, percent, frequent).filter("n_shingles > 0")
-    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").alias("d"), F.col("cls").alias("c"))).alias("b")).select("b.d", "b.c")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").alias("d"), F.col("cls").alias("c"))).alias("b")).select(F.col("b.d").alias("__d"), F.col("b.c").alias("__c"))
     marked = docs.withColumn("__text", F.col(text))
     marked = marked.mapInArrow(_classed(size), with_fields(docs, "__cls long"))
-    rows = marked.join(best, F.col(doc_id).cast("long").eqNullSafe(F.col("d")) & (F.col("__cls") == F.col("c")))
-    one = rows.groupBy("d", "c").agg(F.min(F.struct(*[F.col(x) for x in docs.columns])).alias("row")).select("row.*")
+    rows = marked.join(best, F.col(doc_id).cast("long").eqNullSafe(F.col("__d")) & (F.col("__cls") == F.col("__c")))
+    one = rows.groupBy("__d", "__c").agg(F.min(F.struct(*[F.col(x) for x in docs.columns])).alias("__row")).select("__row.*")
     return one.union(marked.filter("__cls is null").select(*docs.columns))
-

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from .common import LOWER_BYTES, mix64, word_hashes
 SIZE = 5
 #: Bytes of text hashed together.
 CHUNK = 1 << 20
+_SEPARATOR = re.compile(rb"[\x20\x09-\x0D]")
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
@@ -32,9 +34,25 @@ def chunks(texts: list[bytes], most: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield low, len(texts)
 
 
+def _pieces(data: bytes, most: int) -> Iterator[bytes]:
+    """A text cut at separators into pieces of about ``most`` bytes (a longer word stays whole)."""
+    low = 0
+    while len(data) - low > 2 * most:
+        found = _SEPARATOR.search(data, low + most)
+        if found is None:
+            break
+        yield data[low:found.start()]
+        low = found.start()
+    yield data[low:]
+
+
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of texts (A-Z lower-cased), and where each text's words begin (and the end)."""
-    h, starts, _ = word_hashes(b" ".join(texts).translate(LOWER_BYTES))
+    data = b" ".join(texts).translate(LOWER_BYTES)
+    if len(texts) == 1:  # a long text is hashed piece by piece
+        h = [word_hashes(p)[0] for p in _pieces(data, CHUNK)]
+        return np.concatenate(h), np.array([0, sum(map(len, h))])
+    h, starts, _ = word_hashes(data)
     begin = np.cumsum([0] + [len(t) + 1 for t in texts])
     return h, np.searchsorted(starts, begin)
 

@@ -17,9 +17,9 @@ doubled tasks leave no wrong data. Files are written with pyarrow's file systems
 the shared folder.
 
 Texts are encoded with the tokenizers library. Where a text has single spaces and
-line breaks only (and none at its ends), its tokens never span them, so pieces are
-encoded once and looked up after that; any other text, and any that holds an added
-token such as ``<|endoftext|>``, is encoded whole.
+line breaks only (and none at its ends), its tokens never span them, so words are
+encoded once and looked up after that (by 128-bit hashes, with numpy); any other text, and
+any that holds an added token such as ``<|endoftext|>``, is encoded whole.
 
 Defined cases: null text is empty and gives the end id alone; repeated ids keep all
 their rows; an empty table gives no shards.
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -41,16 +42,19 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path
+from .common import mix64, powers, shared_path
 
 MAGIC = b"TOKZ0001"
 HEAD = len(MAGIC) + 32
 END_ID = 2
 SAMPLE_DOCS = 400
+#: Characters of a sample document that the dictionary is trained on.
+WINDOW = 30_000
 DICT_BYTES = 64 << 10
 LEVEL = 3
-#: Pieces that a worker remembers.
-CACHE = 300_000
+#: Words that a worker remembers, and bytes of texts that it looks up together.
+CACHE = 1_500_000
+BATCH = 1 << 20
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -71,13 +75,41 @@ def _byte_letters() -> dict[int, int]:
 _LETTERS = _byte_letters()
 #: Characters that end words and never join with letters into one token.
 _ENDINGS = ".,!?;:%&$#*|"
+_ODD_BYTES = b"\0\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_ODD = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_CODES = [mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(b)) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+_BASES = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25))
 
 
-class Encoder:
-    """Token ids as little-endian bytes, with the pieces of plain texts remembered.
+class Known:
+    """Words (by 128 bits of two hashes) and their ids, one after another in one array."""
+
+    def __init__(self):
+        self.h1 = self.h2 = np.zeros(0, dtype=np.uint64)
+        self.at, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def find(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words (ascending ``h1``) and whether they are known."""
+        if not len(self.h1):
+            return np.zeros(len(h1), dtype=np.int64), np.zeros(len(h1), dtype=bool)
+        k = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
+        return k, (self.h1[k] == h1) & (self.h2[k] == h2)
+
+    def add(self, h1: np.ndarray, h2: np.ndarray, ids: list[list[int]]) -> None:
+        size = np.array([len(x) for x in ids], dtype=np.int64)
+        at = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate((self.ids, np.fromiter((i for x in ids for i in x), dtype="<u4", count=int(size.sum()))))
+        h1 = np.concatenate((self.h1, h1))
+        o = np.argsort(h1, kind="stable")
+        self.h1, self.h2 = h1[o], np.concatenate((self.h2, h2))[o]
+        self.at, self.size = np.concatenate((self.at, at))[o], np.concatenate((self.size, size))[o]
+
 
-    Pieces live in two generations: a full young one becomes the old one, and pieces
-    found in the old one return, so frequent pieces stay."""
+class Encoder:
+    """Token ids as little-endian bytes, with the words of plain texts remembered: a plain
+    text's white space is single spaces and line breaks between words, which tokens never
+    span, so its ids are those of its words, each behind what stands before it."""
 
     _made: dict[str, "Encoder"] = {}
 
@@ -87,8 +119,7 @@ class Encoder:
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         pre = json.loads(self.tok.to_str())["pre_tokenizer"] or {}
         self.byte_level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known, self.endings = Known(), {}
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -96,54 +127,92 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def whole(self, text: str) -> bytes:
-        ids = self.tok.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def ids(self, text: str) -> list[int]:
+        return self.tok.encode(text, add_special_tokens=False).ids
 
-    def piece(self, p: str) -> bytes:
-        """A piece of a text: letters are one pre-token, and so are marks that end it."""
-        got = self.young.get(p) or self.old.get(p)
+    def whole(self, text: str) -> bytes:
+        return np.array(self.ids(text), dtype="<u4").tobytes()
+
+    def word(self, before: str, word: str) -> list[int]:
+        """Ids of a word and the space or line break before it: letters are one pre-token
+        with the space, and so are the marks that end them."""
+        if before == "\n":
+            return self.ending("\n") + self.word("", word)
+        body = word.rstrip(_ENDINGS)
+        if not body.isalpha():
+            return self.ids(before + word)
+        out = [t.id for t in self.tok.model.tokenize((before + body).encode().decode("latin-1").translate(_LETTERS))]
+        return out + self.ending(word[len(body):]) if len(body) < len(word) else out
+
+    def ending(self, text: str) -> list[int]:
+        got = self.endings.get(text)
         if got is None:
-            word = p[1:] if p[0] == " " else p
-            if word.isalpha():
-                ids = [t.id for t in self.tok.model.tokenize(p.encode().decode("latin-1").translate(_LETTERS))]
-                got = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                body = word.rstrip(_ENDINGS)
-                cut = len(p) - len(word) + len(body)
-                got = self.piece(p[:cut]) + self.piece(p[cut:]) if cut < len(p) and body.isalpha() else self.whole(p)
-        self.young[p] = got
+            got = self.ids(text)
+            if len(text) < 4:
+                self.endings[text] = got
         return got
 
+    def plain(self, text: str, data: bytes) -> bool:
+        return (self.byte_level and text[0] not in " \n" and text[-1] not in " \n" and "  " not in text and "\n\n" not in text
+                and " \n" not in text and "\n " not in text and len(data.translate(None, _ODD_BYTES)) == len(data)
+                and not any(a in text for a in self.added) and (len(data) == len(text) or not _ODD.search(text)))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out = []
-        for t in texts:
+        out, at, some, size = [b""] * len(texts), [], [], 0
+        for k, t in enumerate(texts):
             if not t:
-                out.append(b"")
                 continue
-            parts = _pieces(t) if self.byte_level and not any(a in t for a in self.added) else None
-            if parts is None:
-                out.append(self.whole(t))
+            data = t.encode("utf-8", "surrogatepass")
+            if not self.plain(t, data):
+                out[k] = self.whole(t)
                 continue
-            young = self.young
-            for p in parts:
-                if p not in young:
-                    self.piece(p)
-            out.append(b"".join(map(young.__getitem__, parts)))
-            if len(young) > CACHE:
-                self.old, self.young = young, {}
+            at.append(k)
+            some.append(data)
+            size += len(data)
+            if size > BATCH:
+                for i, e in zip(at, self._plain(some)):
+                    out[i] = e
+                at, some, size = [], [], 0
+        if some:
+            for i, e in zip(at, self._plain(some)):
+                out[i] = e
         return out
 
-
-def _pieces(t: str) -> list[str] | None:
-    """Words with the space before them, and line breaks, of a text whose white space is
-    single spaces and line breaks between words: tokens never span these pieces."""
-    words, breaks = t.split(), t.count("\n")
-    gaps = t.count(" ") + breaks
-    if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(t) or "\0" in t:
-        return None
-    t = t.replace(" ", "\0 ")
-    return (t.replace("\n", "\0\n\0") if breaks else t).split("\0")
+    def _plain(self, texts: list[bytes]) -> list[bytes]:
+        data = b"\0" + b"\0".join(texts) + b"\0"
+        b = np.frombuffer(data, dtype=np.uint8)
+        cut = np.flatnonzero((b == 32) | (b == 10) | (b == 0))
+        low, high, before = cut[:-1] + 1, cut[1:], b[cut[:-1]]
+        h1, h2 = (self._hashes(b, low, high, before, k) for k in (0, 1))
+        u1, first, own = np.unique(h1, return_index=True, return_inverse=True)
+        u2 = h2[first]
+        if (u2[own] != h2).any():  # two words with one 64-bit hash
+            return [self.whole(t.decode("utf-8", "surrogatepass")) for t in texts]
+        if len(self.known.h1) > CACHE:
+            self.known = Known()
+        _, hit = self.known.find(u1, u2)
+        if not hit.all():
+            miss = np.flatnonzero(~hit)
+            k = first[miss]
+            lead = {0: "", 32: " ", 10: "\n"}
+            self.known.add(u1[miss], u2[miss], [self.word(lead[v], data[i:j].decode("utf-8", "surrogatepass")) for v, i, j in zip(before[k].tolist(), low[k].tolist(), high[k].tolist())])
+        place, hit = self.known.find(u1, u2)
+        if not hit.all():  # a word known by an equal 64-bit hash
+            return [self.whole(t.decode("utf-8", "surrogatepass")) for t in texts]
+        place = place[own]
+        size = self.known.size[place]
+        end = np.cumsum(size)
+        flat = self.known.ids[np.repeat(self.known.at[place] - (end - size), size) + np.arange(int(end[-1]))].tobytes()
+        begin = np.append((4 * (end - size))[before == 0], 4 * int(end[-1])).tolist()
+        return [flat[i:j] for i, j in zip(begin[:-1], begin[1:])]
+
+    @staticmethod
+    def _hashes(b: np.ndarray, low: np.ndarray, high: np.ndarray, before: np.ndarray, k: int) -> np.ndarray:
+        # sum of byte code * base^(index from the word's start), from prefix sums of the whole batch
+        power, inverse = powers(len(b) + 1, _BASES[k]), powers(len(b) + 1, np.uint64(pow(int(_BASES[k]), -1, 1 << 64)))
+        acc = np.zeros(len(b) + 1, dtype=np.uint64)
+        np.cumsum(_CODES[k][b] * power[:len(b)], out=acc[1:])
+        return mix64((acc[high] - acc[low]) * inverse[low] + (before.astype(np.uint64) << np.uint64(32)) + (high - low).astype(np.uint64))
 
 
 def _chunks(lists: list, n: int) -> Iterator[list]:
@@ -153,13 +222,16 @@ def _chunks(lists: list, n: int) -> Iterator[list]:
 
 def train_dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str, sample_docs: int = SAMPLE_DOCS) -> bytes:
     """Shared dictionary from a bounded sample: the ``sample_docs`` documents of smallest
-    hash, of each at most the first 8,192 ids as training material."""
+    hash, of each a window of ``WINDOW`` characters that begins at a hashed place of the whole
+    text, as training material."""
     place = F.xxhash64(F.lit(5), F.col(doc_id))
     chosen = docs.select(place.alias("h")).orderBy("h").limit(sample_docs).distinct()
-    rows = (docs.select(place.alias("h"), F.substring(text, 1, 40_000).alias("t")).join(F.broadcast(chosen), "h")
+    room = F.greatest(F.length(text) - WINDOW, F.lit(0)) + 1
+    window = F.substring(F.col(text), F.pmod(F.xxhash64(F.lit(6), F.col(doc_id)), room).cast("int") + 1, F.lit(WINDOW))
+    rows = (docs.select(place.alias("h"), window.alias("t")).join(F.broadcast(chosen), "h")
             .dropDuplicates(["h", "t"]).orderBy("h", "t").limit(sample_docs).collect())
     enc = Encoder(tokenizer)
-    samples = [e[:4 * 8192] for e in enc.encode([r["t"] for r in rows]) if e]
+    samples = [e for e in enc.encode([r["t"] for r in rows]) if e]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes() if samples else b""
     except zstandard.ZstdError:  # too little material
