@@ -360,26 +360,7 @@ def bqsr_apply(reads: DataFrame, deltas: DataFrame, rg: str = "rg", delta_bytes:
             .drop("d_rg", "a_q", "a_cycle", "a_ctx", "cycle_width", "_c", "_neg", "_n"))
 
 
-# --- depth, MD sites, indel targets --------------------------------------------------------
-
-def locus_depth(reads: DataFrame) -> DataFrame:
-    """Per (contig, locus): depth over aligned blocks and A/C/G/T/N counts.
-
-    Each block is cut to its own bases before exploding, so per-base rows
-    carry only (contig, locus, base); they are combined map-side and the
-    shuffle is per locus, bounded by the covered genome.
-    """
-    blocks = reads.filter(fl.is_mapped("flag")).select(
-        "ref_index", "seq", F.explode(cg.alignment_blocks("cigar", "pos")).alias("b"))
-    blk = blocks.select("ref_index", F.col("b.ref_start").alias("ref_start"),
-                        F.upper(F.substring("seq", F.col("b.read_start"), F.col("b.length"))).alias("bases"))
-    per = blk.select("ref_index", "ref_start", F.posexplode(bs.chars("bases")).alias("k", "base"))
-    per = per.select("ref_index", (F.col("ref_start") + F.col("k")).alias("pos"), "base")
-    return per.groupBy("ref_index", "pos").agg(
-        F.count(F.lit(1)).alias("depth"),
-        *[F.count_if(F.col("base") == b).alias(f"n_{b.lower()}") for b in "ACGT"],
-        F.count_if(~F.col("base").isin("A", "C", "G", "T")).alias("n_n"))
-
+# --- MD sites, indel targets --------------------------------------------------------
 
 def md_events(md) -> Column:
     """MD string -> array of (kind, base, md_offset): one per mismatching base

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tags as tg
-from ..operators import filters, intervals, islands, order, preprocess, records
+from ..operators import filters, intervals, islands, order, pileup, preprocess, records
 
 
 def prepare_for_calling(reads: DataFrame, contigs: DataFrame, ref_tiles: DataFrame,
@@ -51,5 +51,5 @@ def prepare_for_calling(reads: DataFrame, contigs: DataFrame, ref_tiles: DataFra
     out["recal_table"] = table
     out["reads"] = recal
     out["duplicate_metrics"] = preprocess.duplicate_metrics(marked)
-    out["depth"] = preprocess.locus_depth(recal.filter(F.col("flag").bitwiseAND(0x400) == 0))
+    out["depth"] = pileup.locus_depth(recal.filter(F.col("flag").bitwiseAND(0x400) == 0))
     return out

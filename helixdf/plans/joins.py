@@ -8,7 +8,9 @@ from .. import fixtures as fx
 from ..functions import coords as co
 from ..functions import flags as fl
 from ..operators import filters, intervals, lookups, reference
+from ..session import scratch_path
 from ..sources import header as hd
+from ..sources import region_store
 from .records import CE_SQL
 from .registry import query, sql_end
 
@@ -119,13 +121,25 @@ def q_interval_anti_join(spark, sf_dir):
         .select("qname", "ref_index", "start0")
 
 
-@query("query_regions", W("reads", "targets") + _READ_IV + """
-select ri.ref_index, count(*) as n_reads from ri where exists (select 1 from targets t where t.ref_index = ri.ref_index and t.start0 < ri.end0 and ri.start0 < t.end0)
-group by ri.ref_index""")
+_IN_TARGETS = """
+select ri.qname, ri.ref_index, cast(ri.start0 + 1 as integer) as pos from ri
+where exists (select 1 from targets t where t.ref_index = ri.ref_index and t.start0 < ri.end0 and ri.start0 < t.end0)"""
+
+
+@query("query_regions", W("reads", "targets") + _READ_IV + _IN_TARGETS)
 def q_query_regions(spark, sf_dir):
-    """All target regions at once (the ``-L`` interval list): reads per contig inside targets."""
+    """The records of all target regions at once (the ``-L`` interval list)."""
     hits = intervals.semi_join(_read_intervals(spark, sf_dir), _f(spark, sf_dir).targets)
-    return hits.groupBy("ref_index").agg(F.count(F.lit(1)).alias("n_reads"))
+    return hits.select("qname", "ref_index", (F.col("start0") + 1).cast("int").alias("pos"))
+
+
+@query("query_regions_stored", W("reads", "targets") + _READ_IV + _IN_TARGETS)
+def q_query_regions_stored(spark, sf_dir):
+    """The same records from a store whose files are pruned by the regions."""
+    f = _f(spark, sf_dir)
+    path = scratch_path(spark, "regions.parquet")
+    region_store.write_region_store(filters.keep_primary_contigs(f.reads), path)
+    return region_store.read_regions(spark, path, f.targets).select("qname", "ref_index", "pos")
 
 
 # --- lookups ---------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions import flags as fl
-from ..operators import islands, preprocess
+from ..operators import islands, pileup, preprocess
 from ..sources import text
 from .io import _ISLANDS_SQL, _named_islands
 from .records import CE_SQL, ce_sql
@@ -185,7 +185,7 @@ select ref_index, cast(pos as integer) as pos, count(*) as depth, count(*) filte
  count(*) filter (where base not in ('A','C','G','T')) as n_n
 from x group by ref_index, pos""")
 def q_locus_depth(spark, sf_dir):
-    return preprocess.locus_depth(fx.load(spark, sf_dir).reads)
+    return pileup.locus_depth(fx.load(spark, sf_dir).reads)
 
 
 _MD_TOK = r"regexp_extract_all(md, '(\d+|\^[A-Za-z]+|[A-Za-z])', 1)"
