@@ -21,7 +21,21 @@ IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+#: Bytes of rows that go to a Python worker at once, unless the session says otherwise.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_UNSET = "67108863b"  # what asking for it gives where nobody has set it
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Texts differ in length, so batches are bounded by bytes: buffers outside the heap and
+    copies in workers stay small. A size that the session sets is kept."""
+    if spark.conf.get(_BATCH, _UNSET) == _UNSET:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -34,6 +48,7 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, and a
     lost executor costs no more than reading it again."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
