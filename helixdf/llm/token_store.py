@@ -28,7 +28,6 @@ their rows; an empty table gives no shards.
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 import struct
 import uuid
@@ -53,8 +52,8 @@ WINDOW = 30_000
 DICT_BYTES = 64 << 10
 LEVEL = 3
 #: Words that a worker remembers, and bytes of texts that it looks up together.
-CACHE = 1_500_000
-BATCH = 1 << 20
+CACHE = 500_000
+BATCH = 1 << 19
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -117,8 +116,8 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        pre = json.loads(self.tok.to_str())["pre_tokenizer"] or {}
-        self.byte_level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        pre = self.tok.pre_tokenizer
+        self.byte_level = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and pre.use_regex
         self.known, self.endings = Known(), {}
 
     @classmethod
@@ -244,6 +243,7 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 def _write(folder: str, tokenizer: str, dictionary: bytes, end_id: int):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what earlier tasks left in this worker
         enc, tail = Encoder.of(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         zc = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_content_size=True)
         out = None
