@@ -9,7 +9,7 @@ position inside the partition; the offset table has one row per partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import flags as fl
@@ -105,16 +105,25 @@ def equal_split_regions(df: DataFrame, order: list, k: int, region_col: str = "r
     return ranked.withColumn(region_col, equal_split_region("rank", n, k))
 
 
-def check_sort_order(records: DataFrame, keys: list, line_col: str = "line_no") -> DataFrame:
-    """Adjacent records (by ``line_col``) whose declared keys go backwards.
+#: Lines whose neighbours one window looks at.
+ORDER_LINES = 1 << 16
 
-    An equi self-join on line_no = previous line_no + 1 (shuffle on the line
-    number; no single-partition window). Returns the line, and both keys as
-    structs.
+
+def check_sort_order(records: DataFrame, keys: list, line_col: str = "line_no", lines: int = ORDER_LINES) -> DataFrame:
+    """Records whose declared keys are below those of the record before them (by
+    ``line_col``): the line, both keys as structs, both names.
+
+    Neighbours are compared inside ranges of ``lines`` line numbers; the first record of a
+    range is compared with the last one of the range before it, from a table of one row per
+    range. Rows are shuffled once and never joined to each other.
     """
     key = F.struct(*[_c(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    cur = records.select(F.col(line_col).alias("line_no"), key.alias("key"),
-                         F.col("qname").alias("qname"))
-    prev = cur.select((F.col("line_no") + 1).alias("line_no"), F.col("key").alias("prev_key"),
-                      F.col("qname").alias("prev_qname"))
-    return cur.join(prev, "line_no").filter(F.col("key") < F.col("prev_key"))
+    cur = records.select(F.col(line_col).alias("line_no"), key.alias("key"), F.col("qname").alias("qname"))
+    cur = cur.withColumn("_range", F.call_function("div", F.col("line_no").cast("long"), F.lit(lines).cast("long")))
+    near = Window.partitionBy("_range").orderBy("line_no")
+    seen = cur.withColumn("_prev", F.lag(F.struct("key", "qname")).over(near))
+    ends = cur.groupBy(F.col("_range").alias("_of")).agg(F.max_by(F.struct("key", "qname"), "line_no").alias("_last"))
+    before = ends.withColumn("_before", F.lag("_last").over(Window.orderBy("_of"))).drop("_last")  # a row per range
+    heads = seen.filter(F.col("_prev").isNull()).join(before, F.col("_range") == F.col("_of")).withColumn("_prev", F.col("_before"))
+    both = seen.filter(F.col("_prev").isNotNull()).unionByName(heads.select(*seen.columns))
+    return both.select("line_no", "key", "qname", F.col("_prev.key").alias("prev_key"), F.col("_prev.qname").alias("prev_qname")).filter(F.col("key") < F.col("prev_key"))

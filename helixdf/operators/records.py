@@ -40,33 +40,50 @@ def ref_position_at_read_offset(cigar, pos, offset) -> Column:
         F.coalesce(first["ref_start"] + o - first["read_start"], F.lit(0)))
 
 
+def _on_contig(start: Column, n: Column, length: Column) -> Column:
+    """How many of ``n`` bases from ``start`` on lie before, on and after a contig."""
+    n = F.greatest(n, F.lit(0))
+    before = F.least(F.greatest(1 - start, F.lit(0)), n)
+    after = F.least(F.greatest(start + n - 1 - length, F.lit(0)), n)
+    return F.struct(before.alias("before"), (n - before - after).alias("on"), after.alias("after"))
+
+
+def _runs(*runs: tuple[Column, str]) -> Column:
+    """CIGAR text of (length, operator) runs; empty runs are left out."""
+    return F.concat(*[F.when(n > 0, F.concat(n.cast("string"), F.lit(op))).otherwise(F.lit("")) for n, op in runs])
+
+
 def clipped_cigar(align_start, read_length, ref_length) -> Column:
-    """Ungapped CIGAR with soft clips where the read hangs off either contig end.
-    NULL when no aligned base is left."""
-    s, rl, gl = _c(align_start), _c(read_length), _c(ref_length)
-    left = F.when(s < 1, 1 - s).otherwise(0)
-    right = F.when(s + rl > gl + 1, s + rl - gl - 1).otherwise(0)
-    m = rl - left - right
-    return F.when(m >= 1, F.concat(_clip(left), m.cast("string"), F.lit("M"), _clip(right)))
+    """CIGAR of an ungapped alignment: the read's span cut with the contig, what lies outside
+    soft-clipped. NULL when no base lies on the contig (see :func:`clip_reason`)."""
+    part = _on_contig(_c(align_start), _c(read_length), _c(ref_length))
+    return F.when(part["on"] > 0, _runs((part["before"], "S"), (part["on"], "M"), (part["after"], "S")))
+
+
+def _around(align_start, read_length, ref_length, indel_pos, indel_len):
+    """The aligned parts before and behind an indel, cut with the contig."""
+    s, n, at, by, length = (_c(x) for x in (align_start, read_length, indel_pos, indel_len, ref_length))
+    inserted, deleted = F.greatest(by, F.lit(0)), F.greatest(-by, F.lit(0))
+    return _on_contig(s, at, length), _on_contig(s + at + deleted, n - at - inserted, length)
 
 
 def clipped_indel_cigar(align_start, read_length, ref_length, indel_pos, indel_len) -> Column:
-    """CIGAR with one insertion (len > 0) or deletion (len < 0) after
-    ``indel_pos`` matching bases, soft-clipped at contig ends; NULL if invalid."""
-    s, rl, gl, ip, il = (_c(x) for x in (align_start, read_length, ref_length, indel_pos, indel_len))
-    left = F.when(s < 1, 1 - s).otherwise(0)
-    end = s + rl - il
-    right = F.when(end > gl + 1, end - gl - 1).otherwise(0)
-    first = ip - left
-    second = rl - ip - F.greatest(il, F.lit(0)) - right
-    text = F.concat(_clip(left), first.cast("string"), F.lit("M"), F.abs(il).cast("string"),
-                    F.when(il > 0, F.lit("I")).otherwise(F.lit("D")), second.cast("string"), F.lit("M"),
-                    _clip(right))
-    return F.when((left < ip) & (second >= 1), text)
-
-
-def _clip(n: Column) -> Column:
-    return F.when(n > 0, F.concat(n.cast("string"), F.lit("S"))).otherwise(F.lit(""))
+    """CIGAR with one insertion (len > 0) or deletion (len < 0) after ``indel_pos`` aligned
+    bases: both parts are cut with the contig. NULL unless both keep a base there."""
+    first, second = _around(align_start, read_length, ref_length, indel_pos, indel_len)
+    by = _c(indel_len)
+    text = _runs((first["before"], "S"), (first["on"], "M"), (by, "I"), (-by, "D"), (second["on"], "M"), (second["after"], "S"))
+    return F.when((first["on"] > 0) & (second["on"] > 0), text)
+
+
+def clip_reason(align_start, read_length, ref_length, indel_pos=None, indel_len=None) -> Column:
+    """Why there is no CIGAR: ``off_contig``, ``no_base_before_indel`` or ``no_base_after_indel``;
+    NULL where there is one."""
+    if indel_pos is None:
+        return F.when(_on_contig(_c(align_start), _c(read_length), _c(ref_length))["on"] <= 0, F.lit("off_contig"))
+    first, second = _around(align_start, read_length, ref_length, indel_pos, indel_len)
+    return (F.when((first["on"] <= 0) & (second["on"] <= 0), F.lit("off_contig"))
+            .when(first["on"] <= 0, F.lit("no_base_before_indel")).when(second["on"] <= 0, F.lit("no_base_after_indel")))
 
 
 def original_qualities(tags) -> Column:

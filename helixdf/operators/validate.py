@@ -63,18 +63,18 @@ def flag_rules() -> list[Column]:
     paired = fl.has(f, fl.PAIRED)
     no_mate_ref = F.col("mate_ref_index") == -1
     return [
-        _e(unpaired & fl.has(f, fl.PROPER_PAIR), "INVALID_FLAG_PROPER_PAIR", "proper pair flag on unpaired read"),
-        _e(unpaired & fl.has(f, fl.MATE_UNMAPPED), "INVALID_FLAG_MATE_UNMAPPED", "mate unmapped flag on unpaired read"),
-        _e(unpaired & fl.has(f, fl.MATE_REVERSE), "INVALID_FLAG_MATE_NEG_STRAND", "mate strand flag on unpaired read"),
-        _e(unpaired & fl.has(f, fl.FIRST_OF_PAIR), "INVALID_FLAG_FIRST_OF_PAIR", "first of pair flag on unpaired read"),
-        _e(unpaired & fl.has(f, fl.SECOND_OF_PAIR), "INVALID_FLAG_SECOND_OF_PAIR", "second of pair flag on unpaired read"),
-        _e(unpaired & ~no_mate_ref, "INVALID_MATE_REF_INDEX", "mate reference on unpaired read"),
+        _e(unpaired & fl.has(f, fl.PROPER_PAIR), "INVALID_FLAG_PROPER_PAIR", "bit 0x2 needs bit 0x1"),
+        _e(unpaired & fl.has(f, fl.MATE_UNMAPPED), "INVALID_FLAG_MATE_UNMAPPED", "bit 0x8 needs bit 0x1"),
+        _e(unpaired & fl.has(f, fl.MATE_REVERSE), "INVALID_FLAG_MATE_NEG_STRAND", "bit 0x20 needs bit 0x1"),
+        _e(unpaired & fl.has(f, fl.FIRST_OF_PAIR), "INVALID_FLAG_FIRST_OF_PAIR", "bit 0x40 needs bit 0x1"),
+        _e(unpaired & fl.has(f, fl.SECOND_OF_PAIR), "INVALID_FLAG_SECOND_OF_PAIR", "bit 0x80 needs bit 0x1"),
+        _e(unpaired & ~no_mate_ref, "INVALID_MATE_REF_INDEX", "a mate contig needs bit 0x1"),
         _e(paired & no_mate_ref & ~fl.has(f, fl.MATE_UNMAPPED), "INVALID_FLAG_MATE_UNMAPPED",
-           "mapped mate without mate reference"),
+           "bit 0x8 is off but the mate has no contig"),
         _e(paired & ~fl.has(f, fl.FIRST_OF_PAIR) & ~fl.has(f, fl.SECOND_OF_PAIR),
-           "PAIRED_READ_NOT_MARKED_AS_FIRST_OR_SECOND", "paired read is neither first nor second"),
+           "PAIRED_READ_NOT_MARKED_AS_FIRST_OR_SECOND", "bit 0x1 without bit 0x40 or 0x80"),
         _e(fl.has(f, fl.UNMAPPED) & fl.has(f, fl.SECONDARY), "INVALID_FLAG_NOT_PRIM_ALIGNMENT",
-           "secondary flag on unmapped read"),
+           "bits 0x4 and 0x100 exclude each other"),
     ]
 
 
@@ -86,24 +86,24 @@ def position_rules(mate: bool = False) -> list[Column]:
     ref, pos, length = F.col(p + "ref_index"), F.col(p + "pos"), F.col(p + "ref_length")
     has_ref = ref != -1
     rules = [
-        _e(~has_ref & (pos != 0), "INVALID_ALIGNMENT_START", who + "start must be 0 without reference"),
-        _e(has_ref & (pos == 0), "INVALID_ALIGNMENT_START", who + "start must not be 0 with a reference"),
-        _e(has_ref & length.isNull(), "INVALID_REFERENCE_INDEX", who + "reference not in dictionary"),
-        _e(has_ref & length.isNotNull() & (pos > length), "INVALID_ALIGNMENT_START", who + "start past reference end"),
+        _e(~has_ref & (pos != 0), "INVALID_ALIGNMENT_START", who + "position given, contig absent"),
+        _e(has_ref & (pos == 0), "INVALID_ALIGNMENT_START", who + "contig given, position absent"),
+        _e(has_ref & length.isNull(), "INVALID_REFERENCE_INDEX", who + "contig index unknown to the header"),
+        _e(has_ref & length.isNotNull() & (pos > length), "INVALID_ALIGNMENT_START", who + "position beyond the contig"),
     ]
     if mate:
         return [Rule(fl.has("flag", fl.PAIRED) & r.cond, r.type, r.message) for r in rules]
     rules.append(_e(~fl.has("flag", fl.UNMAPPED) & ~has_ref, "INVALID_FLAG_READ_UNMAPPED",
-                    "mapped read without reference"))
+                    "bit 0x4 is off but there is no contig"))
     return rules
 
 
 def range_rules() -> list[Column]:
     unmapped = fl.has("flag", fl.UNMAPPED)
     return [
-        _e(F.abs(F.col("isize")) > MAX_INSERT_SIZE, "INVALID_INSERT_SIZE", "insert size out of range"),
-        _e(unmapped & (F.col("mapq") != 0), "INVALID_MAPPING_QUALITY", "mapq must be 0 on unmapped read"),
-        _e(~unmapped & (F.col("mapq") >= 256), "INVALID_MAPPING_QUALITY", "mapq must be < 256"),
+        _e(F.abs(F.col("isize")) > MAX_INSERT_SIZE, "INVALID_INSERT_SIZE", "template length beyond 2^29"),
+        _e(unmapped & (F.col("mapq") != 0), "INVALID_MAPPING_QUALITY", "unmapped with a mapping quality"),
+        _e(~unmapped & (F.col("mapq") >= 256), "INVALID_MAPPING_QUALITY", "mapping quality does not fit a byte"),
     ]
 
 
@@ -115,21 +115,18 @@ def cigar_rules() -> list[Column]:
     mapped = ~fl.has("flag", fl.UNMAPPED)
     non_empty = F.col("cigar") != "*"
     checked = mapped & non_empty
-    # S must be first or last, or sit just inside a hard clip (H S ... or ... S H);
-    # with three operators and S in the middle, "x S H" is accepted too.
-    bad_soft = (ops.rlike("^.{2,}S.{2,}$")
-                | (ops.rlike("^[^H]S.+$") & ~ops.rlike("^.SH$"))
-                | ops.rlike("^.{2,}S[^H]$"))
+    # between the hard clips at the ends, a soft clip is the first or the last run
+    unclipped = F.regexp_replace(ops, "^H|H$", "")
     return [
-        _e(mapped & ~non_empty, "INVALID_CIGAR", "mapped read without CIGAR elements"),
-        _e(checked & ops.rlike("^.+H.+$"), "INVALID_CIGAR", "hard clip inside CIGAR"),
-        _e(checked & bad_soft, "INVALID_CIGAR", "soft clip not at an end or inside hard clips"),
-        _e(checked & ops.rlike("I[^MX=NP]*I"), "INVALID_CIGAR", "two I without M or N between"),
-        _e(checked & ops.rlike("D[^MX=NP]*D"), "INVALID_CIGAR", "two D without M or N between"),
-        _e(checked & ops.rlike(".P$"), "INVALID_CIGAR", "padding at end of CIGAR"),
+        _e(mapped & ~non_empty, "INVALID_CIGAR", "mapped, yet no CIGAR"),
+        _e(checked & ops.rlike("^.+H.+$"), "INVALID_CIGAR", "H between other runs"),
+        _e(checked & unclipped.rlike(".S."), "INVALID_CIGAR", "S between other runs"),
+        _e(checked & ops.rlike("I[^MX=NP]*I"), "INVALID_CIGAR", "insertions not kept apart by an aligned run"),
+        _e(checked & ops.rlike("D[^MX=NP]*D"), "INVALID_CIGAR", "deletions not kept apart by an aligned run"),
+        _e(checked & ops.rlike(".P$"), "INVALID_CIGAR", "P closes the CIGAR"),
         _e(checked & (ops.rlike(f"[^{real}]P") | ops.rlike(f".P[^{real}]")), "INVALID_CIGAR",
-           "padding not between real operators"),
-        _e(checked & ~ops.rlike(f"[{real}]"), "INVALID_CIGAR", "no real operator in CIGAR"),
+           "P next to a clip"),
+        _e(checked & ~ops.rlike(f"[{real}]"), "INVALID_CIGAR", "only clips and padding"),
     ]
 
 
@@ -139,16 +136,23 @@ def off_reference_rules() -> list[Column]:
     upto_last = F.regexp_extract("cigar", r"^(.*[M=X])", 1)
     past = (F.length(upto_last) > 0) & (F.col("pos") + cg.ref_length(upto_last) - 1 > F.col("ref_length"))
     return [_e(~fl.has("flag", fl.UNMAPPED) & (F.col("ref_index") != -1) & F.col("ref_length").isNotNull() & past,
-               "CIGAR_MAPS_OFF_REFERENCE", "aligned block past reference end")]
+               "CIGAR_MAPS_OFF_REFERENCE", "aligned bases beyond the contig")]
 
 
-def sequence_rules() -> list[Column]:
+#: Tags of colour-space reads, which may come without bases.
+COLOUR_TAGS = ("FZ", "CS", "CQ")
+
+
+def sequence_rules(tags: str | None = None) -> list[Column]:
+    """Bases against qualities. With ``tags`` (name of a tag map column) a read without bases
+    is in order if it has a colour-space tag."""
+    colour = F.lit(False) if tags is None else F.coalesce(F.exists(F.map_keys(tags), lambda k: k.isin(*COLOUR_TAGS)), F.lit(False))
     seq_len = F.when(F.col("seq") == "*", F.lit(0)).otherwise(F.length("seq"))
     qual_len = F.when(F.col("qual") == "*", F.lit(0)).otherwise(F.length("qual"))
     return [
-        _e((seq_len == 0) & ~fl.has("flag", fl.SECONDARY), "EMPTY_READ", "zero-length read without FZ, CS or CQ"),
+        _e((seq_len == 0) & ~fl.has("flag", fl.SECONDARY) & ~colour, "EMPTY_READ", "no bases and no colour-space tag"),
         _e((seq_len != qual_len) & (F.col("qual") != "*"), "MISMATCH_READ_LENGTH_AND_QUALS_LENGTH",
-           "read length does not match quals length"),
+           "bases and qualities differ in number"),
     ]
 
 
@@ -167,25 +171,25 @@ def line_rules() -> list[Column]:
     ok = n >= 11
     mate_set = mrnm != "*"
     return [
-        _e(n < 11, "MISSING_FIELD", "fewer than 11 fields"),
-        _e(F.exists(f, lambda x: F.length(x) == 0), "EMPTY_FIELD", "empty field"),
-        _e(ok & flag.isNull(), "INVALID_FLAG", "FLAG is not an integer"),
-        _e(ok & (rname == "*") & mapped, "MISSING_RNAME", "RNAME not set but flags say mapped"),
-        _e(ok & (rname != "*") & (pos == 0), "INVALID_ALIGNMENT_START", "POS must be non-zero with RNAME"),
-        _e(ok & (rname != "*") & mapped & (cigar == "*"), "INVALID_CIGAR", "CIGAR must not be * with RNAME"),
-        _e(ok & (rname == "*") & (pos != 0), "INVALID_ALIGNMENT_START", "POS must be zero without RNAME"),
-        _e(ok & (rname == "*") & (mapq != 0), "INVALID_MAPPING_QUALITY", "MAPQ must be zero without RNAME"),
-        _e(ok & (rname == "*") & (cigar != "*"), "INVALID_CIGAR", "CIGAR must be * without RNAME"),
-        _e(ok & ~mate_set & paired & ~mate_unmapped, "MISSING_MRNM", "MRNM not set but mate mapped"),
-        _e(ok & mate_set & ~paired, "INVALID_MATE_REF_INDEX", "MRNM set on unpaired read"),
-        _e(ok & (mrnm == "=") & (rname == "*"), "INVALID_MATE_REF_INDEX", "MRNM = but RNAME not set"),
-        _e(ok & mate_set & (mpos == 0), "INVALID_MATE_ALIGNMENT_START", "MPOS must be non-zero with MRNM"),
-        _e(ok & ~mate_set & (mpos != 0), "INVALID_MATE_ALIGNMENT_START", "MPOS must be zero without MRNM"),
-        _e(ok & ~mate_set & (isize != 0), "INVALID_INSERT_SIZE", "ISIZE must be zero without MRNM"),
-        _e(ok & (seq != "*") & ~seq.rlike(VALID_BASES_REGEX), "INVALID_READ_BASES", "invalid character in bases"),
-        _e(ok & (qual != "*") & (seq == "*"), "QUAL_WITHOUT_SEQ", "QUAL given without SEQ"),
+        _e(n < 11, "MISSING_FIELD", "the 11 fixed columns are not complete"),
+        _e(F.exists(f, lambda x: F.length(x) == 0), "EMPTY_FIELD", "a column is empty"),
+        _e(ok & flag.isNull(), "INVALID_FLAG", "column FLAG holds no number"),
+        _e(ok & (rname == "*") & mapped, "MISSING_RNAME", "mapped, column RNAME is *"),
+        _e(ok & (rname != "*") & (pos == 0), "INVALID_ALIGNMENT_START", "RNAME given, POS is 0"),
+        _e(ok & (rname != "*") & mapped & (cigar == "*"), "INVALID_CIGAR", "mapped to RNAME, CIGAR is *"),
+        _e(ok & (rname == "*") & (pos != 0), "INVALID_ALIGNMENT_START", "RNAME is *, POS given"),
+        _e(ok & (rname == "*") & (mapq != 0), "INVALID_MAPPING_QUALITY", "RNAME is *, MAPQ given"),
+        _e(ok & (rname == "*") & (cigar != "*"), "INVALID_CIGAR", "RNAME is *, CIGAR given"),
+        _e(ok & ~mate_set & paired & ~mate_unmapped, "MISSING_MRNM", "mate mapped, column RNEXT is *"),
+        _e(ok & mate_set & ~paired, "INVALID_MATE_REF_INDEX", "RNEXT given, read unpaired"),
+        _e(ok & (mrnm == "=") & (rname == "*"), "INVALID_MATE_REF_INDEX", "RNEXT copies an absent RNAME"),
+        _e(ok & mate_set & (mpos == 0), "INVALID_MATE_ALIGNMENT_START", "RNEXT given, PNEXT is 0"),
+        _e(ok & ~mate_set & (mpos != 0), "INVALID_MATE_ALIGNMENT_START", "RNEXT is *, PNEXT given"),
+        _e(ok & ~mate_set & (isize != 0), "INVALID_INSERT_SIZE", "RNEXT is *, TLEN given"),
+        _e(ok & (seq != "*") & ~seq.rlike(VALID_BASES_REGEX), "INVALID_READ_BASES", "SEQ holds other characters than base codes"),
+        _e(ok & (qual != "*") & (seq == "*"), "QUAL_WITHOUT_SEQ", "SEQ is *, QUAL given"),
         _e(ok & (qual != "*") & (seq != "*") & (F.length(qual) != F.length(seq)),
-           "MISMATCH_READ_LENGTH_AND_QUALS_LENGTH", "length(QUAL) != length(SEQ)"),
+           "MISMATCH_READ_LENGTH_AND_QUALS_LENGTH", "SEQ and QUAL differ in length"),
     ]
 
 
@@ -205,7 +209,7 @@ def validate_read_groups(reads: DataFrame, read_groups: DataFrame, rg_col: str =
     ids = F.broadcast(read_groups.select(F.col("id").alias(rg_col)))
     bad = reads.filter(F.col(rg_col).isNotNull()).join(ids, rg_col, "left_anti")
     return bad.select("qname", F.lit("READ_GROUP_NOT_FOUND").alias("type"), F.lit("ERROR").alias("severity"),
-                      F.concat(F.lit("RG not in header: "), F.col(rg_col)).alias("message"))
+                      F.concat(F.lit("read group absent from the header: "), F.col(rg_col)).alias("message"))
 
 
 def validate_mates(reads: DataFrame) -> DataFrame:
@@ -227,16 +231,16 @@ def validate_mates(reads: DataFrame) -> DataFrame:
     me, mate = F.col("a_r"), F.col("b_r")
     found = F.col("b_qname").isNotNull()
     rules = [
-        _e(~found & (F.col("a_n") == 1), "MATE_NOT_FOUND", "mate not found"),
-        _e(F.col("a_n") > 1, "MATES_ARE_SAME_END", "more than one record for this end"),
+        _e(~found & (F.col("a_n") == 1), "MATE_NOT_FOUND", "no record of the other end"),
+        _e(F.col("a_n") > 1, "MATES_ARE_SAME_END", "several records of one end"),
         _e(found & (fl.has(me["flag"], fl.MATE_UNMAPPED) != fl.has(mate["flag"], fl.UNMAPPED)),
-           "MISMATCH_FLAG_MATE_UNMAPPED", "mate unmapped flag disagrees with mate"),
+           "MISMATCH_FLAG_MATE_UNMAPPED", "bit 0x8 differs from bit 0x4 of the other end"),
         _e(found & (fl.has(me["flag"], fl.MATE_REVERSE) != fl.has(mate["flag"], fl.REVERSE)),
-           "MISMATCH_FLAG_MATE_NEG_STRAND", "mate strand flag disagrees with mate"),
+           "MISMATCH_FLAG_MATE_NEG_STRAND", "bit 0x20 differs from bit 0x10 of the other end"),
         _e(found & (me["mate_ref_index"] != mate["ref_index"]), "MISMATCH_MATE_REF_INDEX",
-           "mate reference disagrees with mate"),
+           "mate contig differs from that of the other end"),
         _e(found & (me["mate_pos"] != mate["pos"]), "MISMATCH_MATE_ALIGNMENT_START",
-           "mate start disagrees with mate"),
+           "mate position differs from that of the other end"),
     ]
     return explode_errors(j, rules)
 
@@ -269,8 +273,18 @@ def summary_counts(reads: DataFrame, rules: list[Rule] | None = None) -> DataFra
 
 # --- stringency ------------------------------------------------------------------------
 
-def apply_stringency(reads: DataFrame, errors: DataFrame, mode: str):
-    """STRICT: fail the job on the first error (``raise_error`` inside the plan);
+def assert_valid(reads: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``reads`` with every record checked as it passes: the action that first reads a record
+    breaking a rule of severity ERROR fails and names it. A filter, so no later column
+    pruning takes the check away, and nothing runs before that action."""
+    broken = F.array_compact(F.array(*[r.column() for r in rules if r.type not in WARNING_TYPES]))
+    said = F.concat(F.lit("SAM validation error: "), F.try_element_at(broken, F.lit(1))["type"], F.lit(" on "), F.coalesce("qname", F.lit("?")))
+    return reads.filter(F.when(F.size(broken) > 0, F.raise_error(said).cast("boolean")).otherwise(F.lit(True)))
+
+
+def apply_stringency(reads: DataFrame, errors: DataFrame, mode: str, rules: list[Rule] | None = None):
+    """STRICT: the returned reads fail at the first bad record that an action reads
+    (``rules``: those that ``errors`` was made with, all record rules by default);
     LENIENT: keep every record, return the errors as a side table;
     SILENT: keep every record, no report. Returns (reads, errors or None)."""
     mode = mode.upper()
@@ -279,10 +293,5 @@ def apply_stringency(reads: DataFrame, errors: DataFrame, mode: str):
     if mode == "LENIENT":
         return reads, errors
     if mode == "STRICT":
-        failing = errors.filter(F.col("severity") == "ERROR").select(
-            F.raise_error(F.concat(F.lit("SAM validation error: "), F.col("type"), F.lit(" on "),
-                                   F.col("qname"))).alias("_x"))
-        failing.limit(1).collect()  # runs the check; raises when any error exists
-        return reads, errors
+        return assert_valid(reads, record_rules() if rules is None else rules), errors
     raise ValueError(f"unknown stringency {mode}")
-

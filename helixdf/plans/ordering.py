@@ -129,6 +129,17 @@ def q_check_sort_order(spark, sf_dir):
     return bad.select("line_no", "qname", "prev_qname")
 
 
+@query("check_sort_order_queryname", W("reads") + """
+, l as (select qname, row_number() over (order by case when ref_index = -1 then 2147483647 else ref_index end,
+               case when ref_index = -1 then 0 else pos end, qname, flag) - 1 as line_no from reads)
+select b.line_no, b.qname, a.qname as prev_qname from l a join l b on b.line_no = a.line_no + 1 where b.qname < a.qname""")
+def q_check_sort_order_queryname(spark, sf_dir):
+    """A position-ordered file checked against name order."""
+    lines = order.global_rank(_reads(spark, sf_dir), [*_coord_keys()[:2], "qname", "flag"], rank_col="line_no")
+    bad = order.check_sort_order(lines, [F.col("qname")])
+    return bad.select("line_no", "qname", "prev_qname")
+
+
 # --- index statistics ---------------------------------------------------------------
 
 @query("index_stats", W("reads", "contigs") + """

@@ -226,14 +226,17 @@ def q_interval_math(spark, sf_dir):
 @query("synthesize_cigar", W("reads") + """
 , a as (select qname, cast(pos % 40 - 5 as integer) as s, 32 as rl, cast(20 + mapq % 30 as integer) as gl,
                cast(1 + mapq % 10 as integer) as ip, cast(mapq % 5 - 2 as integer) as il from reads where (flag & 4) = 0),
-c as (select *, case when s < 1 then 1 - s else 0 end as lc, case when s + rl > gl + 1 then s + rl - gl - 1 else 0 end as rc,
-             case when s + rl - il > gl + 1 then s + rl - il - gl - 1 else 0 end as rc2 from a)
+b as (select *, range(s, s + rl) as spot, range(s, s + ip) as spot1, range(s + ip + greatest(-il, 0), s + rl - il) as spot2 from a),
+c as (select *, len(list_filter(spot, lambda x: x < 1)) as lo, len(list_filter(spot, lambda x: x between 1 and gl)) as mid, len(list_filter(spot, lambda x: x > gl)) as hi,
+             len(list_filter(spot1, lambda x: x < 1)) as lo1, len(list_filter(spot1, lambda x: x between 1 and gl)) as mid1,
+             len(list_filter(spot2, lambda x: x between 1 and gl)) as mid2, len(list_filter(spot2, lambda x: x > gl)) as hi2 from b)
 select qname, s as align_start, gl as ref_length, ip as indel_pos, il as indel_len,
- case when rl - lc - rc >= 1 then concat(case when lc > 0 then concat(lc, 'S') else '' end, rl - lc - rc, 'M',
-      case when rc > 0 then concat(rc, 'S') else '' end) end as cigar,
- case when il <> 0 and lc < ip and rl - ip - greatest(il, 0) - rc2 >= 1 then
-   concat(case when lc > 0 then concat(lc, 'S') else '' end, ip - lc, 'M', abs(il), case when il > 0 then 'I' else 'D' end,
-          rl - ip - greatest(il, 0) - rc2, 'M', case when rc2 > 0 then concat(rc2, 'S') else '' end) end as cigar_indel
+ case when mid > 0 then concat(case when lo > 0 then lo || 'S' else '' end, mid, 'M', case when hi > 0 then hi || 'S' else '' end) end as cigar,
+ case when mid <= 0 then 'off_contig' end as reason,
+ case when il <> 0 and mid1 > 0 and mid2 > 0 then concat(case when lo1 > 0 then lo1 || 'S' else '' end, mid1, 'M',
+   abs(il), case when il > 0 then 'I' else 'D' end, mid2, 'M', case when hi2 > 0 then hi2 || 'S' else '' end) end as cigar_indel,
+ case when il = 0 then null when mid1 <= 0 and mid2 <= 0 then 'off_contig' when mid1 <= 0 then 'no_base_before_indel'
+      when mid2 <= 0 then 'no_base_after_indel' end as reason_indel
 from c""")
 def q_synthesize_cigar(spark, sf_dir):
     r = _mapped(spark, sf_dir).select(
@@ -243,8 +246,11 @@ def q_synthesize_cigar(spark, sf_dir):
         (F.col("mapq") % 5 - 2).cast("int").alias("indel_len"))
     return r.select("qname", "align_start", "ref_length", "indel_pos", "indel_len",
                     rec.clipped_cigar("align_start", F.lit(32), "ref_length").alias("cigar"),
+                    rec.clip_reason("align_start", F.lit(32), "ref_length").alias("reason"),
                     F.when(F.col("indel_len") != 0, rec.clipped_indel_cigar(
-                        "align_start", F.lit(32), "ref_length", "indel_pos", "indel_len")).alias("cigar_indel"))
+                        "align_start", F.lit(32), "ref_length", "indel_pos", "indel_len")).alias("cigar_indel"),
+                    F.when(F.col("indel_len") != 0, rec.clip_reason(
+                        "align_start", F.lit(32), "ref_length", "indel_pos", "indel_len")).alias("reason_indel"))
 
 
 _QS = "list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)"

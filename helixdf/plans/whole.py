@@ -70,7 +70,7 @@ def q_write_reads_columnar_all(spark, sf_dir):
 , past as (select distinct b.rid, b.qname from blk b join rr r on r.rid = b.rid
            where r.ref_index <> -1 and r.ref_length is not null and b.ref_start + b.length - 1 > r.ref_length),
 errs as (""" + validation._rules_sql(validation._ALL_RULES, "v") + """
- union all select qname, 'CIGAR_MAPS_OFF_REFERENCE', 'ERROR', 'aligned block past reference end' from past)
+ union all select qname, 'CIGAR_MAPS_OFF_REFERENCE', 'ERROR', 'aligned bases beyond the contig' from past)
 select 'LENIENT' as mode, (select count(*) from vreads) as n_records, (select count(*) from errs) as n_reported
 union all select 'SILENT' as mode, (select count(*) from vreads) as n_records, cast(0 as bigint) as n_reported""")
 def q_stringency_mode_all(spark, sf_dir):

@@ -11,7 +11,7 @@ from helixdf.functions import bases as bs
 from helixdf.functions import cigar as cg
 from helixdf.functions import coords as co
 from helixdf.functions import flags as fl
-from helixdf.operators import intervals, islands, order, preprocess, stats
+from helixdf.operators import intervals, islands, order, preprocess, records, stats
 from helixdf.operators import validate as va
 from helixdf.sources import header as hd
 
@@ -301,7 +301,8 @@ def test_strict_stringency_raises(spark):
     df = spark.createDataFrame([("r", 4 | 256, -1)], "qname string, flag int, mate_ref_index int")
     errs = va.explode_errors(df, va.flag_rules())
     with pytest.raises(Exception):
-        va.apply_stringency(df, errs, "STRICT")
+        strict, _ = va.apply_stringency(df, errs, "STRICT", va.flag_rules())  # nothing runs yet
+        strict.select("pos").count()
     kept, rep = va.apply_stringency(df, errs, "LENIENT")
     assert kept.count() == 1 and rep.count() == 1
 
@@ -355,3 +356,43 @@ def test_bin_geometry_levels(spark):
         assert f == (b - first[lvl]) * size[lvl] + 1 and e == f + size[lvl] - 1
     assert [r[0] for r in spark.createDataFrame([(249250621,)], "n long")
             .select(co.max_bin_for_length("n")).collect()] == [4681 + (249250621 >> 14)]
+
+
+def test_strict_names_the_bad_record_and_lets_good_ones_pass(spark):
+    rules = va.flag_rules()
+    df = spark.createDataFrame([("good", 0, -1), ("bad", 2, -1), ("fine", 16, -1)], "qname string, flag int, mate_ref_index int")
+    assert va.assert_valid(df.filter("qname <> 'bad'"), rules).count() == 2
+    with pytest.raises(Exception, match="INVALID_FLAG_PROPER_PAIR on bad"):
+        va.assert_valid(df, rules).select("flag").collect()
+
+
+def test_soft_clips_lie_inside_hard_clips_only(spark):
+    ops = ["5S5M", "5M5S", "5H5S5M5S5H", "5M5S5M", "5S5S5M", "5H5M5S5M", "5M5S5H", "5H5H5S5M"]
+    df = spark.createDataFrame([(c, 0, c) for c in ops], "qname string, flag int, cigar string")
+    bad = va.explode_errors(df, va.cigar_rules()).filter("message = 'S between other runs'")
+    assert sorted(r.qname for r in bad.collect()) == sorted(["5M5S5M", "5S5S5M", "5H5M5S5M", "5H5H5S5M"])
+
+
+def test_colour_space_reads_may_be_empty(spark):
+    df = spark.sql("select * from values ('a', 0, '*', '*', map('CS', 'x')), ('b', 0, '*', '*', map('NM', 'x')), ('c', 0, '*', '*', null) t(qname, flag, seq, qual, tags)")
+    assert sorted(r.qname for r in va.explode_errors(df, va.sequence_rules("tags")).collect()) == ["b", "c"]
+
+
+@pytest.mark.parametrize("lines", [1 << 16, 3, 1])
+def test_sort_order_across_ranges_and_gaps(spark, lines):
+    from helixdf.operators import order
+    keys = [5, 6, 6, 2, 9, 1, 1, 4, 3]
+    rows = [(10 * i, k, f"q{i}") for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "line_no long, k int, qname string").repartition(3)
+    got = sorted((r.line_no, r.prev_qname) for r in order.check_sort_order(df, ["k"], lines=lines).collect())
+    assert got == [(10 * i, f"q{i - 1}") for i in range(1, len(keys)) if keys[i] < keys[i - 1]]
+    assert order.check_sort_order(df.limit(0), ["k"], lines=lines).count() == 0
+
+
+def test_clipped_cigars_and_reasons(spark):
+    df = spark.sql("select * from values (-3, 10, 50, 6, 2), (45, 10, 50, 3, -2), (60, 10, 50, 2, 1), (-20, 10, 50, 2, 1), (1, 10, 50, 10, 1), (-8, 12, 50, 4, -1) t(s, n, len, at, by)")
+    out = df.select(records.clipped_cigar("s", "n", "len"), records.clip_reason("s", "n", "len"),
+                    records.clipped_indel_cigar("s", "n", "len", "at", "by"), records.clip_reason("s", "n", "len", "at", "by")).collect()
+    assert [tuple(r) for r in out] == [
+        ("4S6M", None, "4S2M2I2M", None), ("6M4S", None, "3M2D1M6S", None), (None, "off_contig", None, "off_contig"),
+        (None, "off_contig", None, "off_contig"), ("10M", None, None, "no_base_after_indel"), ("9S3M", None, None, "no_base_before_indel")]
