@@ -117,6 +117,34 @@ VPAIRS_SQL = """select qname, flag, ref_index, pos, ref_index as mate_ref_index,
  from orders cross join (select 1 as e union all select 2 as e) x) y
 where not (e = 2 and o_orderkey % 37 = 0)"""
 
+# SAM lines with broken numbers, unknown contigs and broken (or odd, yet right) tags, chosen by the line's md5.
+_H = "substr(md5(value), 1, 2)"
+_FIELD = {i: f"split_part(value, chr(9), {i})" for i in range(1, 14)}
+TLINES_SQL = f"""select concat_ws(chr(9), {_FIELD[1]}, case {_H} when '00' then 'x1' else {_FIELD[2]} end,
+ case {_H} when '06' then 'chrNope' when '07' then '=' when '0a' then concat({_FIELD[3]}, ' alt') else {_FIELD[3]} end,
+ case {_H} when '01' then '12.5' when '03' then '99999999999' else {_FIELD[4]} end,
+ case {_H} when '02' then ' 7' else {_FIELD[5]} end, {_FIELD[6]},
+ case {_H} when '08' then 'chrNope' when '09' then '=' else {_FIELD[7]} end,
+ case {_H} when '04' then '1e3' else {_FIELD[8]} end, case {_H} when '05' then '--1' else {_FIELD[9]} end,
+ {_FIELD[10]}, {_FIELD[11]}, {_FIELD[12]},
+ case {_H} when '10' then 'NM:i' when '11' then 'NM:i:x' when '12' then 'NM:i:3000000000' when '13' then 'XA:A:ab' when '14' then 'XF:f:1.5.2'
+  when '15' then 'XF:f:-1e5' when '16' then 'XH:H:1AG' when '17' then 'XH:H:1A2' when '18' then 'XH:H:1a2B' when '19' then 'XB:B:c'
+  when '1a' then 'XB:B:c,1,200' when '1b' then 'XB:B:q,1' when '1c' then 'XB:B:f,1,x' when '1d' then 'XB:B:I,4294967295' when '1e' then 'XQ:q:1'
+  when '1f' then 'XZ:Z:a:b' when '20' then 'XB:B:s,' when '21' then 'XB:B:C,1,-1' when '22' then 'XA:A:' when '23' then 'NM:i: 1'
+  else {_FIELD[13]} end) as value from sam_lines"""
+
+# Pairs, each name with one case of the mate search: a missing mate, a second mate at its place, an
+# unpaired record there, an unclear end, an unpaired read alone, mates without a contig.
+MPAIRS_SQL = """select concat('p', cast(o_orderkey as varchar(20))) as qname,
+ cast(case when o_orderkey % 13 = 4 and e = 1 then 1 when o_orderkey % 13 = 5 and e = 2 then 193 when o_orderkey % 13 = 6 and e = 2 then 16
+  when o_orderkey % 13 = 7 then 16 when e = 1 then 99 when e = 2 then 147 when o_orderkey % 13 = 2 then 163 else 0 end as int) as flag,
+ cast(case when o_orderkey % 13 = 8 then -1 else 1 + o_custkey % 24 end as int) as ref_index,
+ cast(1 + o_custkey*61 + (case e when 1 then 0 else 150 end) as int) as pos,
+ cast(case when o_orderkey % 13 = 8 then -1 else 1 + o_custkey % 24 end as int) as mate_ref_index,
+ cast(case when o_orderkey % 13 = 8 then 0 else 1 + o_custkey*61 + (case e when 1 then 150 else 0 end) end as int) as mate_pos
+from orders cross join (select 1 as e union all select 2 as e union all select 3 as e) x
+where not (e = 2 and o_orderkey % 13 = 1) and (e < 3 or o_orderkey % 13 in (2, 3))"""
+
 # name -> (sql, dependencies on other fixtures)
 FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "contigs": (CONTIGS_SQL, ()),
@@ -131,6 +159,8 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "vreads": (VREADS_SQL, ("reads", "contigs")),
     "vlines": (VLINES_SQL, ("sam_lines",)),
     "vpairs": (VPAIRS_SQL, ()),
+    "tlines": (TLINES_SQL, ("sam_lines",)),
+    "mpairs": (MPAIRS_SQL, ()),
 }
 
 

@@ -52,6 +52,16 @@ def fix_illumina_quals(quals) -> Column:
     return F.transform(_c(quals), lambda x: x - ILLUMINA_TO_PHRED)
 
 
+def quality_errors(reads):
+    """Reads of which a quality falls under 0 when shifted from Illumina-1.3 to Phred: qname,
+    ``at`` (1-based place of the first such quality) and ``value`` (what it becomes). Reads
+    with null or absent qualities have none."""
+    low = F.transform(fix_illumina_quals(phred_decode("qual")), lambda x: F.when(x < 0, x))
+    at = F.array_position(F.transform(low, lambda x: x.isNotNull()), True).cast("int")
+    return reads.select("qname", at.alias("at"), low.alias("_low")).filter(F.col("at") > 0).select(
+        "qname", "at", F.get("_low", F.col("at") - 1).alias("value"))
+
+
 def normalize_bases(seq) -> Column:
     return F.translate(F.upper(_c(seq)), ".", "N")
 

@@ -33,24 +33,42 @@ def split_tag(text) -> Column:
                     (F.size(parts) == 3).alias("three_fields"))
 
 
+#: Texts that hold a number and nothing else (a cast alone lets blanks pass).
+INTEGER_TEXT = r"^[+-]?[0-9]+$"
+FLOAT_TEXT = r"^[+-]?(NaN|Infinity|([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"
+
+
+def whole_number(text, type_: str = "int") -> Column:
+    """The integer that ``text`` is, NULL if it is anything else or does not fit."""
+    v = _c(text)
+    return F.when(v.rlike(INTEGER_TEXT), v.try_cast(type_))
+
+
 def tag_error(type_, value) -> Column:
     """Reason a (type, value) pair is malformed, or NULL."""
     t, v = _c(type_), _c(value)
     return (F.when(t == "A", F.when(F.length(v) != 1, F.lit("A needs one character")))
-            .when(t == "i", F.when(v.try_cast("int").isNull(), F.lit("i needs a signed 32-bit integer")))
-            .when(t == "f", F.when(v.try_cast("float").isNull(), F.lit("f needs a float")))
+            .when(t == "i", F.when(whole_number(v).isNull(), F.lit("i needs a signed 32-bit integer")))
+            .when(t == "f", F.when(~v.rlike(FLOAT_TEXT), F.lit("f needs a float")))
             .when(t == "Z", F.lit(None).cast("string"))
             .when(t == "H", F.when(~v.rlike("^([0-9A-Fa-f]{2})*$"), F.lit("H needs an even hex string")))
             .when(t == "B", array_error(v))
             .otherwise(F.lit("unrecognized tag type")))
 
 
+def _elements(value: Column) -> Column:
+    return F.split(F.regexp_replace(F.get(F.split(value, ",", 2), F.lit(1)), ",+$", ""), ",")
+
+
 def array_error(value) -> Column:
+    """Reason a ``B`` value (element type, comma, elements) is malformed, or NULL. Commas
+    at its end add no element."""
     v = _c(value)
-    kind = F.split(v, ",", 2)[0]
-    elems = F.split(F.split(v, ",", 2)[1], ",")
-    bad_shape = (F.size(F.split(v, ",", 2)) != 2) | (F.length(kind) != 1)
-    floats_bad = F.exists(elems, lambda x: x.try_cast("float").isNull())
+    parts = F.split(v, ",", 2)
+    kind = F.get(parts, F.lit(0))
+    elems = _elements(v)
+    bad_shape = (F.size(parts) != 2) | (F.length(kind) != 1)
+    floats_bad = F.exists(elems, lambda x: ~x.rlike(FLOAT_TEXT))
     checks = F.when(bad_shape, F.lit("B needs element type and comma"))
     checks = checks.when(kind == "f", F.when(floats_bad, F.lit("B:f needs floats")))
     for k, (lo, hi) in ARRAY_RANGES.items():
@@ -62,7 +80,7 @@ def array_error(value) -> Column:
 
 def _out_of_range(lo: int, hi: int):
     def pred(x):
-        v = x.try_cast("long")
+        v = whole_number(x, "long")
         return v.isNull() | (v < lo) | (v > hi)
     return pred
 
@@ -125,13 +143,13 @@ def tag_int_array(tags, name: str) -> Column:
     """``B`` integer array -> ``ARRAY<BIGINT>`` (NULL if any element is out of range)."""
     e = F.element_at(_c(tags), F.lit(name))
     ok = (e["type"] == "B") & array_error(e["value"]).isNull() & ~F.split(e["value"], ",", 2)[0].isin("f")
-    return F.when(ok, F.transform(F.split(F.split(e["value"], ",", 2)[1], ","), lambda x: x.cast("long")))
+    return F.when(ok, F.transform(_elements(e["value"]), lambda x: x.cast("long")))
 
 
 def tag_float_array(tags, name: str) -> Column:
     e = F.element_at(_c(tags), F.lit(name))
     ok = (e["type"] == "B") & (F.split(e["value"], ",", 2)[0] == "f") & array_error(e["value"]).isNull()
-    return F.when(ok, F.transform(F.split(F.split(e["value"], ",", 2)[1], ","), lambda x: x.cast("float")))
+    return F.when(ok, F.transform(_elements(e["value"]), lambda x: x.try_cast("float")))
 
 
 def set_tag(tags, name: str, type_: str, value) -> Column:
@@ -150,8 +168,21 @@ def clear_tags(tags, names: list[str] | None = None) -> Column:
     return F.map_filter(_c(tags), lambda k, _v: ~k.isin(*names))
 
 
+#: Integer types of the binary form; text has one type for all of them.
+INTEGER_TYPES = ("c", "C", "s", "S", "i", "I")
+
+
 def tags_to_text(tags) -> Column:
-    """Tag map -> tab-joined ``TG:T:VALUE`` fields in insertion order."""
-    entries = F.map_entries(_c(tags))
-    return F.array_join(F.transform(entries, lambda e: F.concat_ws(
-        ":", e["key"], e["value"]["type"], e["value"]["value"])), "\t")
+    """Tag map -> tab-joined ``TG:T:VALUE`` fields in insertion order.
+
+    Integers of any width are written with type ``i``; one that 32 bits cannot hold fails
+    the write and is named."""
+    def field(e):
+        type_, value = e["value"]["type"], e["value"]["value"]
+        integer = type_.isin(*INTEGER_TYPES)
+        too_big = integer & value.rlike(INTEGER_TEXT) & value.try_cast("int").isNull()
+        plain = F.concat_ws(":", e["key"], F.when(integer, F.lit("i")).otherwise(type_), value)
+        said = F.concat(F.lit("tag "), e["key"], F.lit(" does not fit a 32-bit integer: "), value)
+        return F.when(too_big, F.raise_error(said).cast("string")).otherwise(plain)
+
+    return F.array_join(F.transform(F.map_entries(_c(tags)), field), "\t")

@@ -73,23 +73,60 @@ def islands(intervals: DataFrame, gap: int = INTERVAL_OVERLAP, bucket_shift: int
                          F.col("n").cast("long").alias("n_reads"))
 
 
+#: Buckets of starts (16 kbp), and groups of 1,024 buckets.
+MERGE_SHIFT, MERGE_GROUP_SHIFT = 14, 10
+
+
+def _before(summary: DataFrame, key: str, value: str, how, out: str) -> DataFrame:
+    """``how`` (F.max or F.sum) of ``value`` over all earlier buckets ``_b`` of a key, in two
+    levels: earlier buckets of the bucket's group, and earlier groups. No window holds more
+    than a group's buckets or a key's groups."""
+    def earlier(*part, by):
+        return Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+
+    rows = summary.withColumn("_sb", F.shiftright("_b", MERGE_GROUP_SHIFT))
+    groups = (rows.groupBy(key, "_sb").agg(how(value).alias("_gv"))
+              .withColumn("_gbefore", how("_gv").over(earlier(key, by="_sb"))).select(key, "_sb", "_gbefore"))
+    inner = rows.withColumn("_ibefore", how(value).over(earlier(key, "_sb", by="_b")))
+    total = (F.greatest("_ibefore", "_gbefore") if how is F.max
+             else F.coalesce("_ibefore", F.lit(0)) + F.coalesce("_gbefore", F.lit(0)))
+    return inner.join(groups, [key, "_sb"]).select(key, "_b", total.alias(out))
+
+
 def merge_ranges(ranges: DataFrame, overlap: int, name_col: str = "ref_name") -> DataFrame:
     """Merge named 1-based ranges the way region files are written.
 
     The start of each merged range is widened by ``overlap`` (not below 1); a
     following range joins while ``start - overlap < current end`` (strict).
-    Names compare case-insensitively. Returns ``name, start, end`` (1-based).
+    Names compare case-insensitively; a merged range has the name of its first range
+    (of equal starts the least). Returns ``name, start, end`` (1-based).
+
+    Ranges are first reduced to one row per widened start (combined map-side). Windows hold
+    one 16 kbp bucket of starts; the largest end and the number of merged ranges before a
+    bucket come from bucket summaries joined in two levels (``_before``), so none holds a
+    whole contig. A range that ends at or before its widened start (possible when ``overlap``
+    is 0) takes in no follower, so copies of it stay apart. Ranges with a null name, start or
+    end are left out.
     """
-    key = F.lower(F.col(name_col))
-    df = ranges.select(key.alias("_name"), F.col(name_col).alias("_orig"),
-                       (F.col("start") - overlap).alias("_s"), F.col("end").alias("end"))
-    order = Window.partitionBy("_name").orderBy("_s", "end")
-    prev_end = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(prev_end.isNull() | (F.col("_s") >= prev_end), 1).otherwise(0)
-    grp = F.sum("_open").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (df.withColumn("_open", opens).withColumn("_g", grp)
-            .groupBy("_name", "_g")
-            .agg(F.min_by("_orig", "_s").alias("name"),
-                 F.greatest(F.min("_s"), F.lit(1)).alias("start"),
+    df = ranges.select(F.lower(F.col(name_col)).alias("_name"), F.col(name_col).alias("_orig"),
+                       (F.col("start") - overlap).alias("_s"), F.col("end").alias("end")).dropna()
+    closed = F.when(F.col("end") <= F.col("_s"), F.col("end"))
+    pre = (df.groupBy("_name", "_s", closed.alias("_closed"))
+           .agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("_n"), F.min("_orig").alias("_orig"))
+           .withColumn("_b", F.shiftright("_s", MERGE_SHIFT)))
+    bounds = _before(pre.groupBy("_name", "_b").agg(F.max("end").alias("_bmax")), "_name", "_bmax", F.max, "_prev")
+    local = Window.partitionBy("_name", "_b").orderBy("_s", "end")
+    reach = F.greatest(F.col("_prev"), F.max("end").over(local.rowsBetween(Window.unboundedPreceding, -1)))
+    opened = (pre.join(bounds, ["_name", "_b"]).withColumn("_reach", reach)
+              .withColumn("_open", F.when(F.col("_reach").isNull() | (F.col("_s") >= F.col("_reach")), 1).otherwise(0)))
+    starts = _before(opened.groupBy("_name", "_b").agg(F.sum("_open").alias("_c")), "_name", "_c", F.sum, "_base")
+    number = F.col("_base") + F.sum("_open").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = opened.join(starts, ["_name", "_b"]).withColumn("_g", number)
+    alone = (F.col("_open") == 1) & F.col("_closed").isNotNull()
+    first = F.greatest(F.col("_s"), F.lit(1))
+    copies = (numbered.filter(alone).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+              .select(F.col("_orig").alias("name"), first.alias("start"), "end"))
+    return (numbered.filter(~alone).groupBy("_name", "_g")
+            .agg(F.min_by("_orig", F.struct("_s", "_orig")).alias("name"), F.greatest(F.min("_s"), F.lit(1)).alias("start"),
                  F.max("end").alias("end"))
-            .drop("_name", "_g"))
+            .drop("_name", "_g").unionByName(copies))

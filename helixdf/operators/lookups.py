@@ -73,6 +73,39 @@ def query_mate(reads: DataFrame) -> DataFrame:
     return counts
 
 
+def mate_report(reads: DataFrame) -> DataFrame:
+    """Each record with the mate that its name, end and mate place lead to, or why there is none.
+
+    Returns qname, flag, ref_index, pos, mate_ref_index, mate_pos, mate_flag
+    (of a mate found) and ``outcome``, one row per record:
+
+    * ``UNPAIRED``, ``END_UNCLEAR``: the record has no mate to look for (bit 0x1 is off, or it
+      is marked as both ends or none);
+    * ``PAIRED_AND_UNPAIRED``: an unpaired record of that name lies at the mate's place;
+    * ``SEVERAL_MATES``, ``MATE``, ``NO_MATE``: by the number of paired records of that name
+      there that are not the record's own end.
+
+    A mate without a contig is looked for among all records without one. One summary row per
+    (name, place) holds the counts of unpaired records and of both ends, combined map-side,
+    and mates and errors are read from it alike: a name with many records joins one row.
+    """
+    first, second = fl.has("flag", fl.FIRST_OF_PAIR), fl.has("flag", fl.SECOND_OF_PAIR)
+    paired = fl.has("flag", fl.PAIRED)
+    place = lambda ref, pos: F.when(ref != -1, pos).otherwise(F.lit(0))
+    states = (reads.groupBy(F.col("qname").alias("_q"), F.col("ref_index").alias("_r"), place(F.col("ref_index"), F.col("pos")).alias("_p"))
+              .agg(F.count_if(~paired).alias("_unpaired"), F.count_if(paired & ~first).alias("_not1"), F.count_if(paired & ~second).alias("_not2"),
+                   F.min(F.when(paired & ~first, F.col("flag"))).alias("_flag1"), F.min(F.when(paired & ~second, F.col("flag"))).alias("_flag2")))
+    at = place(F.col("mate_ref_index"), F.col("mate_pos"))
+    j = reads.select("qname", "flag", "ref_index", "pos", "mate_ref_index", "mate_pos").join(
+        states, (F.col("qname") == F.col("_q")) & (F.col("mate_ref_index") == F.col("_r")) & (at == F.col("_p")), "left")
+    n = F.coalesce(F.when(first, F.col("_not1")).otherwise(F.col("_not2")), F.lit(0))
+    outcome = (F.when(~paired, "UNPAIRED").when(first == second, "END_UNCLEAR").when(F.col("_unpaired") > 0, "PAIRED_AND_UNPAIRED")
+               .when(n > 1, "SEVERAL_MATES").when(n == 1, "MATE").otherwise("NO_MATE"))
+    j = j.withColumn("outcome", outcome)
+    flag = F.when(F.col("outcome") == "MATE", F.when(first, F.col("_flag1")).otherwise(F.col("_flag2")))
+    return j.select("qname", "flag", "ref_index", "pos", "mate_ref_index", "mate_pos", flag.alias("mate_flag"), "outcome")
+
+
 def compare_dictionaries(a: DataFrame, b: DataFrame) -> DataFrame:
     """Per index: ``same``, or why two dictionaries differ (length, name/M5, missing).
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as cg
 from ..functions import flags as fl
+from ..functions import tags as tg
 from ..sources import header as hd
 
 # Validation error types reported as warnings, not errors.
@@ -23,6 +24,7 @@ WARNING_TYPES = ("INVALID_QUALITY_FORMAT", "PAIRED_READ_NOT_MARKED_AS_FIRST_OR_S
                  "E2_BASE_EQUALS_PRIMARY_BASE", "BAM_FILE_MISSING_TERMINATOR_BLOCK", "INVALID_DATE_STRING")
 # Largest |insert size|; bases accepted in SEQ (IUPAC, '.', '=').
 MAX_INSERT_SIZE = 1 << 29
+N_REQUIRED_FIELDS = 11
 VALID_BASES_REGEX = "^[acmgrsvtwyhkdbnACMGRSVTWYHKDBN.=]+$"
 
 
@@ -162,9 +164,9 @@ def line_rules() -> list[Column]:
     """Checks of one SAM text line; needs ``f`` (field array) and ``n_fields``."""
     f = F.col("f")
     n = F.size(f)
-    flag = f[1].try_cast("int")
-    rname, pos, mapq, cigar = f[2], f[3].try_cast("int"), f[4].try_cast("int"), f[5]
-    mrnm, mpos, isize, seq, qual = f[6], f[7].try_cast("int"), f[8].try_cast("int"), f[9], f[10]
+    text = [F.get(f, F.lit(i)) for i in range(11)]
+    flag, pos, mapq, mpos, isize = (tg.whole_number(text[i]) for i in (1, 3, 4, 7, 8))
+    rname, cigar, mrnm, seq, qual = (text[i] for i in (2, 5, 6, 9, 10))
     mapped = flag.bitwiseAND(fl.UNMAPPED) == 0
     paired = flag.bitwiseAND(fl.PAIRED) != 0
     mate_unmapped = flag.bitwiseAND(fl.MATE_UNMAPPED) != 0
@@ -199,6 +201,60 @@ def validate_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return explode_errors(body, line_rules())
 
 
+#: Columns that hold a number: place, name, error type.
+NUMBERS = ((1, "FLAG", "INVALID_FLAG"), (3, "POS", "INVALID_ALIGNMENT_START"), (4, "MAPQ", "INVALID_MAPPING_QUALITY"),
+           (7, "PNEXT", "INVALID_MATE_ALIGNMENT_START"), (8, "TLEN", "INVALID_INSERT_SIZE"))
+
+
+def grammar_rules(dictionary: bool) -> list[Rule]:
+    """Numbers and contig names of a line; needs ``f``, and with ``dictionary`` also
+    ``rname_known`` and ``rnext_known``."""
+    f = F.col("f")
+    ok = F.size(f) >= N_REQUIRED_FIELDS
+    rname, rnext = F.get(f, F.lit(2)), F.get(f, F.lit(6))
+    rules = [_e(ok & tg.whole_number(F.get(f, F.lit(i))).isNull(), kind, f"column {name} holds no number")
+             for i, name, kind in NUMBERS if name != "FLAG"]
+    rules.append(_e(ok & rname.startswith("="), "INVALID_REFERENCE_INDEX", "RNAME cannot be ="))
+    if dictionary:
+        rules += [_e(ok & (rname != "*") & ~F.col("rname_known"), "INVALID_REFERENCE_INDEX", "RNAME is not in the dictionary"),
+                  _e(ok & ~rnext.isin("*", "=") & ~F.col("rnext_known"), "INVALID_MATE_REF_INDEX", "RNEXT is not in the dictionary")]
+    return rules
+
+
+def tag_errors() -> Column:
+    """Array of (type, message), one for each malformed tag of a line (``f``)."""
+    def check(text):
+        t = tg.split_tag(text)
+        why = F.when(~t["three_fields"], F.lit("a tag has three parts")).otherwise(tg.tag_error(t["type"], t["value"]))
+        return F.when(why.isNotNull(), F.struct(F.lit("INVALID_TAG").alias("type"), F.concat(text, F.lit(": "), why).alias("message")))
+
+    f = F.col("f")
+    rest = F.slice(f, N_REQUIRED_FIELDS + 1, F.greatest(F.size(f) - N_REQUIRED_FIELDS, F.lit(0)))
+    return F.array_compact(F.transform(rest, check))
+
+
+def line_report(lines: DataFrame, contigs: DataFrame, col: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """Every error of SAM text lines: columns, numbers, contig names and the grammar of all tags.
+
+    Returns ``keep`` (columns of ``lines``), qname, type, severity, message, one row per error.
+    Header lines and null lines have none; without contigs names are not looked up. The
+    dictionary is header-bounded and broadcast; a line is read once for all rules."""
+    keep = keep or []
+    body = lines.filter(~F.col(col).startswith("@")).select(*keep, F.split(F.col(col), "\t").alias("f"))
+    body = body.withColumn("qname", F.get("f", F.lit(0)))
+    dictionary = not contigs.isEmpty()
+    if dictionary:
+        for place, out in ((2, "rname_known"), (6, "rnext_known")):
+            names = F.broadcast(contigs.select(F.col("ref_name").alias("_name"), F.lit(True).alias(out)).distinct())
+            # a name ends at its first blank
+            name = F.regexp_extract(F.get("f", F.lit(place)), r"^(\S*)", 1)
+            body = body.join(names, name == F.col("_name"), "left").drop("_name").withColumn(out, F.coalesce(out, F.lit(False)))
+    fixed = F.array_compact(F.array(*[r.column() for r in line_rules() + grammar_rules(dictionary)]))
+    out = body.select(*keep, "qname", F.explode(F.concat(fixed, tag_errors())).alias("_e"))
+    return out.select(*keep, "qname", F.col("_e.type").alias("type"), severity(F.col("_e.type")).alias("severity"),
+                      F.col("_e.message").alias("message"))
+
+
 def validate_header(header_lines: DataFrame) -> DataFrame:
     errs = hd.header_errors(header_lines)
     return errs.select("ord", "type", severity(F.col("type")).alias("severity"))

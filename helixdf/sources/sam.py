@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import tags as tg
+from . import text
 
 READ_COLUMNS = ["qname", "flag", "ref_index", "ref_name", "pos", "mapq", "cigar",
                 "mate_ref_index", "mate_ref_name", "mate_pos", "isize", "seq", "qual", "tags"]
@@ -69,6 +70,15 @@ def read_sam(spark: SparkSession, path: str, contigs: DataFrame) -> DataFrame:
     return parse_sam_lines(spark.read.text(path), contigs)
 
 
+def read_sam_checked(spark: SparkSession, path: str, contigs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The reads of SAM text and a report of what is wrong with it: file, line_no (0-based),
+    qname, type, severity, message. No line is left out of the reads; a value that cannot be
+    read is null there and has its row in the report. Both are lazy scans of the text."""
+    from ..operators.validate import line_report
+    numbered = text.number_lines(spark.read.text(path))
+    return read_sam(spark, path, contigs), line_report(numbered, contigs, keep=["file", "line_no"])
+
+
 def format_sam_lines(reads: DataFrame, contigs: DataFrame | None = None) -> DataFrame:
     """``reads`` -> one ``value`` text column per record.
 

@@ -9,9 +9,13 @@ position inside the split.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 
 
 def number_lines(lines: DataFrame, col: str = "value", per_file: bool = True) -> DataFrame:
@@ -22,20 +26,54 @@ def number_lines(lines: DataFrame, col: str = "value", per_file: bool = True) ->
     split, rows keep file order and ``monotonically_increasing_id`` is
     contiguous, so position = id - min id of the split.
     """
-    base = lines.select(F.col(col).alias(col),
-                        F.col("_metadata.file_path").alias("file"),
-                        F.col("_metadata.file_block_start").alias("_blk"),
-                        F.monotonically_increasing_id().alias("_mid"))
-    # Mark a stable copy: the split table and the join must see the same ids.
-    splits = base.groupBy("file", "_blk").agg(F.count(F.lit(1)).alias("_n"),
-                                              F.min("_mid").alias("_min"))
-    part = ["file"] if per_file else []
-    w = Window.partitionBy(*part).orderBy("file", "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    base = _with_ids(lines, col)
+    offsets = _split_offsets(base, per_file)
     out = base.join(offsets.select("file", "_blk", "_off", "_min"), ["file", "_blk"])
     return out.select(col, "file", (F.col("_off") + F.col("_mid") - F.col("_min")).alias("line_no"))
 
 
+def _with_ids(lines: DataFrame, col: str) -> DataFrame:
+    return lines.select(F.col(col).alias(col), F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"))
+
+
+def _split_offsets(base: DataFrame, per_file: bool) -> DataFrame:
+    """Per input split: file, _blk, _n lines, _min (first id), _off (lines before it)."""
+    splits = base.groupBy("file", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_min"))
+    part = ["file"] if per_file else []
+    w = Window.partitionBy(*part).orderBy("file", "_blk").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+
+
+#: Split tables up to this many rows (about 100 bytes each) are broadcast.
+BROADCAST_SPLITS = 500_000
+
+
+def stored_offsets(lines: DataFrame, col: str = "value", per_file: bool = True) -> tuple[DataFrame, int]:
+    """The split table of a text scan, written once, and its number of rows."""
+    path = scratch_path(lines.sparkSession, "splits.parquet")
+    _split_offsets(_with_ids(lines, col), per_file).write.parquet(path)
+    table = lines.sparkSession.read.parquet(path)
+    return table, table.count()
+
+
+def _fours(batches):
+    """Every four lines that follow each other become a record (name, seq, qual)."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None and rest.num_rows:
+            table = pa.concat_tables([rest, table])
+        whole = table.num_rows // 4 * 4
+        at = np.arange(0, whole, 4)
+        head, seq, qual = (table.take(pa.array(at + k)) for k in (0, 1, 3))
+        if whole:
+            out = pa.table({"chunk_id": pc.divide(head["line_no"], 4), "name": pc.utf8_slice_codeunits(head["value"], 1),
+                            "seq": seq["value"], "qual": qual["value"], "file": head["file"]})
+            yield from out.combine_chunks().to_batches()
+        rest = table.slice(whole)
+
+
 def list_chunks(spark: SparkSession, folder: str, pattern: str = "part*") -> DataFrame:
     """Input chunk files under ``folder`` whose name matches ``pattern``, sorted by path:
     path (a URI), name (its last part), n_lines (0 for empty files).
@@ -98,8 +136,30 @@ def parse_fastq_lines(numbered: DataFrame, mate: int | None = None, per_file: bo
     return out
 
 
-def read_fastq(spark: SparkSession, path: str, mate: int | None = None) -> DataFrame:
-    return parse_fastq_lines(number_lines(spark.read.text(path), per_file=False), mate, per_file=False)
+def read_fastq(spark: SparkSession, path: str, mate: int | None = None, per_file: bool = False) -> DataFrame:
+    """FASTQ records of the files under ``path`` (see ``parse_fastq_lines``), without moving lines.
+
+    A first pass counts the lines of each input split. From these counts each split knows which
+    of its lines belong to records that cross its borders: at most three at each end. Only those
+    are exchanged; all other lines are put together in fours where they are read. Split tables
+    beyond ``BROADCAST_SPLITS`` rows are joined by exchange instead.
+    """
+    lines = spark.read.text(path)
+    splits, n = stored_offsets(lines, per_file=per_file)
+    if n > BROADCAST_SPLITS:
+        return parse_fastq_lines(number_lines(lines, per_file=per_file), mate, per_file)
+    small = F.broadcast(splits.select(F.col("file").alias("_f"), F.col("_blk").alias("_fb"), "_n", "_min", "_off"))
+    base = _with_ids(lines, "value")
+    placed = (base.join(small, (base["file"] == small["_f"]) & (base["_blk"] == small["_fb"]))
+              .withColumn("_at", F.col("_mid") - F.col("_min")).withColumn("line_no", F.col("_off") + F.col("_at")))
+    head = F.least(F.pmod(-F.col("_off"), F.lit(4)), F.col("_n"))
+    tail = F.pmod(F.col("_off") + F.col("_n"), F.lit(4))
+    inner = (F.col("_at") >= head) & (F.col("_at") < F.col("_n") - tail)
+    whole = placed.filter(inner).select("value", "file", "line_no").mapInArrow(
+        _fours, "chunk_id long, name string, seq string, qual string, file string")
+    crossing = parse_fastq_lines(placed.filter(~inner).select("value", "file", "line_no"), None, per_file)
+    out = whole.select(*crossing.columns).unionByName(crossing)
+    return out if mate is None else out.withColumn("mate", F.lit(mate))
 
 
 def fastq_lines(records: DataFrame) -> DataFrame:
