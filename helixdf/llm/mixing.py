@@ -151,7 +151,9 @@ def draw(sized: DataFrame, plan: Mix, doc_id: str = "doc_id", source: str = "sou
     Dealing blocks to shards is a join on (source, pass, block) whose other side has a
     row per block."""
     keep = [c for c in sized.columns if c not in ("shard", "place")]
-    rows = sized.withColumns({"__doc": F.col(doc_id), "__src": F.col(source), "__size": F.col("size")}).withColumn("__u", _u(seed))
+    # the document's columns travel as one, so that none can clash with the plan's
+    rows = sized.select(F.struct(*keep).alias("__row"), F.col(doc_id).alias("__doc"), F.col(source).alias("__src"), F.col("size").alias("__size"))
+    rows = rows.withColumn("__u", _u(seed))
     rows = with_source(rows, plan.sources).join(F.broadcast(plan.edge), "source_rank", "left")
     # documents of the edge block up to the target; only these blocks are ordered
     narrow = rows.filter(F.col("__block") == F.col("__edge")).select("source_rank", "__u", "__size", "__room")
@@ -170,7 +172,7 @@ def draw(sized: DataFrame, plan: Mix, doc_id: str = "doc_id", source: str = "sou
     dealt = plan.deal.select("shard", F.col("source_rank").alias("__sr"), F.explode(F.expr("sequence(low, high - 1)")).alias("__sq"))
     rows = rows.join(dealt, (F.col("source_rank") == F.col("__sr")) & (F.col("__seq") == F.col("__sq")))
     place = F.xxhash64(F.lit(seed + 1), F.col("shard"), F.col("__rep"), F.col("__u"))
-    return rows.select(*keep, "shard", place.alias("place")).repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+    return rows.select("__row.*", "shard", place.alias("place")).repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
 
 
 def planned(docs: DataFrame, weights: Callable[[int], float] = cycle_weights, doc_id: str = "doc_id", source: str = "source", text: str = "text",
@@ -182,6 +184,8 @@ def planned(docs: DataFrame, weights: Callable[[int], float] = cycle_weights, do
 
 def mix_sources(docs: DataFrame, weights: Callable[[int], float] = cycle_weights, doc_id: str = "doc_id", source: str = "source",
                 text: str = "text", seed: int = SEED, max_repeats: int = MAX_REPEATS, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``docs`` mixed: its columns, ``shard`` and ``place``."""
+    """``docs`` mixed: its columns, ``shard`` and ``place`` (columns of these names are replaced)."""
     _, plan = planned(docs, weights, doc_id, source, text, seed, max_repeats, shard_words)
-    return draw(measured(docs, doc_id, source, text), plan, doc_id, source, seed).drop(*([] if "size" in docs.columns else ["size"]))
+    own = F.struct(*[c for c in docs.columns if c not in ("shard", "place")]).alias("__own")
+    sized = docs.select(own, F.col(doc_id).alias("__id"), F.col(source).alias("__from"), F.size(words(F.col(text))).cast("long").alias("size"))
+    return draw(sized, plan, "__id", "__from", seed).select("__own.*", "shard", "place")

@@ -315,8 +315,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keep = [c for c in docs.columns if c != text and c not in out_names and not c.startswith("__")]
     rid = F.xxhash64(F.col(doc_id), F.coalesce(F.col(text), F.lit("")), F.length(text))
     rows = docs.select(rid.alias("rid"), F.col(text).alias("text"))
-    found = repeated_spans(rows, length, spread).groupBy("rid").agg(F.collect_list(F.struct("low", "high")).alias("__spans"))
+    found = repeated_spans(rows, length, spread).groupBy(F.col("rid").alias("__of")).agg(F.collect_list(F.struct("low", "high")).alias("__spans"))
     full = docs.select(*keep, F.col(text).alias("__text"), rid.alias("__rid"))
-    full = full.join(found, F.col("__rid") == F.col("rid"), "left").select(*keep, "__text", "__spans")
+    full = full.join(found, F.col("__rid") == F.col("__of"), "left").select(*keep, "__text", "__spans")
     schema = with_fields(docs.select(*keep), "n_bytes long, n_removed long, spans array<struct<low:int,high:int>>, kept binary")
     return full.mapInArrow(_keep, schema)

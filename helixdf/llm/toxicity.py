@@ -59,16 +59,20 @@ def train(texts: DataFrame, labels: DataFrame, learn, doc_id: str = "doc_id", te
           prior: float | None = None, positives: int = POSITIVES, unlabelled: int = UNLABELLED, bits: int = BITS) -> tuple[float, np.ndarray]:
     """Bias and weights. ``labels``: doc_id, toxic. Only rows where ``learn`` (a function of
     the id column) holds give labels or texts. The prior is the labelled toxic share if not
-    given."""
+    given. An id gives one text to a sample (of rows that share it, the one whose text hashes
+    least), so no more than ``positives`` + ``unlabelled`` rows reach the driver."""
     marks = (labels.filter(learn(F.col(doc_id)) & F.col("toxic").isNotNull())
              .groupBy(F.col(doc_id).alias("__id")).agg(F.max(F.col("toxic").cast("int")).alias("__toxic")))
     known, toxic = marks.agg(F.count(F.lit(1)), F.sum("__toxic")).first()
     prior = prior if prior is not None else ((toxic or 0) + 1) / ((known or 0) + 10)
     some = marks.filter("__toxic = 1").withColumn("__o", F.xxhash64(F.lit(7), F.col("__id"))).orderBy("__o").limit(positives).select("__id", F.lit(True).alias("positive"))
     ids = texts.filter(learn(F.col(doc_id))).select(F.col(doc_id).alias("__id"))
-    other = ids.withColumn("__o", F.xxhash64(F.lit(8), F.col("__id"))).orderBy("__o").limit(unlabelled).select("__id", F.lit(False).alias("positive"))
-    sample = texts.select(F.col(doc_id).alias("__d"), F.col(text).alias("__t")).join(F.broadcast(some.union(other)), F.col("__d") == F.col("__id")).select("__id", "positive", "__t")
-    rows = sample.mapInArrow(feature_rows(bits), with_fields(sample.select("__id", "positive"), "features array<int>")).toArrow()
+    other = (ids.withColumn("__o", F.xxhash64(F.lit(8), F.col("__id"))).orderBy("__o").limit(unlabelled)
+             .select("__id", F.lit(False).alias("positive")).distinct())
+    sample = texts.select(F.col(doc_id).alias("__d"), F.col(text).alias("__t")).join(F.broadcast(some.union(other)), F.col("__d") == F.col("__id"))
+    sample = sample.select("__id", "positive", F.xxhash64("__t").alias("__h"), "__t")
+    made = sample.mapInArrow(feature_rows(bits), with_fields(sample.drop("__t"), "features array<int>"))
+    rows = made.groupBy("__id", "positive").agg(F.min_by("features", "__h").alias("features")).toArrow()
     positive = rows.column("positive").to_numpy(zero_copy_only=False).astype(bool)
     if not positive.any():
         return float(np.log(prior / (1 - prior))), np.zeros(1 << bits, dtype=np.float32)

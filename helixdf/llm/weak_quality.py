@@ -126,9 +126,10 @@ def _features(texts: list[bytes], v: np.ndarray, bits: int) -> Iterator[np.ndarr
 def _sample_rows(bits: int):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = text_bytes(batch.column(1))
+            texts = text_bytes(batch.column(2))
             v = votes(texts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pattern_ids(v)), pa.array(list(_features(texts, v, bits)), pa.list_(pa.int32()))], ["o", "pattern", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pattern_ids(v)), pa.array(list(_features(texts, v, bits)), pa.list_(pa.int32()))],
+                                             ["o", "h", "pattern", "features"])
     return each
 
 
@@ -156,7 +157,9 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample
         post, _ = accuracies(ids, n)
         chosen = docs.select(F.xxhash64(F.lit(9), F.col(doc_id)).alias("o")).orderBy("o").limit(sample).distinct()
         some = docs.select(F.xxhash64(F.lit(9), F.col(doc_id)).alias("o"), F.col(text).alias("t")).join(F.broadcast(chosen), "o")
-        rows = some.mapInArrow(_sample_rows(bits), "o long, pattern long, features array<int>").toArrow()
+        made = some.select("o", F.xxhash64("t").alias("h"), "t").mapInArrow(_sample_rows(bits), "o long, h long, pattern long, features array<int>")
+        # rows that share an id give one text, the one that hashes least
+        rows = made.groupBy("o").agg(F.min_by(F.struct("pattern", "features"), "h").alias("r")).select("o", "r.*").toArrow()
         order = np.argsort(rows.column("o").to_numpy(), kind="stable")
         lists = rows.column("features").combine_chunks()
         at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
