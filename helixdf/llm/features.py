@@ -55,6 +55,15 @@ def linear_scores(model, bits: int = BITS):
     return each
 
 
+def row_arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The rows of a list column as views of its buffers."""
+    out = []
+    for chunk in column.chunks:
+        at, flat = chunk.offsets.to_numpy().tolist(), chunk.values.to_numpy()
+        out += [flat[a:z] for a, z in zip(at[:-1], at[1:])]
+    return out
+
+
 class Rows:
     """Sparse rows of features with the columns that occur in ``least`` rows or more and,
     given ``groups`` (booleans), that differ between the two groups of rows by ``apart``
@@ -62,19 +71,39 @@ class Rows:
 
     def __init__(self, rows: list[np.ndarray], least: int = 3, bits: int = BITS, groups: np.ndarray | None = None, apart: float = 3.0):
         size = np.array([len(r) for r in rows], dtype=np.int64)
-        flat = np.concatenate(rows) if len(rows) else np.zeros(0, dtype=np.int32)
-        n = np.bincount(flat, minlength=1 << bits)
+        blocks = list(self._blocks(size))
+        n, in_one = np.zeros(1 << bits, dtype=np.int64), np.zeros(1 << bits, dtype=np.int64)
+        for a, z in blocks:
+            flat = np.concatenate(rows[a:z])
+            n += np.bincount(flat, minlength=1 << bits)
+            if groups is not None:
+                in_one += np.bincount(flat[np.repeat(groups[a:z], size[a:z])], minlength=1 << bits)
         use = n >= least
         if groups is not None:
-            in_one = np.bincount(flat[np.repeat(groups, size)], minlength=1 << bits)
             one, two = max(int(groups.sum()), 1), max(int((~groups).sum()), 1)
             rate = (n + 1) / (len(rows) + 2)
             use &= np.abs(in_one / one - (n - in_one) / two) >= apart * np.sqrt(rate * (1 - rate) * (1 / one + 1 / two))
         self.used = np.flatnonzero(use)
         place = np.full(1 << bits, -1, dtype=np.int32)
         place[self.used] = np.arange(len(self.used))
-        col, row = place[flat], np.repeat(np.arange(len(rows), dtype=np.int32), size)
-        self.col, self.row, self.n = col[col >= 0], row[col >= 0], len(rows)
+        cols, at = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int32)]
+        for a, z in blocks:
+            col = place[np.concatenate(rows[a:z])]
+            cols.append(col[col >= 0])
+            at.append(np.repeat(np.arange(a, z, dtype=np.int32), size[a:z])[col >= 0])
+        self.col, self.row, self.n = np.concatenate(cols), np.concatenate(at), len(rows)
+
+    @staticmethod
+    def _blocks(size: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+        """Ranges of rows with about ``most`` features together, so that copies stay small."""
+        low, held = 0, 0
+        for i, k in enumerate(size.tolist()):
+            if i > low and held + k > most:
+                yield low, i
+                low, held = i, 0
+            held += k
+        if low < len(size):
+            yield low, len(size)
 
     def score(self, w: np.ndarray, bias: float) -> np.ndarray:
         return bias + np.bincount(self.row, weights=w[self.col], minlength=self.n)

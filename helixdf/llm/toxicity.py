@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import with_fields
-from .features import BITS, Rows, feature_rows, fit, linear_scores
+from .features import BITS, Rows, feature_rows, fit, linear_scores, row_arrays
 
 POSITIVES = 2_500
 UNLABELLED = 10_000
@@ -77,9 +77,9 @@ def train(texts: DataFrame, labels: DataFrame, learn, doc_id: str = "doc_id", te
     if not positive.any():
         return float(np.log(prior / (1 - prior))), np.zeros(1 << bits, dtype=np.float32)
     order = np.lexsort((rows.column("__id").to_numpy(zero_copy_only=False), positive))  # the same whichever task came first
-    lists = rows.column("features").combine_chunks()
-    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    sparse = Rows([flat[at[i]:at[i + 1]] for i in order], bits=bits, groups=positive[order], apart=APART)
+    own = row_arrays(rows.column("features"))
+    sparse = Rows([own[i] for i in order], bits=bits, groups=positive[order], apart=APART)
+    del own, rows
     return fit(sparse, nnpu_slope(positive[order], prior), STEPS, RATE, DECAY, float(np.log(prior / (1 - prior))), bits)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import IS_SPACE, with_fields, word_hashes
-from .features import BITS, Rows, fit, word_features
+from .features import BITS, Rows, fit, row_arrays, word_features
 from .shingles import text_bytes, words_of
 
 SAMPLE = 6_000
@@ -161,10 +161,9 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample
         # rows that share an id give one text, the one that hashes least
         rows = made.groupBy("o").agg(F.min_by(F.struct("pattern", "features"), "h").alias("r")).select("o", "r.*").toArrow()
         order = np.argsort(rows.column("o").to_numpy(), kind="stable")
-        lists = rows.column("features").combine_chunks()
-        at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        own = row_arrays(rows.column("features"))
         want = post[np.searchsorted(ids, rows.column("pattern").to_numpy())][order]
-        sparse = Rows([flat[at[i]:at[i + 1]] for i in order], bits=bits + 1, groups=want > 0.5)
+        sparse = Rows([own[i] for i in order], bits=bits + 1, groups=want > 0.5)
         bias, wide = fit(sparse, lambda z: (1 / (1 + np.exp(-np.clip(z, -30, 30))) - want) / len(want), STEPS, RATE, DECAY, 0.0, bits + 1)
         weights = wide[:len(weights)]
     model = spark.sparkContext.broadcast((bias, weights, ids, post))
