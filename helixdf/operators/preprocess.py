@@ -20,7 +20,7 @@ from ..functions import flags as fl
 from . import islands as isl
 from . import records as rec
 from ..session import ensure_checkpoint_dir
-from .reference import segments, with_reference
+from .covariates import count_covariates
 
 _ELEM = "struct<len:int,op:string>"
 
@@ -193,45 +193,6 @@ def duplicate_metrics(marked: DataFrame, library: Column | None = None) -> DataF
 
 # --- base-level covariates ---------------------------------------------------------------
 
-def aligned_bases(reads: DataFrame, ref_tiles: DataFrame, known: DataFrame | None, keep: list[str]) -> DataFrame:
-    """One row per aligned base with its reference base: ``keep`` + offset
-    (1-based read offset), ref_pos, base, ref_base, q, known.
-
-    The reference join happens per tile segment; known sites are grouped per
-    tile into a short array and joined the same way, so nothing is shuffled
-    per base before the caller's aggregation.
-    """
-    cols = list(dict.fromkeys(keep + ["seq", "qual", "flag"]))
-    seg = with_reference(segments(reads, cols), ref_tiles)
-    if known is not None:
-        k = (known.select("ref_index", F.shiftright(F.col("pos") - 1, 5).alias("tile"), "pos")
-             .groupBy("ref_index", "tile").agg(F.collect_set("pos").alias("_known")))
-        seg = seg.join(k, ["ref_index", "tile"], "left")
-    else:
-        seg = seg.withColumn("_known", F.lit(None).cast("array<int>"))
-    pos_arr = F.sequence(F.lit(0), F.col("seg_len") - 1)
-    x = seg.select(*cols, "ref_index", "seg_ref", "seg_read", "ref_sub", "_known",
-                   F.explode(pos_arr).alias("k"))
-    off = F.col("seg_read") + F.col("k")
-    refp = F.col("seg_ref") + F.col("k")
-    return x.select(*cols, "ref_index", off.alias("offset"), refp.alias("ref_pos"),
-                    F.upper(F.substring("seq", off, 1)).alias("base"),
-                    F.upper(F.substring("ref_sub", F.col("k") + 1, 1)).alias("ref_base"),
-                    (F.ascii(F.substring("qual", off, 1)) - bs.PHRED_OFFSET).alias("q"),
-                    F.coalesce(F.array_contains("_known", refp), F.lit(False)).alias("known"))
-
-
-def covariates(bases_df: DataFrame) -> DataFrame:
-    """Add machine cycle and dinucleotide context (in read orientation)."""
-    n = F.length("seq")
-    neg = fl.has("flag", fl.REVERSE)
-    cycle = co.sequencing_cycle(F.col("offset") - 1, n, neg)
-    fwd_ctx = F.when(F.col("offset") >= 2, F.upper(F.substring("seq", F.col("offset") - 1, 2)))
-    rev_ctx = F.when(F.col("offset") <= n - 1, bs.reverse_complement(F.upper(F.substring("seq", F.col("offset"), 2))))
-    ctx = F.when(neg, rev_ctx).otherwise(fwd_ctx)
-    return bases_df.withColumn("cycle", cycle.cast("int")).withColumn("context", ctx)
-
-
 def empirical_quality(mm, obs) -> Column:
     """-10 log10((mismatches + 1) / (observations + 2))."""
     return -10.0 * F.log10((_c(mm) + 1) / (_c(obs) + 2))
@@ -239,12 +200,8 @@ def empirical_quality(mm, obs) -> Column:
 
 def bqsr_table(reads: DataFrame, ref_tiles: DataFrame, known: DataFrame, rg: str = "rg") -> DataFrame:
     """Per (read group, reported quality, cycle, context): observations and
-    mismatches at aligned non-N bases outside known variant sites."""
-    b = covariates(aligned_bases(reads, ref_tiles, known, ["qname", rg]))
-    b = b.filter(~F.col("known") & (F.col("base") != "N"))
-    t = b.groupBy(rg, "q", "cycle", "context").agg(
-        F.count(F.lit(1)).alias("observations"),
-        F.count_if(F.col("base") != F.col("ref_base")).alias("mismatches"))
+    mismatches at aligned non-N bases outside known variant sites (``covariates``)."""
+    t = count_covariates(reads, ref_tiles, known, rg)
     return t.withColumn("empirical_q", F.round(empirical_quality("mismatches", "observations"), 4))
 
 

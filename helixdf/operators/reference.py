@@ -1,16 +1,22 @@
 """Read bases against the reference sequence.
 
 The reference is a table of fixed-size tiles ``(ref_index, tile, bases)``
-(tile t holds 1-based positions 32t+1 .. 32t+32). A read's aligned blocks are
-cut at tile borders into segments; each segment joins its one tile on
-(ref_index, tile) and compares bases with array expressions, so the join
-sees a few rows per read instead of one per base.
+(tile t holds 1-based positions 32t+1 .. 32t+32). ``chunks`` puts 16 of them
+together, so that a read of usual length meets one or two rows of the reference.
+A read's aligned blocks are cut at chunk borders into segments; a segment carries
+only its own bases and qualities to the join on (ref_index, chunk), never the
+whole read. Behind the join numpy compares the bases of a whole batch at once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import bases as bs
 from ..functions import cigar as cg
@@ -20,54 +26,104 @@ from ..session import ensure_checkpoint_dir
 
 TILE_SHIFT = 5
 TILE = 1 << TILE_SHIFT
+CHUNK_SHIFT = 9
+CHUNK = 1 << CHUNK_SHIFT
+#: Stands for a position that the reference table does not hold.
+GAP = " "
+#: Stands for a base or a quality that a read does not hold (no base letter; under the lowest quality).
+ABSENT = "\x1f"
+
+#: Bytes to upper-case bytes.
+UPPER = np.arange(256, dtype=np.uint8)
+UPPER[ord("a"):ord("z") + 1] -= 32
+
+
+def chunks(ref_tiles: DataFrame) -> DataFrame:
+    """(ref_index, chunk, text): ``CHUNK`` positions each, ``GAP`` where no tile holds the
+    position. Repeated tiles count once. Bounded rows; store the result to use it often."""
+    inside = F.col("tile").bitwiseAND(CHUNK // TILE - 1)
+    text = F.rpad(F.coalesce("bases", F.lit("")), TILE, GAP)
+    parts = [F.max(F.when(inside == k, text)).alias(f"_p{k}") for k in range(CHUNK // TILE)]
+    rows = ref_tiles.groupBy("ref_index", F.shiftright("tile", CHUNK_SHIFT - TILE_SHIFT).alias("chunk")).agg(*parts)
+    filled = [F.coalesce(f"_p{k}", F.lit(GAP * TILE)) for k in range(CHUNK // TILE)]
+    return rows.select("ref_index", "chunk", F.concat(*filled).alias("text"))
+
+
+def padded(text, start: Column, length: Column, fill: str) -> Column:
+    """``length`` characters from the 1-based ``start``, with ``fill`` past the end of the text."""
+    return F.rpad(F.substring(text, start, length), length, fill)
 
 
-def segments(reads: DataFrame, keep: list[str], outer: bool = False) -> DataFrame:
-    """Aligned segments: each block split at tile borders.
+def segments(reads: DataFrame, keep: list[str], cut: dict[str, Column], outer: bool = False) -> DataFrame:
+    """Aligned segments: each block split at chunk borders.
 
-    Columns: ``keep`` + ref_index, tile, seg_ref (1-based), seg_read (1-based
-    read offset), seg_len. With ``outer`` a record without aligned bases keeps
+    Columns: ``keep`` + ref_index, chunk, seg_ref (1-based), seg_read (1-based
+    read offset), seg_len and the expressions of ``cut``, which see all of these and
+    the read's columns. With ``outer`` a record without aligned bases keeps
     one row with NULL segment columns.
     """
     keep = [c for c in keep if c != "ref_index"]
     explode = F.explode_outer if outer else F.explode
     real = F.filter(cg.alignment_blocks("cigar", "pos"), lambda b: b["length"] > 0)
-    blocks = reads.select(*keep, "ref_index", explode(real).alias("b"))
-    b_ref, b_len, b_read = F.col("b.ref_start"), F.col("b.length"), F.col("b.read_start")
-    tiles = F.sequence(F.shiftright(b_ref - 1, TILE_SHIFT), F.shiftright(b_ref + b_len - 2, TILE_SHIFT))
-    seg = blocks.select(*keep, "ref_index", "b", explode(tiles).alias("tile"))
-    lo = F.greatest(b_ref, F.col("tile") * TILE + 1)
-    hi = F.least(b_ref + b_len - 1, F.col("tile") * TILE + TILE)
-    return seg.select(*keep, "ref_index", "tile", lo.alias("seg_ref"),
-                      (b_read + lo - b_ref).alias("seg_read"), (hi - lo + 1).alias("seg_len"))
-
-
-def with_reference(seg: DataFrame, ref_tiles: DataFrame, how: str = "inner") -> DataFrame:
-    """Attach the reference substring of each segment (``ref_sub``; NULL for a
-    missing tile with ``how="left"``)."""
-    t = ref_tiles.select(F.col("ref_index").alias("_ri"), F.col("tile").alias("_t"), "bases")
-    j = seg.join(t, (seg["ref_index"] == t["_ri"]) & (seg["tile"] == t["_t"]), how)
-    ref_sub = F.substring(F.col("bases"), F.col("seg_ref") - F.col("tile") * TILE, F.col("seg_len"))
-    return j.drop("_ri", "_t").withColumn("ref_sub", ref_sub).drop("bases")
-
-
-def mismatch_codes(read_sub: Column, ref_sub: Column, negative: Column) -> Column:
-    """Per position of two equal-length segments: 0 equal (case-insensitive),
-    1 differs only by bisulfite conversion (C->T forward, G->A reverse),
-    2 mismatch."""
-    def code(x, y):
-        ux, uy = F.upper(x), F.upper(y)
-        conv = F.when(negative, (uy == "G") & (ux == "A")).otherwise((uy == "C") & (ux == "T"))
-        return F.when(ux == uy, 0).when(conv, 1).otherwise(2)
-    return F.zip_with(bs.chars(read_sub), bs.chars(ref_sub), code)
-
-
-def tally_codes(codes: Column) -> Column:
-    """struct(n, nb): mismatches and bisulfite-aware mismatches of a code array."""
-    acc0 = F.struct(F.lit(0).alias("n"), F.lit(0).alias("nb"))
-    return F.aggregate(codes, acc0, lambda acc, c: F.struct(
-        (acc["n"] + F.when(c > 0, 1).otherwise(0)).alias("n"),
-        (acc["nb"] + F.when(c == 2, 1).otherwise(0)).alias("nb")))
+    blocks = reads.withColumn("_b", explode(real))
+    b_ref, b_len, b_read = F.col("_b.ref_start"), F.col("_b.length"), F.col("_b.read_start")
+    crossed = F.sequence(F.shiftright(b_ref - 1, CHUNK_SHIFT), F.shiftright(b_ref + b_len - 2, CHUNK_SHIFT))
+    seg = blocks.withColumn("chunk", explode(crossed))
+    lo = F.greatest(b_ref, F.col("chunk") * CHUNK + 1)
+    hi = F.least(b_ref + b_len - 1, F.col("chunk") * CHUNK + CHUNK)
+    # explode leaves rows without aligned bases with a NULL chunk: all that follows is NULL there
+    seg = seg.withColumns({"seg_ref": F.when(F.col("chunk").isNotNull(), lo),
+                           "seg_read": F.when(F.col("chunk").isNotNull(), b_read + lo - b_ref),
+                           "seg_len": F.when(F.col("chunk").isNotNull(), hi - lo + 1)})
+    return seg.select(*keep, "ref_index", "chunk", "seg_ref", "seg_read", "seg_len",
+                      *[c.alias(name) for name, c in cut.items()])
+
+
+def with_reference(seg: DataFrame, ref_chunks: DataFrame) -> DataFrame:
+    """Attach the reference bases of each segment (``ref_cut``, ``GAP`` where there are none)."""
+    t = ref_chunks.withColumnsRenamed({"ref_index": "_ri", "chunk": "_c"})
+    j = seg.join(t, (F.col("ref_index") == F.col("_ri")) & (F.col("chunk") == F.col("_c")), "left")
+    at = F.col("seg_ref") - F.col("chunk") * CHUNK
+    ref_cut = padded(F.coalesce("text", F.lit("")), at, F.col("seg_len"), GAP)
+    return j.withColumn("ref_cut", ref_cut).drop("_ri", "_c", "text")
+
+
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as one byte array and the border of each (null: empty). Characters outside ASCII
+    become ``?``, so that a character is a byte."""
+    raw = column.cast(pa.large_binary())
+    if not len(raw) or raw.buffers()[2] is None:
+        return np.zeros(0, dtype=np.uint8), np.zeros(len(raw) + 1, dtype=np.int64)
+    at = np.frombuffer(raw.buffers()[1], dtype=np.int64)[raw.offset:raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2], dtype=np.uint8)[at[0]:at[-1]]
+    if len(data) and data.max() > 127:
+        ascii_only = [b"" if s is None else s.encode("ascii", "replace") for s in column.to_pylist()]
+        return flat(pa.array(ascii_only, type=pa.large_binary()))
+    return data, at - at[0]
+
+
+def row_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sum of each row's part of ``values``."""
+    total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    return total[at[1:]] - total[at[:-1]]
+
+
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per segment: mismatches, those that bisulfite conversion does not explain (C to T on the
+    forward strand, G to A on the reverse), uncovered bases and the qualities of mismatches."""
+    for batch in batches:
+        (read, at), (ref, _), (qual, _) = (flat(batch.column(name)) for name in ("read_cut", "ref_cut", "qual_cut"))
+        read, ref = UPPER[read], UPPER[ref]
+        back = np.repeat(batch.column("neg").to_numpy(zero_copy_only=False).astype(bool), np.diff(at))
+        covered = ref != ord(GAP)
+        differs = (read != ref) & covered
+        converted = np.where(back, (ref == ord("G")) & (read == ord("A")), (ref == ord("C")) & (read == ord("T")))
+        value = qual.astype(np.int64) - bs.PHRED_OFFSET
+        value[(value < 0) | (value > bs.MAX_PHRED)] = 0
+        sums = [row_sums(x, at) for x in (differs, differs & ~converted, ~covered, np.where(differs, value, 0))]
+        names = [n for n in batch.schema.names if n not in ("read_cut", "ref_cut", "qual_cut", "neg")]
+        yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(s) for s in sums],
+                                         [*names, "_n", "_nb", "_u", "_q"])
 
 
 def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str],
@@ -79,29 +135,26 @@ def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str],
     Each record gets a row id before it is cut into segments, so records
     sharing a name (or identical records) are counted separately; the
     aggregation is by that id, combined map-side. Records without an aligned
-    block count zero mismatches. ``uncovered`` counts aligned bases that no tile of
-    the reference holds: they are not compared and must not be taken as matches.
+    block or without a sequence (NULL) count zero mismatches; bases that CIGAR asks for
+    and SEQ lacks are mismatches; absent qualities count 0. ``uncovered`` counts aligned bases
+    that no tile of the reference holds: they are not compared and must not be taken as matches.
     """
     indel = cg.inserted_bases("cigar") + cg.deleted_bases("cigar")
     r = reads.withColumn("_rid", F.monotonically_increasing_id()).withColumn("_indel", indel)
-    cols = list(dict.fromkeys(keep + ["_rid", "_indel", "seq", "qual", "flag"]))
-    seg = with_reference(segments(r, cols, outer=True), ref_tiles, "left")
-    read_sub = F.substring("seq", F.col("seg_read"), F.col("seg_len"))
-    neg = fl.has("flag", fl.REVERSE)
-    codes = mismatch_codes(read_sub, F.col("ref_sub"), neg)
-    tot = tally_codes(codes)
-    uncovered = F.col("seg_len") - F.coalesce(F.length("ref_sub"), F.lit(0))
-    outs = [tot["n"].alias("_n"), tot["nb"].alias("_nb"), uncovered.alias("_u")]
-    sums = [F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("mismatches"),
-            F.coalesce(F.sum("_nb"), F.lit(0)).cast("int").alias("mismatches_bisulfite"),
-            F.coalesce(F.sum("_u"), F.lit(0)).cast("int").alias("uncovered")]
+    cols = list(dict.fromkeys(keep + ["_rid", "_indel"]))
+    here, size = F.col("seg_read"), F.col("seg_len")
+    quality = padded(F.coalesce("qual", F.lit("")), here, size, ABSENT) if with_quals \
+        else F.when(size.isNotNull(), F.repeat(F.lit(ABSENT), size))
+    seg = segments(r, cols, {"read_cut": padded("seq", here, size, ABSENT), "qual_cut": quality,
+                             "neg": F.coalesce(fl.has("flag", fl.REVERSE), F.lit(False))}, outer=True)
+    j = with_reference(seg, chunks(ref_tiles)).withColumn("read_cut", F.coalesce("read_cut", "ref_cut"))
+    j = j.select(*cols, "read_cut", "ref_cut", "qual_cut", "neg")
+    tallies = [T.StructField(name, T.LongType()) for name in ("_n", "_nb", "_u", "_q")]
+    per = j.mapInArrow(_tallied, T.StructType([f for f in j.schema.fields if f.name in cols] + tallies))
+    sums = [F.sum("_n").cast("int").alias("mismatches"), F.sum("_nb").cast("int").alias("mismatches_bisulfite"),
+            F.sum("_u").cast("int").alias("uncovered")]
     if with_quals:
-        q_sub = F.substring("qual", F.col("seg_read"), F.col("seg_len"))
-        q_mm = F.aggregate(F.zip_with(codes, bs.phred_decode(q_sub), lambda c, q: F.when(c > 0, q).otherwise(0)),
-                           F.lit(0), lambda acc, x: acc + x)
-        outs.append(q_mm.alias("_q"))
-        sums.append(F.coalesce(F.sum("_q"), F.lit(0)).cast("int").alias("mismatch_qual_sum"))
-    per = seg.select(*cols, *outs)
+        sums.append(F.sum("_q").cast("int").alias("mismatch_qual_sum"))
     # keep columns depend on the row id: grouping by them too keeps a hash aggregation
     agg = per.groupBy("_rid", *keep, "_indel").agg(*sums)
     return agg.withColumn("nm", (F.col("mismatches") + F.col("_indel")).cast("int")).drop("_rid", "_indel")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions import flags as fl
-from ..operators import islands, pileup, preprocess
+from ..operators import covariates, islands, pileup, preprocess
 from ..sources import text
 from .io import _ISLANDS_SQL, _named_islands
 from .records import CE_SQL, ce_sql
@@ -147,6 +147,16 @@ def q_bqsr_table(spark, sf_dir):
     return preprocess.bqsr_table(r, tiles, known)
 
 
+@query("bqsr_uncovered", _BASES_SQL + """
+select rr.rg, count(*) as aligned, count(*) filter (where t.tile is null) as uncovered
+from pb join rr on rr.rid = pb.rid left join ref_tiles t on t.ref_index = rr.ref_index and t.tile = (pb.p - 1) >> 5 and t.tile % 5 <> 2
+group by rr.rg""")
+def q_bqsr_uncovered(spark, sf_dir):
+    """Aligned bases that a reference without every fifth tile does not hold."""
+    r, tiles, _ = _bqsr_inputs(spark, sf_dir)
+    return covariates.uncovered_bases(r, tiles.filter(F.col("tile") % 5 != 2))
+
+
 _EQ = "-10 * log10((sum(mismatches) + 1) / (sum(observations) + 2))"
 
 

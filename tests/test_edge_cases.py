@@ -25,18 +25,18 @@ def _reads(spark, rows):
 # --- CIGAR ------------------------------------------------------------------------
 
 CIGAR_CASES = {
-    "*": {"mapped read without CIGAR elements"},
+    "*": {"mapped, yet no CIGAR"},
     "0M": set(),
     "5S10M": set(),
-    "5M5S5M": {"soft clip not at an end or inside hard clips"},
+    "5M5S5M": {"S between other runs"},
     "3H2S10M2S3H": set(),
-    "10M2D2D10M": {"two D without M or N between"},
+    "10M2D2D10M": {"deletions not kept apart by an aligned run"},
     "2P10M": set(),
-    "10M2P": {"padding at end of CIGAR"},
+    "10M2P": {"P closes the CIGAR"},
     "10M1I1P1I10M": set(),
-    "10M1I1I10M": {"two I without M or N between"},
-    "5M3H5M": {"hard clip inside CIGAR"},
-    "5S5H": {"no real operator in CIGAR"},
+    "10M1I1I10M": {"insertions not kept apart by an aligned run"},
+    "5M3H5M": {"H between other runs"},
+    "5S5H": {"only clips and padding"},
 }
 
 
