@@ -21,6 +21,7 @@ from . import islands as isl
 from . import records as rec
 from ..session import ensure_checkpoint_dir
 from .covariates import count_covariates
+from .recalibrate import recalibrate
 
 _ELEM = "struct<len:int,op:string>"
 
@@ -277,20 +278,18 @@ def bqsr_apply(reads: DataFrame, deltas: DataFrame, rg: str = "rg", delta_bytes:
     """New quality per base = q + global + per-Q + per-cycle + per-context
     deltas (missing deltas count 0), rounded, clamped to 1..93.
 
-    Reads join their read group's delta row, broadcast up to ``DELTA_BYTES`` (measured
-    first); beyond it the rows are repeated for ``salts`` salts and reads join on
-    (group, salt), so one group's reads go to many tasks. Every base is recalibrated with array expressions inside the
-    read's row: bases are never exploded or shuffled. Base codes are computed
-    once per read so the per-base lambda is integer arithmetic and array reads.
+    Delta rows up to ``DELTA_BYTES`` (measured first) are sent to every worker, and numpy
+    recalibrates all bases of a batch at once (``recalibrate``). Beyond it the rows are repeated for
+    ``salts`` salts and reads join on (group, salt), so one group's reads go to many tasks, and array
+    expressions recalibrate inside the read's row. Bases are never exploded or shuffled.
     """
     cells = F.size("a_q") + F.size("a_cycle") + F.size("a_ctx")
     held = 8 * (deltas.agg(F.sum(cells)).first()[0] or 0)
     if held <= delta_bytes:
-        j = reads.join(F.broadcast(deltas), rg, "left")
-    else:
-        salted = deltas.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salt = F.pmod(F.xxhash64("qname", "seq", "qual"), F.lit(salts)).cast("int")
-        j = reads.withColumn("_salt", salt).join(salted, [rg, "_salt"], "left").drop("_salt")
+        return recalibrate(reads, deltas, rg)
+    salted = deltas.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64("qname", "seq", "qual"), F.lit(salts)).cast("int")
+    j = reads.withColumn("_salt", salt).join(salted, [rg, "_salt"], "left").drop("_salt")
     n = F.length("seq")
     neg = fl.has("flag", fl.REVERSE)
     j = j.withColumn("_c", _codes(F.upper("seq"))).withColumn("_neg", neg).withColumn("_n", n)
