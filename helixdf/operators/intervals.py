@@ -14,8 +14,9 @@ An interval is repeated for larger sizes that the other side really has: a list
 seven numbers that Spark finds as a scalar subquery while the join runs.
 
 Semi and anti joins: an interval with one bin (nearly all short ones) is a plain semi or
-anti join. Those with several bins are counted by content first, marked if any of their
-bins hits, and repeated by their count, so equal rows keep their number.
+anti join. For a semi join those with several bins get an id, by which the bins that hit
+become one row again. For an anti join they are counted by content first, marked if any of
+their bins hits, and repeated by their count, so equal rows keep their number.
 
 Defined cases: an empty interval (end = start) overlaps what holds it strictly inside; a
 null contig, start or end overlaps nothing; empty tables join to nothing.
@@ -102,11 +103,14 @@ def overlap_join(probe: DataFrame, build: DataFrame, how: str = "inner",
     columns = probe.columns
     plain = p.filter("_one").withColumns(alone).join(b, meets, how).select(*columns)
     several = p.filter("not _one")
+    if how == "left_semi":
+        found = _placed(several.withColumn("_id", F.monotonically_increasing_id()), ps, _KEYS, True).join(b, meets, how)
+        return plain.unionByName(found.dropDuplicates(["_id"]).select(*columns))
     hit = _placed(several, ps, _KEYS, True).join(b, meets, "left_semi").select(*columns).distinct()
     marked = (several.select(*columns, F.lit(1).alias("_n"), F.lit(0).alias("_hit"))
               .unionByName(hit.select("*", F.lit(0).alias("_n"), F.lit(1).alias("_hit")))
               .groupBy(*columns).agg(F.sum("_n").alias("_n"), F.max("_hit").alias("_hit")))
-    kept = marked.filter(F.col("_hit") == (1 if how == "left_semi" else 0))
+    kept = marked.filter(F.col("_hit") == 0)
     again = kept.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_again")).drop("_again")
     return plain.unionByName(again)
 

@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from helixdf.operators import preprocess
+from helixdf.sources import region_store
 
 
 def test_qualities_of_odd_reads(spark):
@@ -33,3 +34,22 @@ def test_qualities_of_odd_reads(spark):
     found = [r.qual for r in preprocess.bqsr_apply(short, deltas).collect()]
     assert [len(q) for q in found] == [4, 3] and found[0][2] == found[0][3] == found[1][0]
     assert "lambdafunction" not in preprocess.bqsr_apply(reads, deltas).filter(F.lit(True))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_region_store_of_large_contigs_has_few_folders(spark, tmp_path):
+    rng = random.Random(6)
+    spots = [(f"q{i}", 0, rng.randint(0, 20), rng.randint(1, 1_500_000_000), rng.choice(("100M", "50M3000000N50M"))) for i in range(6000)]
+    spots += spots[:500]
+    reads = spark.createDataFrame(spots, "qname string, flag int, ref_index int, pos int, cigar string").withColumn("tags", F.create_map(F.lit("a"), "qname"))
+    path = f"{tmp_path}/store"
+    region_store.write_region_store(reads, path)
+    folders = spark.read.parquet(path).select(*region_store.PARTITIONS).distinct().count()
+    assert folders <= 2 * region_store.FOLDERS
+    regions = [(r, s, s + n) for r in range(-1, 22) for s, n in ((rng.randint(0, 1_400_000_000), rng.choice((0, 1, 200_000, 90_000_000))) for _ in range(30))]
+    df = spark.createDataFrame(regions, "ref_index int, start0 int, end0 int")
+    end = {"100M": 99, "50M3000000N50M": 3_000_099}
+    want = sorted(q for q, _, r, p, c in spots if any(r == x[0] and x[1] < x[2] and p - 1 < x[2] and x[1] < p + end[c] for x in regions))
+    out = region_store.read_regions(spark, path, df)
+    assert sorted(r.qname for r in out.collect()) == want and want
+    assert out.columns == ["qname", "flag", "ref_index", "pos", "cigar", "tags"]
+    assert region_store.region_tiles(df.unionAll(df), (24, 32)).count() < 3 * 21 * 120
