@@ -223,14 +223,23 @@ def grammar_rules(dictionary: bool) -> list[Rule]:
 
 def tag_errors() -> Column:
     """Array of (type, message), one for each malformed tag of a line (``f``)."""
-    def check(text):
-        t = tg.split_tag(text)
-        why = F.when(~t["three_fields"], F.lit("a tag has three parts")).otherwise(tg.tag_error(t["type"], t["value"]))
-        return F.when(why.isNotNull(), F.struct(F.lit("INVALID_TAG").alias("type"), F.concat(text, F.lit(": "), why).alias("message")))
+    # one step after the other, so that a tag is split and judged once
+    def judged(text):
+        t = F.split(text, ":", 3)
+        return F.struct(text.alias("text"), t.alias("p"))
+
+    def reason(t):
+        p = t["p"]
+        why = F.when(F.size(p) != 3, F.lit("a tag has three parts")).otherwise(tg.tag_error(F.get(p, F.lit(1)), F.get(p, F.lit(2))))
+        return F.struct(t["text"].alias("text"), why.alias("why"))
+
+    def named(t):
+        return F.struct(F.lit("INVALID_TAG").alias("type"), F.concat(t["text"], F.lit(": "), t["why"]).alias("message"))
 
     f = F.col("f")
     rest = F.slice(f, N_REQUIRED_FIELDS + 1, F.greatest(F.size(f) - N_REQUIRED_FIELDS, F.lit(0)))
-    return F.array_compact(F.transform(rest, check))
+    wrong = F.filter(F.transform(F.transform(rest, judged), reason), lambda t: t["why"].isNotNull())
+    return F.transform(wrong, named)
 
 
 def line_report(lines: DataFrame, contigs: DataFrame, col: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -240,7 +249,7 @@ def line_report(lines: DataFrame, contigs: DataFrame, col: str = "value", keep:
     Header lines and null lines have none; without contigs names are not looked up. The
     dictionary is header-bounded and broadcast; a line is read once for all rules."""
     keep = keep or []
-    body = lines.filter(~F.col(col).startswith("@")).select(*keep, F.split(F.col(col), "\t").alias("f"))
+    body = lines.select(*keep, F.split(F.col(col), "\t").alias("f"))
     body = body.withColumn("qname", F.get("f", F.lit(0)))
     dictionary = not contigs.isEmpty()
     if dictionary:
@@ -249,8 +258,11 @@ def line_report(lines: DataFrame, contigs: DataFrame, col: str = "value", keep:
             # a name ends at its first blank
             name = F.regexp_extract(F.get("f", F.lit(place)), r"^(\S*)", 1)
             body = body.join(names, name == F.col("_name"), "left").drop("_name").withColumn(out, F.coalesce(out, F.lit(False)))
-    fixed = F.array_compact(F.array(*[r.column() for r in line_rules() + grammar_rules(dictionary)]))
-    out = body.select(*keep, "qname", F.explode(F.concat(fixed, tag_errors())).alias("_e"))
+    # Nulls (rules that hold) are dropped as rows: a filter of the array would take its rules out of generated code.
+    # Header lines are left out here and not by a filter before: Spark would move that below the columns that
+    # make up the line and work them out once more for every use.
+    fixed = F.array(*[r.column() for r in line_rules() + grammar_rules(dictionary)])
+    out = body.select(*keep, "qname", F.explode(F.when(~F.col("qname").startswith("@"), F.concat(fixed, tag_errors()))).alias("_e")).filter(F.col("_e").isNotNull())
     return out.select(*keep, "qname", F.col("_e.type").alias("type"), severity(F.col("_e.type")).alias("severity"),
                       F.col("_e.message").alias("message"))
 

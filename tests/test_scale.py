@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from helixdf.operators import preprocess
+from helixdf.functions import bases, tags
+from helixdf.operators import preprocess, validate
 from helixdf.sources import region_store
 
 
@@ -53,3 +54,33 @@ def test_a_region_store_of_large_contigs_has_few_folders(spark, tmp_path):
     assert sorted(r.qname for r in out.collect()) == want and want
     assert out.columns == ["qname", "flag", "ref_index", "pos", "cigar", "tags"]
     assert region_store.region_tiles(df.unionAll(df), (24, 32)).count() < 3 * 21 * 120
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_line_is_worked_out_once(spark):
+    lines = spark.createDataFrame([("@HD\tVN:1",), ("r\t0\tchr1\t1\t0\t4M\t*\t0\t0\tACGT\tIIII\tNM:i:x\tXX\tNM:i:1",), (None,)], "value string")
+    made = lines.withColumn("value", F.when(F.md5("value") != "x", F.col("value")))
+    contigs = spark.createDataFrame([("chr1",)], "ref_name string")
+    report = validate.line_report(made, contigs)
+    assert _plan(report).count("md5(") == 1
+    found = {(r.type, r.message) for r in report.collect()}
+    assert found == {("INVALID_TAG", "NM:i:x: i needs a signed 32-bit integer"), ("INVALID_TAG", "XX: a tag has three parts")}
+
+
+def test_tag_maps_without_repeats_need_no_fold(spark):
+    df = spark.createDataFrame([(["NM:i:1", "XZ:Z:a:b", "XA"],), (["NM:i:1", "XZ:Z:a", "NM:i:2"],), ([],), (None,)], "f array<string>")
+    made = df.select(tags.tags_from_fields("f").alias("t"))
+    found = [r.e and [tuple(x) for x in r.e] for r in made.select(F.transform(F.map_entries("t"), lambda e: F.struct(e["key"], e["value"]["type"], e["value"]["value"])).alias("e")).collect()]
+    assert found[0] == [("NM", "i", "1"), ("XZ", "Z", "a:b"), ("XA", None, None)] and found[1] == [("XZ", "Z", "a"), ("NM", "i", "2")]
+    assert not found[2] and found[3] is None
+    assert "map_from_entries" in _plan(df.select(tags.tags_from_fields("f")))
+
+
+def test_encoding_works_its_argument_out_once(spark):
+    df = spark.createDataFrame([([0, 40, 93],), ([94],), ([-1, None],), ([1, None],), ([],), (None,)], "q array<int>")
+    out = df.select(bases.phred_encode(F.reverse("q")).alias("t"))
+    assert [r.t for r in out.collect()] == ["~I!", None, None, None, "", None]
+    assert _plan(out).count("reverse(") == 1
