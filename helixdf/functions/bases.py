@@ -41,10 +41,12 @@ def phred_decode(qual) -> Column:
 
 def phred_encode(quals) -> Column:
     """``ARRAY<INT>`` 0..93 -> Phred+33 text; NULL if any value is out of range."""
-    a = _c(quals)
-    bad = F.exists(a, lambda x: (x < 0) | (x > MAX_PHRED))
-    text = F.array_join(F.transform(a, lambda x: F.char(x + PHRED_OFFSET)), "")
-    return F.when(~bad, text)
+    def encoded(a):
+        bad = F.exists(a, lambda x: (x < 0) | (x > MAX_PHRED))
+        return F.when(~bad, F.array_join(F.transform(a, lambda x: F.char(x + PHRED_OFFSET)), ""))
+
+    # inside a list of one the argument is worked out once for both uses
+    return F.get(F.transform(F.array(_c(quals)), encoded), F.lit(0))
 
 
 def fix_illumina_quals(quals) -> Column:

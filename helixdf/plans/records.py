@@ -271,10 +271,11 @@ select qname, array_to_string(list_transform({_QS}, lambda x: chr(least(x + 5, 9
  array_to_string(list_transform({_QS}, lambda x: chr(x + 33)), '') = qual as roundtrip
 from reads""")
 def q_phred_encode(spark, sf_dir):
-    q = bs.phred_decode("qual")
-    return _reads(spark, sf_dir).select(
-        "qname", bs.phred_encode(F.transform(q, lambda x: F.least(x + 5, F.lit(93)))).alias("shifted"),
-        (bs.phred_encode(q) == F.col("qual")).alias("roundtrip"))
+    # decoded once for both columns
+    q = _reads(spark, sf_dir).select("qname", "qual", bs.phred_decode("qual").alias("q"))
+    return q.select(
+        "qname", bs.phred_encode(F.transform("q", lambda x: F.least(x + 5, F.lit(93)))).alias("shifted"),
+        (bs.phred_encode("q") == F.col("qual")).alias("roundtrip"))
 
 
 @query("original_qualities", W("reads") + """
