@@ -87,15 +87,19 @@ def _out_of_range(lo: int, hi: int):
 
 def tags_from_fields(fields) -> Column:
     """Array of ``TG:T:VALUE`` strings -> tag map; a repeated tag keeps the last value."""
-    entries = F.transform(_c(fields), split_tag)
+    # three steps, so that a field is split once
+    parts = F.transform(_c(fields), lambda t: F.split(t, ":", 3))
+    entries = F.transform(parts, lambda p: F.struct(F.get(p, F.lit(0)).alias("tag"), F.struct(
+        F.get(p, F.lit(1)).alias("type"), F.get(p, F.lit(2)).alias("value")).alias("entry")))
     empty = F.create_map().cast(TAGS_TYPE)
 
     def add(m, e):
         kept = F.map_filter(m, lambda k, _v: k != e["tag"])
-        return F.map_concat(kept, F.create_map(e["tag"], F.struct(e["type"].alias("type"),
-                                                                   e["value"].alias("value"))))
+        return F.map_concat(kept, F.create_map(e["tag"], e["entry"]))
 
-    return F.aggregate(entries, empty, add)
+    names = F.transform(parts, lambda p: F.get(p, F.lit(0)))
+    repeated = F.size(F.array_distinct(names)) < F.size(names)
+    return F.when(repeated, F.aggregate(entries, empty, add)).otherwise(F.map_from_entries(entries))
 
 
 def tag_type(tags, name: str) -> Column:

@@ -79,10 +79,10 @@ def q_parse_tags(spark, sf_dir):
 
 def parsed_tags(texts):
     t = texts.select("qname", F.explode("fields").alias("t"))
-    s = t.select("qname", tg.split_tag("t").alias("s"))
-    return s.select("qname", F.col("s.tag").alias("tag"), F.col("s.type").alias("type"),
-                    F.col("s.value").alias("value"),
-                    tg.tag_error(F.col("s.type"), F.col("s.value")).alias("error"))
+    # the parts are a column of their own, so that a tag is split once
+    parts = t.select("qname", F.split("t", ":", 3).alias("p"))
+    s = parts.select("qname", *[F.get("p", F.lit(i)).alias(name) for i, name in enumerate(("tag", "type", "value"))])
+    return s.select("qname", "tag", "type", "value", tg.tag_error("type", "value").alias("error"))
 
 
 @query("typed_tag", W("reads") + _TAG_TEXTS_SQL + """
