@@ -168,7 +168,8 @@ def mark_duplicates(reads: DataFrame, library: Column | None = None) -> DataFram
     frag_dup = (frags.join(best_frag, ["_lib", "e1"]).join(pair_ends, ["_lib", "e1"], "left")
                 .select("qname", "_lib", ((F.col("qname") != F.col("_best")) | F.col("_taken").isNotNull()).alias("dup")))
 
-    dups = pair_dup.unionByName(frag_dup)
+    # a name that is not here is no duplicate: most names need not travel to the reads
+    dups = pair_dup.unionByName(frag_dup).filter("dup")
     out = reads.join(dups, ["qname", "_lib"], "left")
     marked = fl.set_bit("flag", fl.DUPLICATE, F.coalesce("dup", F.lit(False)))
     return out.withColumn("flag", F.when(fl.is_primary("flag"), marked).otherwise(F.col("flag"))).select(
