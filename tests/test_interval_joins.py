@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,17 @@ def test_depth_of_150_base_reads(spark, monkeypatch, cells):
     df = spark.createDataFrame(rows, "flag int, ref_index int, pos int, cigar string, seq string").repartition(4)
     assert sorted(map(tuple, pileup.locus_depth(df).collect())) == plain_depth(rows)
     assert pileup.locus_depth(df.limit(0)).count() == 0
+
+
+def test_depth_reads_cigars_in_batches_and_packs_its_vectors(spark):
+    df = spark.createDataFrame([(0, 0, 4090, "10M0M2I5M", "ACGTACGTACGTTTTAAéC"), (0, 0, 4090, "*", "A"), (0, 0, 4090, None, "A"), (0, 0, 9, "3M", None)],
+                               "flag int, ref_index int, pos int, cigar string, seq string")
+    out = pileup.locus_depth(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and "binary" in pileup._VECTOR  # CIGARs are not folded row by row; 4 bytes a cell
+    assert sorted((r.pos, r.depth, r.n_n) for r in out.collect()) == [(p, 1, 0) for p in range(4090, 4105)]
+    deep, n = pileup._packed(np.array([5, 9]), np.array([200_000, 3]))
+    assert n.tolist() == [4, 1] and (deep & 0xFFFF).sum() == 200_003 and (deep >> 16).tolist() == [5, 5, 5, 5, 9]
+    vector = pileup._vectors(np.array([(1 << 39) | 8, (1 << 39) | 10]), np.array([200_000, 70_000]))
+    rows = [r for b in pileup._merged(iter([vector, vector])) for r in b.to_pylist()]
+    assert [(r["ref_index"], r["pos"], r["depth"], r["n_a"], r["n_g"]) for r in rows] == [(0, 1, 540_000, 400_000, 140_000)]
