@@ -39,6 +39,15 @@ def _blocks(text: str | None) -> list[tuple[int, int, int]]:
     return out
 
 
+_LEAD, _TRAIL = re.compile("^([0-9]+[SH])+"), re.compile("([0-9]+[SH])+$")
+
+
+def clips_and_span(text: str | None) -> tuple[int, int, int]:
+    """Leading clip, reference bases and trailing clip of a CIGAR (``functions.cigar``)."""
+    lead, trail = (sum(n for n, _ in elements(m.group())) if (m := r.search(text or "")) else 0 for r in (_LEAD, _TRAIL))
+    return lead, sum(n for n, op in elements(text) if op in cg.CONSUMES_REF), trail
+
+
 def distinct(column: pa.Array) -> tuple[list[str | None], np.ndarray]:
     """The distinct texts of a column and each row's place among them."""
     coded = pc.dictionary_encode(column, null_encoding="encode")

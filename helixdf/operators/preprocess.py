@@ -10,8 +10,13 @@ may hold a large share of the data.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import bases as bs
 from ..functions import cigar as cg
@@ -19,9 +24,11 @@ from ..functions import coords as co
 from ..functions import flags as fl
 from . import islands as isl
 from . import records as rec
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
+from .blocks import clips_and_span, distinct
 from .covariates import count_covariates
 from .recalibrate import recalibrate
+from .reference import octets, row_sums
 
 _ELEM = "struct<len:int,op:string>"
 
@@ -103,6 +110,9 @@ def clean_reads(reads: DataFrame, contigs: DataFrame) -> DataFrame:
 
 # Fixed value: bases below this quality do not count towards a read's score.
 MIN_SCORE_QUALITY = 15
+#: Bytes of a quality text to what they add to the score.
+SCORES = np.zeros(256, dtype=np.int64)
+SCORES[MIN_SCORE_QUALITY + bs.PHRED_OFFSET:bs.MAX_PHRED + bs.PHRED_OFFSET + 1] = np.arange(MIN_SCORE_QUALITY, bs.MAX_PHRED + 1)
 
 
 def read_score(qual) -> Column:
@@ -130,6 +140,40 @@ def end_key(ref_index, five_prime_pos, reverse) -> Column:
     return F.shiftleft(r, 33) + p * 2 + _c(reverse).cast("long")
 
 
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of mapped reads: packed 5' end (``five_prime``, ``end_key``) and score (``read_score``)."""
+    for batch in batches:
+        column = {name: batch.column(name) for name in ("ref_index", "pos", "cigar", "flag", "qual")}
+        texts, which = distinct(column["cigar"])
+        lead, span, trail = (np.array(x, dtype=np.int64)[which] for x in zip(*map(clips_and_span, texts))) if texts else [np.zeros(0, dtype=np.int64)] * 3
+        known = np.ones(batch.num_rows, dtype=bool)
+        for name in ("ref_index", "pos", "cigar"):
+            known &= column[name].is_valid().to_numpy(zero_copy_only=False)
+        ref, pos, flag = (column[n].fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("ref_index", "pos", "flag"))
+        back = (flag & fl.REVERSE != 0).astype(np.int64)
+        place = np.where(back == 1, pos + span - 1 + trail, pos - lead)
+        end = ((ref + 1) << 33) + (place + (1 << 31)) * 2 + back
+        data, at = octets(column["qual"])
+        score = row_sums(SCORES[data], at)
+        absent = column["qual"].is_null().to_numpy(zero_copy_only=False)
+        rest = [n for n in batch.schema.names if n not in column]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), pa.array(end, mask=~known), pa.array(score, mask=absent)], [*rest, "end", "score"])
+
+
+def read_ends(mapped: DataFrame, keep: list[str]) -> DataFrame:
+    """qname, ``keep``, packed 5' end and score of mapped reads, by numpy over batches."""
+    rows = mapped.select("qname", *keep, "ref_index", "pos", "cigar", "flag", "qual")
+    out = T.StructType([rows.schema[n] for n in ("qname", *keep)] + [T.StructField(n, T.LongType()) for n in ("end", "score")])
+    return rows.mapInArrow(_ends, out)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the checkpoint folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def mark_duplicates(reads: DataFrame, library: Column | None = None) -> DataFrame:
     """Flag duplicates (0x400) among mapped reads.
 
@@ -146,31 +190,26 @@ def mark_duplicates(reads: DataFrame, library: Column | None = None) -> DataFram
     the map side), then joined back on one-row-per-key tables: a position
     holding a third of all reads costs no single-task window.
     """
-    reads = reads.withColumn("_lib", F.coalesce(library, F.lit("")) if library is not None else F.lit("LIB1"))
+    own = [] if library is None else ["_lib"]
+    reads = reads if library is None else reads.withColumn("_lib", F.coalesce(library, F.lit("")))
     m = reads.filter(fl.is_mapped("flag") & fl.is_primary("flag"))
-    ends = m.select("qname", "_lib", end_key("ref_index", five_prime(), fl.has("flag", fl.REVERSE)).alias("end"),
-                    read_score("qual").alias("score"))
-    per_name = ends.groupBy("qname", "_lib").agg(
-        F.count(F.lit(1)).alias("n"), F.min("end").alias("e1"), F.max("end").alias("e2"),
-        F.sum("score").alias("score"))
-    pairs = per_name.filter(F.col("n") >= 2)
-    frags = per_name.filter(F.col("n") == 1)
+    # the names are read by five steps below: they are worked out and written once
+    names = _stored(read_ends(m, own).groupBy("qname", *own).agg(
+        (F.count(F.lit(1)) >= 2).alias("paired"), F.min("end").alias("e1"), F.max("end").alias("e2"), F.sum("score").alias("score")), "names")
 
+    # a fragment's ends are equal, so pairs and fragments share one key
+    key = [*own, "paired", "e1", "e2"]
     pick = F.min_by("qname", F.struct((-F.col("score")).alias("s"), F.col("qname").alias("q")))
-    best_pair = pairs.groupBy("_lib", "e1", "e2").agg(pick.alias("_best"))
-    pair_dup = (pairs.join(best_pair, ["_lib", "e1", "e2"])
-                .select("qname", "_lib", (F.col("qname") != F.col("_best")).alias("dup")))
+    best = names.groupBy(*key).agg(pick.alias("_best"), F.count(F.lit(1)).alias("_k")).filter("_k > 1")
+    beaten = names.join(best, key).filter(F.col("qname") != F.col("_best")).select("qname", *own)
 
-    pair_ends = (pairs.select("_lib", F.col("e1").alias("e1"))
-                 .unionByName(pairs.select("_lib", F.col("e2").alias("e1"))).distinct()
-                 .withColumn("_taken", F.lit(True)))
-    best_frag = frags.groupBy("_lib", "e1").agg(pick.alias("_best"))
-    frag_dup = (frags.join(best_frag, ["_lib", "e1"]).join(pair_ends, ["_lib", "e1"], "left")
-                .select("qname", "_lib", ((F.col("qname") != F.col("_best")) | F.col("_taken").isNotNull()).alias("dup")))
+    pairs = names.filter("paired")
+    pair_ends = pairs.select(*own, "e1").unionByName(pairs.select(*own, F.col("e2").alias("e1"))).distinct()
+    taken = names.filter(~F.col("paired")).join(pair_ends, [*own, "e1"], "left_semi").select("qname", *own)
 
     # a name that is not here is no duplicate: most names need not travel to the reads
-    dups = pair_dup.unionByName(frag_dup).filter("dup")
-    out = reads.join(dups, ["qname", "_lib"], "left")
+    dups = beaten.unionByName(taken).distinct().withColumn("dup", F.lit(True))
+    out = reads.join(dups, ["qname", *own], "left")
     marked = fl.set_bit("flag", fl.DUPLICATE, F.coalesce("dup", F.lit(False)))
     return out.withColumn("flag", F.when(fl.is_primary("flag"), marked).otherwise(F.col("flag"))).select(
         *[c for c in reads.columns if c != "_lib"])

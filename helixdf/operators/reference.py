@@ -88,18 +88,23 @@ def with_reference(seg: DataFrame, ref_chunks: DataFrame) -> DataFrame:
     return j.withColumn("ref_cut", ref_cut).drop("_ri", "_c", "text")
 
 
-def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Texts as one byte array and the border of each (null: empty). Characters outside ASCII
-    become ``?``, so that a character is a byte."""
+def octets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as one array of their UTF-8 bytes and the border of each (null: empty)."""
     raw = column.cast(pa.large_binary())
     if not len(raw) or raw.buffers()[2] is None:
         return np.zeros(0, dtype=np.uint8), np.zeros(len(raw) + 1, dtype=np.int64)
     at = np.frombuffer(raw.buffers()[1], dtype=np.int64)[raw.offset:raw.offset + len(raw) + 1]
-    data = np.frombuffer(raw.buffers()[2], dtype=np.uint8)[at[0]:at[-1]]
+    return np.frombuffer(raw.buffers()[2], dtype=np.uint8)[at[0]:at[-1]], at - at[0]
+
+
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as one byte array and the border of each (null: empty). Characters outside ASCII
+    become ``?``, so that a character is a byte."""
+    data, at = octets(column)
     if len(data) and data.max() > 127:
         ascii_only = [b"" if s is None else s.encode("ascii", "replace") for s in column.to_pylist()]
-        return flat(pa.array(ascii_only, type=pa.large_binary()))
-    return data, at - at[0]
+        return octets(pa.array(ascii_only, type=pa.large_binary()))
+    return data, at
 
 
 def row_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:

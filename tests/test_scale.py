@@ -100,3 +100,28 @@ def test_only_duplicates_are_joined_back(spark):
     rows = [("a", 0, 1, 100, "4M", "IIII"), ("b", 0, 1, 100, "4M", "5555"), ("c", 1024, 1, 200, "4M", "IIII"), ("d", 4, -1, 0, "*", "IIII")]
     out = preprocess.mark_duplicates(spark.createDataFrame(rows, "qname string, flag int, ref_index int, pos int, cigar string, qual string"))
     assert sorted((r.qname, r.flag) for r in out.collect()) == [("a", 0), ("b", 1024), ("c", 0), ("d", 4)]
+
+
+def test_ends_and_scores_are_worked_out_once(spark):
+    cols = "qname string, flag int, ref_index int, pos int, cigar string, qual string"
+    rng = random.Random(8)
+    rows = [(f"n{i}", rng.choice((0, 16)), rng.choice((0, 3, None)), rng.choice((1, 900, -5)), rng.choice(("4M", "2H3S4M1D2M5S1H", "*", None, "3S", "7Q2M", "")),
+             rng.choice(("IIII", "!+5~", "Ié?", "*", "", None))) for i in range(300)]
+    df = spark.createDataFrame(rows, cols)
+    plain = df.select("qname", preprocess.end_key("ref_index", preprocess.five_prime(), F.col("flag") == 16).alias("end"), preprocess.read_score("qual").alias("score"))
+    assert sorted(map(str, preprocess.read_ends(df, []).collect())) == sorted(map(str, plain.collect()))
+    # the scan stands in the plan for the flags only, not for each of the five uses of the names
+    plan = _plan(preprocess.mark_duplicates(df.withColumn("flag", F.when(F.md5("qname") != "x", F.col("flag")))))
+    assert plan.count("md5(") == 1 and "lambdafunction" not in plan
+
+
+def test_marks_by_library_and_taken_fragments(spark):
+    cols = "qname string, lib string, flag int, ref_index int, pos int, cigar string, qual string"
+    rows = [("p", "a", 99, 1, 100, "4M", "IIII"), ("p", "a", 147, 1, 300, "4M", "IIII"), ("q", "a", 99, 1, 100, "4M", "III5"), ("q", "a", 147, 1, 300, "4M", "IIII"),
+            ("f", "a", 0, 1, 100, "4M", "~~~~"), ("g", "a", 0, 1, 100, "4M", "IIII"), ("f", "b", 0, 1, 100, "4M", "~~~~"), ("h", None, 0, 1, 100, "4M", "IIII")]
+    df = spark.createDataFrame(rows, cols)
+    marked = preprocess.mark_duplicates(df, F.col("lib"))
+    assert sorted((r.qname, r.lib or "", r.flag >= 1024) for r in marked.collect()) == sorted(
+        [("p", "a", False)] * 2 + [("q", "a", True)] * 2 + [("f", "a", True), ("g", "a", True), ("f", "b", False), ("h", "", False)])
+    found = {r.library: (r.unpaired_examined, r.pairs_examined, r.unpaired_duplicates, r.pair_duplicates) for r in preprocess.duplicate_metrics(marked, F.col("lib")).collect()}
+    assert found == {"a": (2, 2, 2, 1), "b": (1, 0, 0, 0), "": (1, 0, 0, 0)}
