@@ -164,6 +164,17 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
+# Spark's form of a fixture whose plain SQL does not scale: the same rows and types. The tiles that
+# reads touch are first united as bits, 64 tiles to a row, and written out once each.
+SPARK_SQL = {"ref_tiles": """select ref_index, tile, translate(md5(concat('g',cast(ref_index as varchar(20)),'-',cast(tile as varchar(20)))),'0123456789abcdef','ACGTACGTACGTACGT') as bases
+from (select ref_index, cast((word << 6) + bit as int) as tile from
+ (select ref_index, word, bit_or(bits) as bits from
+  (select ref_index, word, aggregate(sequence(greatest(first, word << 6), least(first + 5, (word << 6) + 63)), 0L, (a, t) -> a | shiftleft(1L, t & 63)) as bits
+   from (select ref_index, (pos - 1) >> 5 as first, explode(sequence(((pos - 1) >> 5) >> 6, (((pos - 1) >> 5) + 5) >> 6)) as word from reads where ref_index >= 0))
+  group by ref_index, word)
+ lateral view explode(sequence(0, 63)) b as bit where (bits >> bit) & 1 = 1)"""}
+
+
 def _closure(names) -> list[str]:
     out: list[str] = []
 
@@ -215,7 +226,7 @@ class Fixtures:
                 for t in DRIVER_TABLES:
                     if t in sql:
                         self.table(t).createOrReplaceTempView(t)
-                df = self.spark.sql(sql)
+                df = self.spark.sql(SPARK_SQL.get(dep, sql))
                 df.createOrReplaceTempView(dep)
                 self._cache[dep] = df
         return self._cache[name]

@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from ..functions import bases as bs
 from ..functions import flags as fl
-from .reference import ABSENT, CHUNK_SHIFT, GAP, UPPER, chunks, flat, padded, row_sums, segments, with_reference
+from .blocks import runs
+from .reference import ABSENT, CHUNK, CHUNK_SHIFT, GAP, UPPER, blobs, chunks, flat, octets, parts, reference_bases, segments, unpacked_bases, with_reference
 
 COMPLEMENT = np.arange(256, dtype=np.uint8)
 COMPLEMENT[np.frombuffer(b"ACGT", dtype=np.uint8)] = np.frombuffer(b"TGCA", dtype=np.uint8)
@@ -70,9 +71,29 @@ def _counted(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ["rg", "q", "cycle", "context", "observations", "mismatches"])
 
 
+def _by_segment(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A row per segment: its bases with one neighbour on each side, qualities, reference and known sites."""
+    seg, first, size = parts(batch)
+    row, k = np.repeat(seg, size), runs(size)
+    ref = reference_bases(batch, row, np.repeat(first, size) + k)
+    wide = unpacked_bases(batch.column("read_cut"), np.bincount(seg, weights=size + 2, minlength=batch.num_rows).astype(np.int64))
+    start = np.frombuffer(octets(batch.column("offsets"))[0].tobytes(), dtype="<u4").astype(np.int64) + 1
+    own = batch.column("known").take(pa.array(seg))
+    site = own.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    at = pc.list_parent_indices(own).to_numpy(zero_copy_only=False).astype(np.int64)
+    place = ((site - 1) & (CHUNK - 1)) - first[at]
+    inside = (place >= 0) & (place < size[at])
+    border = np.concatenate(([0], np.cumsum(np.bincount(at[inside], minlength=len(seg)))))
+    return pa.RecordBatch.from_pydict({
+        "rg": batch.column("rg").take(pa.array(seg)), "read_cut": blobs(wide, size + 2), "qual_cut": blobs(octets(batch.column("qual_cut"))[0], size),
+        "ref_cut": blobs(ref, size), "neg": batch.column("neg").take(pa.array(seg)), "n": batch.column("n").take(pa.array(seg)),
+        "seg_read": pa.array(start), "seg_ref": pa.array(first),
+        "known": pa.ListArray.from_arrays(pa.array(border.astype(np.int32)), pa.array((first[at] + place)[inside]))})
+
+
 def _all_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from _counted(batch)
+        yield from _counted(_by_segment(batch))
 
 
 def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
@@ -93,16 +114,12 @@ def count_covariates(reads: DataFrame, ref_tiles: DataFrame, known: DataFrame, r
     ``context`` is the base and its predecessor in read orientation, NULL at the first.
     """
     table = chunks(ref_tiles).join(_sites(known), ["ref_index", "chunk"], "left")
-    here, size, first = F.col("seg_read"), F.col("seg_len"), F.col("seg_read") == 1
     seq = F.when(F.col("seq") == "*", "").otherwise(F.coalesce("seq", F.lit("")))
     qual = F.when((F.col("qual") == "*") & (F.length("seq") != 1), "").otherwise(F.coalesce("qual", F.lit("")))
-    flanked = F.when(first, F.concat(F.lit(ABSENT), F.substring(seq, F.lit(1), size + 1))) \
-        .otherwise(F.substring(seq, here - 1, size + 2))
-    cut = {"read_cut": F.rpad(flanked, size + 2, ABSENT), "qual_cut": padded(qual, here, size, ABSENT),
-           "neg": F.coalesce(fl.has("flag", fl.REVERSE), F.lit(False)), "n": F.coalesce(F.length("seq"), F.lit(0))}
-    j = with_reference(segments(reads.withColumn("rg", F.col(rg)), ["rg"], cut), table)
-    inside = F.filter("_known", lambda p: (p >= F.col("seg_ref")) & (p < F.col("seg_ref") + F.col("seg_len")))
-    j = j.select("rg", "read_cut", "qual_cut", "ref_cut", "neg", "n", "seg_read", "seg_ref", inside.alias("known"))
+    own = reads.select(F.col(rg).alias("rg"), F.coalesce(fl.has("flag", fl.REVERSE), F.lit(False)).alias("neg"), "ref_index", "pos", "cigar",
+                       seq.alias("seq"), qual.alias("qual"))
+    seg = segments(own, ["rg", "neg"], flank=1).filter(F.length("parts") > 0).drop("alone")
+    j = with_reference(seg, table).withColumnRenamed("_known", "known")
     out = T.StructType([j.schema["rg"], *_fields(T.IntegerType(), "q", "cycle"), *_fields(T.StringType(), "context"),
                         *_fields(T.LongType(), "observations", "mismatches")])
     counted = j.mapInArrow(_all_counted, out).groupBy("rg", "q", "cycle", "context")
@@ -112,15 +129,19 @@ def count_covariates(reads: DataFrame, ref_tiles: DataFrame, known: DataFrame, r
 
 def _gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ref, at = flat(batch.column("ref_cut"))
-        yield pa.RecordBatch.from_arrays([batch.column("rg"), pa.array(np.diff(at)), pa.array(row_sums(ref == ord(GAP), at))],
-                                         ["rg", "aligned", "uncovered"])
+        own, first, n = parts(batch)
+        row = np.repeat(own, n)
+        gap = reference_bases(batch, row, np.repeat(first, n) + runs(n)) == ord(GAP)
+        sums = [np.bincount(own, weights=n, minlength=batch.num_rows), np.bincount(row, weights=gap, minlength=batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([batch.column("rg"), *[pa.array(x.astype(np.int64)) for x in sums]], ["rg", "aligned", "uncovered"])
 
 
 def uncovered_bases(reads: DataFrame, ref_tiles: DataFrame, rg: str = "rg") -> DataFrame:
     """Per ``rg``: aligned bases and those of them that no tile of the reference holds, which
     ``count_covariates`` leaves out."""
-    j = with_reference(segments(reads.withColumn("rg", F.col(rg)), ["rg"], {}), chunks(ref_tiles)).select("rg", "ref_cut")
+    bare = reads.select(F.col(rg).alias("rg"), "ref_index", "pos", "cigar", F.lit(None).cast("string").alias("seq"))
+    seg = segments(bare, ["rg"]).filter(F.length("parts") > 0).drop("read_cut", "alone")
+    j = with_reference(seg, chunks(ref_tiles))
     out = T.StructType([j.schema["rg"], *_fields(T.LongType(), "aligned", "uncovered")])
     sums = [F.sum(name).alias(name) for name in ("aligned", "uncovered")]
     return j.mapInArrow(_gaps, out).groupBy("rg").agg(*sums).withColumnRenamed("rg", rg)

@@ -119,3 +119,35 @@ def test_empty_tables(spark):
     assert {r.mismatches for r in reference.mismatch_stats(df, ref.limit(0), ["qname"]).collect()} == {0}
     assert covariates.count_covariates(df, ref.limit(0), sites).count() == 0
     assert covariates.count_covariates(df, ref, sites.limit(0)).count() > 0
+
+
+def test_tiles_built_from_bits_are_the_tiles_of_the_sql(spark):
+    from helixdf import fixtures as fx
+    f = fx.load(spark, "/root/testdata/sf0.001")
+    f.reads.createOrReplaceTempView("reads")
+    plain, made = spark.sql(fx.REF_TILES_SQL), f.ref_tiles
+    assert plain.dtypes == made.dtypes and sorted(map(tuple, plain.collect())) == sorted(map(tuple, made.collect()))
+    odd = spark.range(7).selectExpr("1 as ref_index", "cast(array(0, 1, 32 * 58 + 1, 32 * 59, 32 * 60, 32 * 63 + 1, 2000)[id] as int) as pos")
+    odd.createOrReplaceTempView("reads")
+    want = {((p - 1) >> 5) + k for p in (0, 1, 1857, 1888, 1920, 2017, 2000) for k in range(6)}
+    assert sorted(r.tile for r in spark.sql(fx.SPARK_SQL["ref_tiles"]).collect()) == sorted(want)
+
+
+def test_a_read_in_one_chunk_is_one_narrow_row(spark):
+    reads = spark.createDataFrame([("a", 0, 0, 5, "10M2I20M30N20M", "ACGT" * 13, "I" * 52), ("b", 0, 0, 500, "52M", "ACGTN" * 10 + "xA", "I" * 52),
+                                   ("c", 4, -1, 0, "*", "*", "*")], "qname string, flag int, ref_index int, pos int, cigar string, seq string, qual string")
+    rows = reference.segments(reads, ["qname"]).collect()
+    assert sorted((r.qname, r.alone, len(r.parts) // 4, len(r.read_cut)) for r in rows) == [("a", True, 3, 25), ("b", False, 1, 7), ("b", False, 1, 39), ("c", True, 0, 0)]
+    tiles = spark.createDataFrame([(0, 0, "acgt" * 8), (0, 1, "ACGN" * 8), (0, 18, "ACG")], "ref_index int, tile int, bases string")
+    chunk, last = sorted(reference.chunks(tiles).collect(), key=lambda r: r.chunk)
+    assert chunk.p0 == int("0123" * 8, 4) and chunk.p1 is None and chunk.odd[32:64] == "ACGN" * 8
+    assert last.odd == " " * 64 + "ACG" + " " * 445
+
+
+def test_packed_bases_come_back():
+    import numpy as np
+    size = np.array([0, 1, 3, 4, 5, 2])
+    text = np.frombuffer(b"N" + b"ACG" + b"TTNK" + b"ACx=A" + b"\x1fA", dtype=np.uint8)
+    packed = reference.packed_bases(text, size)
+    assert [len(b) for b in packed.to_pylist()] == [0, 1, 2, 2, 5, 1]
+    assert bytes(reference.unpacked_bases(packed, size)) == bytes(text)
