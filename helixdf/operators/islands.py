@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 # Fixed value: reads closer than this to the running island end join it.
 INTERVAL_OVERLAP = 51
 
@@ -47,25 +49,26 @@ def islands(intervals: DataFrame, gap: int = INTERVAL_OVERLAP, bucket_shift: int
     After the local islands of each bucket, a local island starts a new
     global island exactly when its start lies more than ``gap`` past the
     largest end of all earlier buckets (earlier local islands of its own
-    bucket are already farther away by the local rule). That prefix maximum
-    and the running count of opened islands are windows over the bucket
-    summary table (one row per bucket, <= contig length / 16 kbp rows per
-    contig); the final grouping by island id is an ordinary aggregation.
+    bucket are already farther away by the local rule). So the others are the
+    first ones of their bucket and belong to the last island opened in an earlier
+    bucket. Both values are windows over the bucket summary table (one row per
+    bucket, <= contig length / 16 kbp rows per contig), and an island is known by the
+    start that opened it; the final grouping by it is an ordinary aggregation.
     """
     pre = (intervals.groupBy(key, "start")
            .agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n")))
     local = _islands_once(pre.withColumn("_b", F.shiftright("start", bucket_shift)),
                           [key, "_b"], gap, "n")
     earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    summary = (local.groupBy(key, "_b").agg(F.max("end").alias("_bmax"))
-               .withColumn("_prev", F.max("_bmax").over(earlier)))
-    flagged = local.join(summary.select(key, "_b", "_prev"), [key, "_b"]).withColumn(
-        "_open", F.when(F.col("_prev").isNull() | (F.col("start") > F.col("_prev") + gap), 1).otherwise(0))
-    opened = (flagged.groupBy(key, "_b").agg(F.sum("_open").alias("_c"))
-              .withColumn("_base", F.coalesce(F.sum("_c").over(earlier), F.lit(0))))
-    within = Window.partitionBy(key, "_b").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = (flagged.join(opened.select(key, "_b", "_base"), [key, "_b"])
-                .withColumn("_gid", F.col("_base") + F.sum("_open").over(within)))
+
+    def opens(start):
+        return F.col("_prev").isNull() | (F.col(start) > F.col("_prev") + gap)
+
+    summary = (local.groupBy(key, "_b").agg(F.max("end").alias("_bmax"), F.max("start").alias("_smax"))
+               .withColumn("_prev", F.max("_bmax").over(earlier))
+               .withColumn("_carry", F.max(F.when(opens("_smax"), F.col("_smax"))).over(earlier)))
+    numbered = local.join(summary.select(key, "_b", "_prev", "_carry"), [key, "_b"]).withColumn(
+        "_gid", F.when(opens("start"), F.col("start")).otherwise(F.col("_carry")))
     merged = numbered.groupBy(key, "_gid").agg(F.min("start").alias("start"), F.max("end").alias("end"),
                                                F.sum("n").alias("n"))
     return merged.select(F.col(key), F.col("start").cast("int").alias("island_start"),
@@ -77,20 +80,18 @@ def islands(intervals: DataFrame, gap: int = INTERVAL_OVERLAP, bucket_shift: int
 MERGE_SHIFT, MERGE_GROUP_SHIFT = 14, 10
 
 
-def _before(summary: DataFrame, key: str, value: str, how, out: str) -> DataFrame:
-    """``how`` (F.max or F.sum) of ``value`` over all earlier buckets ``_b`` of a key, in two
+def _before(summary: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """The summary with the largest ``value`` of all earlier buckets ``_b`` of a key, in two
     levels: earlier buckets of the bucket's group, and earlier groups. No window holds more
     than a group's buckets or a key's groups."""
     def earlier(*part, by):
         return Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
 
     rows = summary.withColumn("_sb", F.shiftright("_b", MERGE_GROUP_SHIFT))
-    groups = (rows.groupBy(key, "_sb").agg(how(value).alias("_gv"))
-              .withColumn("_gbefore", how("_gv").over(earlier(key, by="_sb"))).select(key, "_sb", "_gbefore"))
-    inner = rows.withColumn("_ibefore", how(value).over(earlier(key, "_sb", by="_b")))
-    total = (F.greatest("_ibefore", "_gbefore") if how is F.max
-             else F.coalesce("_ibefore", F.lit(0)) + F.coalesce("_gbefore", F.lit(0)))
-    return inner.join(groups, [key, "_sb"]).select(key, "_b", total.alias(out))
+    groups = (rows.groupBy(key, "_sb").agg(F.max(value).alias("_gv"))
+              .withColumn("_gbefore", F.max("_gv").over(earlier(key, by="_sb"))).select(key, "_sb", "_gbefore"))
+    inner = rows.withColumn("_ibefore", F.max(value).over(earlier(key, "_sb", by="_b")))
+    return inner.join(groups, [key, "_sb"]).withColumn(out, F.greatest("_ibefore", "_gbefore")).drop("_sb", "_ibefore", "_gbefore")
 
 
 def merge_ranges(ranges: DataFrame, overlap: int, name_col: str = "ref_name") -> DataFrame:
@@ -101,12 +102,13 @@ def merge_ranges(ranges: DataFrame, overlap: int, name_col: str = "ref_name") ->
     Names compare case-insensitively; a merged range has the name of its first range
     (of equal starts the least). Returns ``name, start, end`` (1-based).
 
-    Ranges are first reduced to one row per widened start (combined map-side). Windows hold
-    one 16 kbp bucket of starts; the largest end and the number of merged ranges before a
-    bucket come from bucket summaries joined in two levels (``_before``), so none holds a
-    whole contig. A range that ends at or before its widened start (possible when ``overlap``
-    is 0) takes in no follower, so copies of it stay apart. Ranges with a null name, start or
-    end are left out.
+    Ranges are first reduced to one row per widened start (combined map-side) and merged inside
+    16 kbp buckets of starts; what is left is written once to the checkpoint folder. The largest end
+    before a bucket comes from bucket summaries joined in two levels (``_before``), so no window
+    holds a whole contig. A bucket's merged range that starts under that end belongs to the last range
+    opened before the bucket, which the summaries give, too. A range that ends at or before its
+    widened start (possible when ``overlap`` is 0) takes in no follower, so copies of it stay
+    apart. Ranges with a null name, start or end are left out.
     """
     df = ranges.select(F.lower(F.col(name_col)).alias("_name"), F.col(name_col).alias("_orig"),
                        (F.col("start") - overlap).alias("_s"), F.col("end").alias("end")).dropna()
@@ -114,19 +116,26 @@ def merge_ranges(ranges: DataFrame, overlap: int, name_col: str = "ref_name") ->
     pre = (df.groupBy("_name", "_s", closed.alias("_closed"))
            .agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("_n"), F.min("_orig").alias("_orig"))
            .withColumn("_b", F.shiftright("_s", MERGE_SHIFT)))
-    bounds = _before(pre.groupBy("_name", "_b").agg(F.max("end").alias("_bmax")), "_name", "_bmax", F.max, "_prev")
-    local = Window.partitionBy("_name", "_b").orderBy("_s", "end")
-    reach = F.greatest(F.col("_prev"), F.max("end").over(local.rowsBetween(Window.unboundedPreceding, -1)))
-    opened = (pre.join(bounds, ["_name", "_b"]).withColumn("_reach", reach)
-              .withColumn("_open", F.when(F.col("_reach").isNull() | (F.col("_s") >= F.col("_reach")), 1).otherwise(0)))
-    starts = _before(opened.groupBy("_name", "_b").agg(F.sum("_open").alias("_c")), "_name", "_c", F.sum, "_base")
-    number = F.col("_base") + F.sum("_open").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    numbered = opened.join(starts, ["_name", "_b"]).withColumn("_g", number)
-    alone = (F.col("_open") == 1) & F.col("_closed").isNotNull()
-    first = F.greatest(F.col("_s"), F.lit(1))
-    copies = (numbered.filter(alone).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-              .select(F.col("_orig").alias("name"), first.alias("start"), "end"))
-    return (numbered.filter(~alone).groupBy("_name", "_g")
-            .agg(F.min_by("_orig", F.struct("_s", "_orig")).alias("name"), F.greatest(F.min("_s"), F.lit(1)).alias("start"),
-                 F.max("end").alias("end"))
-            .drop("_name", "_g").unionByName(copies))
+    order = Window.partitionBy("_name", "_b").orderBy("_s", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = pre.withColumn("_open", F.when(reach.isNull() | (F.col("_s") >= reach), 1).otherwise(0))
+    numbered = opened.withColumn("_g", F.sum("_open").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # a range that is closed and opens a group is alone in it
+    local = numbered.groupBy("_name", "_b", "_g").agg(
+        F.min("_s").alias("_s"), F.max("end").alias("end"), F.min_by("_orig", F.struct("_s", "_orig")).alias("_orig"),
+        F.max(F.when(F.col("_open") == 1, F.col("_closed"))).alias("_closed"), F.max("_n").alias("_n")).drop("_g")
+    path = scratch_path(ranges.sparkSession, "ranges")
+    local.write.parquet(path)
+    local = ranges.sparkSession.read.schema(local.schema).parquet(path)
+
+    def opens():
+        return F.col("_prev").isNull() | (F.col("_s") >= F.col("_prev"))
+
+    summary = _before(local.groupBy("_name", "_b").agg(F.max("end").alias("_bmax"), F.max("_s").alias("_s")), "_name", "_bmax", "_prev")
+    summary = _before(summary.select("_name", "_b", "_prev", F.when(opens(), F.col("_s")).alias("_last")), "_name", "_last", "_carry")
+    told = local.join(summary.select("_name", "_b", "_prev", "_carry"), ["_name", "_b"])
+    told = told.withColumn("_g", F.when(opens(), F.col("_s")).otherwise(F.col("_carry"))).withColumn("_alone", F.when(opens(), F.col("_closed")))
+    merged = told.groupBy("_name", "_g", "_alone").agg(
+        F.min_by("_orig", F.struct("_s", "_orig")).alias("name"), F.greatest(F.min("_s"), F.lit(1)).alias("start"), F.max("end").alias("end"),
+        F.max(F.when(F.col("_alone").isNotNull(), F.col("_n")).otherwise(1)).alias("_n"))
+    return merged.select("name", "start", "end", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("col")

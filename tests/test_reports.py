@@ -195,3 +195,20 @@ def test_merge_ranges_names_nulls_and_empty(spark):
     df = spark.createDataFrame([("Chr1", 5, 9), ("chr1", 7, 12), (None, 1, 2), ("chr1", None, 3)], "ref_name string, start int, end int")
     assert [tuple(r) for r in islands.merge_ranges(df, 0).select("name", "start", "end").collect()] == [("Chr1", 5, 12)]
     assert islands.merge_ranges(df.limit(0), 10).count() == 0
+
+
+def test_merging_reads_its_ranges_once(spark):
+    df = spark.createDataFrame([("chr1", 5, 9, 1), ("chr1", 40_000, 40_001, 1)], "ref_name string, start int, end int, n int")
+    made = df.withColumn("ref_name", F.when(F.md5("ref_name") != "x", F.col("ref_name")))
+    out = islands.merge_ranges(made, 0)
+    assert "md5(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(tuple(r) for r in out.collect()) == [("chr1", 5, 9), ("chr1", 40_000, 40_001)]
+
+
+def test_an_island_over_many_buckets(spark):
+    # a range over three buckets takes in what starts under it and nothing behind it
+    df = spark.createDataFrame([(1, 10, 50_000), (1, 20_000, 20_100), (1, 40_000, 70_000), (1, 69_000, 69_010), (1, 70_052, 70_060), (2, 5, 6)],
+                               "ref_index int, start int, end int")
+    assert sorted(map(tuple, islands.islands(df).collect())) == [(1, 10, 70_000, 4), (1, 70_052, 70_060, 1), (2, 5, 6, 1)]
+    plan = islands.islands(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
