@@ -271,18 +271,21 @@ def mismatch_stats(reads: DataFrame, ref_tiles: DataFrame, keep: list[str],
     indel = cg.inserted_bases("cigar") + cg.deleted_bases("cigar")
     kept = {f"_k{i}": c for i, c in enumerate(keep)}  # apart from the columns of segments and chunks
     cols = ["_indel", *kept]
-    r = reads.withColumns({"_indel": indel, "neg": F.coalesce(fl.has("flag", fl.REVERSE), F.lit(False)), "_rid": F.monotonically_increasing_id()})
-    r = r.withColumns({k: F.col(c) for k, c in kept.items()}).select(*cols, "neg", "_rid", "ref_index", "pos", "cigar", "seq", *(["qual"] if with_quals else []))
-    cut, table = segments(r, [*cols, "neg", "_rid"]), chunks(ref_tiles)
+    r = reads.withColumns({"_indel": indel, "neg": F.coalesce(fl.has("flag", fl.REVERSE), F.lit(False))})
+    r = r.withColumns({k: F.col(c) for k, c in kept.items()}).select(*cols, "neg", "ref_index", "pos", "cigar", "seq", *(["qual"] if with_quals else []))
+    last = F.col("pos") + cg.ref_length("cigar") - 2
+    crosses = F.coalesce(F.shiftright(F.col("pos") - 1, CHUNK_SHIFT) != F.shiftright(F.greatest(last, F.col("pos") - 1), CHUNK_SHIFT), F.lit(False))
+    table = chunks(ref_tiles)
     tallies = list(_TALLIES if with_quals else _TALLIES[:3])
 
-    def tallied(seg: DataFrame, names: list[str]) -> DataFrame:
-        j = with_reference(seg.drop(*({"_rid"} - set(names))), table).drop("alone")
+    def tallied(some: DataFrame, names: list[str]) -> DataFrame:
+        j = with_reference(segments(some, [*names, "neg"]).drop("alone"), table)
         return j.mapInArrow(_tallied, T.StructType([j.schema[c] for c in j.columns if c in names] + [T.StructField(c, T.LongType()) for c in tallies]))
 
-    one = tallied(cut.filter("alone"), cols)
+    one = tallied(r.filter(~crosses), cols)
     # the kept columns depend on the row id: grouping by them too keeps a hash aggregation
-    several = tallied(cut.filter("not alone"), [*cols, "_rid"]).groupBy("_rid", *cols).agg(*[F.sum(c).alias(c) for c in tallies])
+    several = tallied(r.filter(crosses).withColumn("_rid", F.monotonically_increasing_id()), [*cols, "_rid"])
+    several = several.groupBy("_rid", *cols).agg(*[F.sum(c).alias(c) for c in tallies])
     out = ("mismatches", "mismatches_bisulfite", "uncovered", "mismatch_qual_sum")
     agg = one.unionByName(several.drop("_rid")).select(*[F.col(k).alias(c) for k, c in kept.items()], "_indel",
                                                        *[F.col(t).cast("int").alias(c) for t, c in zip(tallies, out)])
