@@ -75,6 +75,17 @@ def test_suffixes(spark, monkeypatch, run, bucket, length, spread):
     assert got(out, "doc_id", "n_bytes", "n_removed", "spans_n", "sha") == brute.suffixes(rows, length)
 
 
+def test_suffix_query_counts_bytes_not_words(spark, tmp_path):
+    rng = random.Random(7)
+    passage = lambda n: "".join(" " if i % 6 == 5 else rng.choice("abcdefgh") for i in range(n))
+    under, enough = passage(399), passage(400)  # 67 words each
+    rows = [(1, f"<{under}>"), (2, f"({under})"), (3, f"<{enough}>"), (4, f"({enough})"), (5, passage(900))]
+    frame(spark, rows).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    out = got(queries.op3_suffix_dedup(spark, str(tmp_path)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert out == brute.suffixes(rows)
+    assert [r[1:4] for r in out] == [(401, 0, 0), (401, 0, 0), (402, 400, 1), (402, 400, 1), (900, 0, 0)]
+
+
 def test_multikey_quicksort():
     rng = random.Random(3)
     s = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 30))) for _ in range(500)]
