@@ -86,6 +86,20 @@ def test_suffix_query_counts_bytes_not_words(spark, tmp_path):
     assert [r[1:4] for r in out] == [(401, 0, 0), (401, 0, 0), (402, 400, 1), (402, 400, 1), (900, 0, 0)]
 
 
+def test_contexts_are_not_dealt_by_core(spark, monkeypatch):
+    plans, stored = [], suffix_dedup.stored
+
+    def spy(df, name="step"):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(suffix_dedup, "stored", spy)
+    monkeypatch.setattr(suffix_dedup, "RUN", 2)
+    suffix_dedup.remove_repeats(frame(spark, corpus()), length=60, spread=16)
+    join = [plan for name, plan in plans if name == "contexts"][-1]  # the long runs are counted in a step of their own
+    assert "Join" in join and "Aggregate" not in join and "hashpartitioning" not in join
+
+
 def test_multikey_quicksort():
     rng = random.Random(3)
     s = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 30))) for _ in range(500)]
