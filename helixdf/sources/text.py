@@ -173,18 +173,74 @@ def fastq_lines(records: DataFrame) -> DataFrame:
     return r.select("k", "_rid", F.posexplode(four).alias("sub", "value"))
 
 
+#: Records of a block, and bytes of records that a task holds before it hands blocks on.
+BLOCK = 2048
+HELD_BYTES = 16 << 20
+
+
+def _packed(table: pa.Table) -> bytes:
+    """A table as one compressed Arrow stream, columns apart."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(table.combine_chunks())
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(column) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in column])
+
+
+def _runs(ids: pa.ChunkedArray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    new = pc.not_equal(ids.slice(1), ids.slice(0, max(len(ids) - 1, 0))).combine_chunks()
+    either = pc.xor(ids.slice(1).is_null(), ids.slice(0, max(len(ids) - 1, 0)).is_null()).combine_chunks()
+    at = np.flatnonzero(pc.or_(pc.fill_null(new, False), either).to_numpy(zero_copy_only=False)) + 1
+    return np.concatenate(([0], at, [len(ids)])).astype(np.int64)
+
+
+def _blocks(batches):
+    """Records that follow each other, packed by block: block, payload."""
+    def packed(table):
+        at = _runs(table["block"])
+        rows = [(table["block"][low].as_py(), _packed(table.slice(low, high - low).drop(["block"]))) for low, high in zip(at[:-1].tolist(), at[1:].tolist())]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["block", "payload"])
+
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        if held.nbytes > HELD_BYTES:
+            last = int(_runs(held["block"])[-2])  # the last block may go on
+            if last:
+                yield packed(held.slice(0, last))
+                held = pa.Table.from_batches(held.slice(last).combine_chunks().to_batches(), held.schema)
+    if held is not None and held.num_rows:
+        yield packed(held)
+
+
+def _interleaved(table: pa.Table) -> pa.Table:
+    """The records of a block, put together by chunk_id: mates in order."""
+    rows = _unpacked(table.column("payload"))
+    head = pc.binary_join_element_wise("@", rows["name"], "")
+    rec = pc.binary_join_element_wise(head, rows["seq"], "+", rows["qual"], "\n", null_handling="skip")
+    rows = pa.table({"chunk_id": rows["chunk_id"], "mate": rows["mate"], "rec": rec}).sort_by([("chunk_id", "ascending"), ("mate", "ascending"), ("rec", "ascending")])
+    at = _runs(rows["chunk_id"])
+    lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), rows["rec"].combine_chunks())
+    return pa.table({"chunk_id": rows["chunk_id"].take(pa.array(at[:-1])), "value": pc.binary_join(lists, "\n")})
+
+
 def interleave_fastq(r1: DataFrame, r2: DataFrame) -> DataFrame:
     """R1 and R2 records keyed by ``chunk_id`` -> one text block per chunk, R1 first.
 
     Returns ``chunk_id, value`` where value holds the 4 (or 8) lines joined by
-    newlines; sorting by chunk_id gives the interleaved file.
+    newlines; sorting by chunk_id gives the interleaved file. Files hold records in order, so
+    a task's records of ``BLOCK`` chunks in a row are exchanged as one compressed payload.
     """
     both = r1.withColumn("mate", F.lit(1)).unionByName(r2.withColumn("mate", F.lit(2)))
-    text = F.concat_ws("\n", F.concat(F.lit("@"), "name"), "seq", F.lit("+"), "qual")
-    per = both.select("chunk_id", "mate", text.alias("rec"))
-    return (per.groupBy("chunk_id")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("mate", "rec"))),
-                                          lambda s: s["rec"]), "\n").alias("value")))
+    rows = both.select(F.floor(F.col("chunk_id") / BLOCK).cast("long").alias("block"), "chunk_id", "mate", "name", "seq", "qual")
+    packed = rows.mapInArrow(_blocks, "block long, payload binary")
+    kind = rows.schema["chunk_id"].dataType.simpleString()
+    return packed.groupBy("block").applyInArrow(_interleaved, f"chunk_id {kind}, value string")
 
 
 # --- VCF ---------------------------------------------------------------------------

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from helixdf import session
 from helixdf.llm import common, jaccard
 
 from . import brute
@@ -30,11 +31,11 @@ def _shuffle_bytes(spark):
 def test_near_duplicates_leave_few_shuffle_files(spark):
     rows = list(enumerate(_texts(400)))
     docs = frame(spark, rows)
-    before, off = _shuffle_bytes(spark), spark.conf.get(common._DROP)
+    before, off = _shuffle_bytes(spark), spark.conf.get(session._DROP)
     out = jaccard.near_duplicates(docs)
     left = _shuffle_bytes(spark) - before
     assert left < sum(len(r[1]) for r in rows) / 4
-    assert spark.conf.get(common._DROP) == off
+    assert spark.conf.get(session._DROP) == off
     assert got(out, "doc_id", "n_shingles", "component_id") == brute.jaccard(rows)
 
 
